@@ -4,23 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from plumbline.functions.text import as_column
+def as_of_sql(as_of: dt.date | str | None) -> str:
+    """The as-of date as SQL; the current date when none is given."""
+    return "current_date()" if as_of is None else f"DATE'{as_of}'"
 
 
-def as_of_column(as_of: dt.date | str | None) -> Column:
-    """The as-of date as a column; the current date when none is given."""
-    if as_of is None:
-        return F.current_date()
-    return F.lit(str(as_of)).cast("date")
-
-
-def parse_date(c: Column | str) -> Column:
+def parse_date(c: str) -> str:
     """Text to date; null when it is not a date. Dates pass through unchanged."""
-    return as_column(c).try_cast("date")
+    return f"try_cast({c} AS DATE)"
 
 
-def age_in_days(c: Column | str, as_of: Column) -> Column:
-    return F.datediff(as_of, parse_date(c))
+def age_in_days(c: str, as_of: str) -> str:
+    return f"datediff({as_of}, {parse_date(c)})"

@@ -1,31 +1,34 @@
 """Row-local rule kinds.
 
-Every kind is a small declarative value; ``failing`` turns it into a boolean column that is
-true for rows breaking the rule. The result may be null, and null counts as passing, so kinds
-in which a null must fail say so themselves.
+Every kind is a small declarative value; ``failing`` turns it into a SQL condition that is true for
+rows breaking the rule. The condition may be null, and null counts as passing, so kinds in which a
+null must fail say so themselves. ``as_of`` is a SQL date expression.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from plumbline.functions.dates import age_in_days, parse_date
 from plumbline.functions.numbers import parse_number
-from plumbline.functions.text import is_blank, stripped_text
+from plumbline.functions.text import (
+    is_blank, literal, literals, name, strip, stripped_equals, stripped_in,
+)
 
 
 class RowCheck:
     """A rule that is decided by looking at one row."""
 
-    def failing(self, as_of: Column) -> Column:
+    def failing(self, as_of: str) -> str:
         raise NotImplementedError
 
-    def failed(self, as_of: Column) -> Column:
-        return F.coalesce(self.failing(as_of), F.lit(False))
+    def failed(self, as_of: str) -> str:
+        """The condition with null decided as passing."""
+        return f"coalesce({self.failing(as_of)}, false)"
+
+
+def _flag(value: bool) -> str:
+    return "true" if value else "false"
 
 
 @dataclass(frozen=True)
@@ -33,7 +36,7 @@ class NotNull(RowCheck):
     column: str
 
     def failing(self, as_of):
-        return F.col(self.column).isNull()
+        return f"{name(self.column)} IS NULL"
 
 
 @dataclass(frozen=True)
@@ -41,7 +44,7 @@ class NotBlank(RowCheck):
     column: str
 
     def failing(self, as_of):
-        return is_blank(self.column)
+        return is_blank(name(self.column))
 
 
 @dataclass(frozen=True)
@@ -52,7 +55,8 @@ class NotSentinel(RowCheck):
     sentinels: tuple[str, ...]
 
     def failing(self, as_of):
-        return stripped_text(self.column).isin("", *self.sentinels)
+        c = name(self.column)
+        return " OR ".join([is_blank(c), *[stripped_equals(c, s) for s in self.sentinels]])
 
 
 @dataclass(frozen=True)
@@ -65,13 +69,15 @@ class InSet(RowCheck):
     null_fails: bool = True
 
     def failing(self, as_of):
-        value = stripped_text(self.column) if self.strip else F.col(self.column)
-        return F.coalesce(~value.isin(*self.allowed), F.lit(self.null_fails))
+        c = name(self.column)
+        if self.strip:
+            return f"NOT {stripped_in(c, self.allowed)}"
+        return f"coalesce({c} NOT IN ({literals(self.allowed)}), {_flag(self.null_fails)})"
 
 
 @dataclass(frozen=True)
 class Between(RowCheck):
-    """Closed range; null and unparseable values fail unless ``null_fails`` is off."""
+    """Closed range; missing and unparseable values fail unless ``null_fails`` is off."""
 
     column: str
     low: float
@@ -79,8 +85,10 @@ class Between(RowCheck):
     null_fails: bool = True
 
     def failing(self, as_of):
-        value = parse_number(self.column)
-        return F.coalesce(~value.between(self.low, self.high), F.lit(self.null_fails))
+        value = parse_number(name(self.column))
+        if self.null_fails:
+            return f"NOT coalesce({value} BETWEEN {self.low} AND {self.high}, false)"
+        return f"{value} < {self.low} OR ({value} > {self.high} AND NOT isnan({value}))"
 
 
 @dataclass(frozen=True)
@@ -88,8 +96,8 @@ class PositiveNumber(RowCheck):
     column: str
 
     def failing(self, as_of):
-        value = parse_number(self.column)
-        return value.isNull() | (value <= 0)
+        value = parse_number(name(self.column))
+        return f"NOT coalesce({value} > 0 AND NOT isnan({value}), false)"
 
 
 @dataclass(frozen=True)
@@ -102,11 +110,13 @@ class NotBelow(RowCheck):
     null_fails: bool = False
 
     def failing(self, as_of):
-        value = parse_number(self.column)
-        weak = value < self.threshold
+        value = parse_number(name(self.column))
+        weak = f"{value} < {self.threshold}"
         if self.low is not None:
-            weak = weak & (value >= self.low)
-        return F.coalesce(weak, F.lit(self.null_fails))
+            weak = f"({weak} AND {value} >= {self.low})"
+        if self.null_fails:
+            return f"coalesce({weak}, true) OR isnan({value})"
+        return weak
 
 
 @dataclass(frozen=True)
@@ -114,7 +124,7 @@ class ValidDate(RowCheck):
     column: str
 
     def failing(self, as_of):
-        return parse_date(self.column).isNull()
+        return f"{parse_date(name(self.column))} IS NULL"
 
 
 @dataclass(frozen=True)
@@ -125,7 +135,7 @@ class DateOrder(RowCheck):
     later: str
 
     def failing(self, as_of):
-        return parse_date(self.later) < parse_date(self.earlier)
+        return f"{parse_date(name(self.later))} < {parse_date(name(self.earlier))}"
 
 
 @dataclass(frozen=True)
@@ -133,7 +143,7 @@ class NotFuture(RowCheck):
     column: str
 
     def failing(self, as_of):
-        return parse_date(self.column) > as_of
+        return f"{parse_date(name(self.column))} > {as_of}"
 
 
 @dataclass(frozen=True)
@@ -141,7 +151,7 @@ class NotOverdue(RowCheck):
     column: str
 
     def failing(self, as_of):
-        return parse_date(self.column) < as_of
+        return f"{parse_date(name(self.column))} < {as_of}"
 
 
 @dataclass(frozen=True)
@@ -157,12 +167,11 @@ class FreshWithin(RowCheck):
     only: tuple[str, tuple[str, ...]] | None = None
 
     def failing(self, as_of):
-        age = age_in_days(self.column, as_of)
-        stale = age >= self.days if self.inclusive else age > self.days
+        stale = f"{age_in_days(name(self.column), as_of)} {'>=' if self.inclusive else '>'} {self.days}"
         if self.only is None:
             return stale
         column, values = self.only
-        return F.col(column).isin(*values) & stale
+        return f"{name(column)} IN ({literals(values)}) AND {stale}"
 
 
 @dataclass(frozen=True)
@@ -174,7 +183,7 @@ class RequiredIf(RowCheck):
     column: str
 
     def failing(self, as_of):
-        return (F.col(self.when_column) == self.when_value) & F.col(self.column).isNull()
+        return f"{name(self.when_column)} = {literal(self.when_value)} AND {name(self.column)} IS NULL"
 
 
 @dataclass(frozen=True)
@@ -192,11 +201,10 @@ class Implies(RowCheck):
     null_as_blank: bool = True
 
     def failing(self, as_of):
+        when, then = name(self.when_column), name(self.then_column)
         if self.null_as_blank:
-            return (stripped_text(self.when_column) == self.when_value) & (
-                stripped_text(self.then_column) != self.then_value
-            )
-        return (F.col(self.when_column) == self.when_value) & (F.col(self.then_column) != self.then_value)
+            return f"{stripped_equals(when, self.when_value)} AND NOT {stripped_equals(then, self.then_value)}"
+        return f"{when} = {literal(self.when_value)} AND {then} <> {literal(self.then_value)}"
 
 
 @dataclass(frozen=True)
@@ -207,7 +215,8 @@ class Matches(RowCheck):
     pattern: str
 
     def failing(self, as_of):
-        return ~stripped_text(self.column).rlike(self.pattern)
+        c, p = name(self.column), literal(self.pattern)
+        return f"NOT coalesce({c} RLIKE {p} OR {strip(c)} RLIKE {p}, false)"
 
 
 @dataclass(frozen=True)
@@ -217,9 +226,9 @@ class NotPrefix(RowCheck):
     blank_fails: bool = False
 
     def failing(self, as_of):
-        value = stripped_text(self.column)
-        bad = value.startswith(self.prefix)
-        return bad | (value == "") if self.blank_fails else bad
+        c, p = name(self.column), literal(self.prefix)
+        bad = f"(contains({c}, {p}) AND startswith({strip(c)}, {p}))"
+        return f"{bad} OR {is_blank(c)}" if self.blank_fails else bad
 
 
 @dataclass(frozen=True)
@@ -228,7 +237,7 @@ class NotEqual(RowCheck):
     right: str
 
     def failing(self, as_of):
-        return F.col(self.left) == F.col(self.right)
+        return f"{name(self.left)} = {name(self.right)}"
 
 
 @dataclass(frozen=True)
@@ -239,7 +248,7 @@ class IsValue(RowCheck):
     value: str
 
     def failing(self, as_of):
-        return F.col(self.column) == self.value
+        return f"{name(self.column)} = {literal(self.value)}"
 
 
 @dataclass(frozen=True)
@@ -250,7 +259,7 @@ class IsOther(RowCheck):
     value: str
 
     def failing(self, as_of):
-        return F.col(self.column) != self.value
+        return f"{name(self.column)} <> {literal(self.value)}"
 
 
 @dataclass(frozen=True)
@@ -261,7 +270,8 @@ class AtLeast(RowCheck):
     threshold: float
 
     def failing(self, as_of):
-        return parse_number(self.column) >= self.threshold
+        value = parse_number(name(self.column))
+        return f"({value} >= {self.threshold} AND NOT isnan({value}))"
 
 
 @dataclass(frozen=True)
@@ -269,7 +279,7 @@ class AllOf(RowCheck):
     parts: tuple[RowCheck, ...]
 
     def failing(self, as_of):
-        return reduce(lambda a, b: a & b, [p.failing(as_of) for p in self.parts])
+        return "(" + " AND ".join(f"({p.failing(as_of)})" for p in self.parts) + ")"
 
 
 @dataclass(frozen=True)
@@ -277,14 +287,14 @@ class AnyOf(RowCheck):
     parts: tuple[RowCheck, ...]
 
     def failing(self, as_of):
-        return reduce(lambda a, b: a | b, [p.failing(as_of) for p in self.parts])
+        return "(" + " OR ".join(f"({p.failing(as_of)})" for p in self.parts) + ")"
 
 
 @dataclass(frozen=True)
 class Expression(RowCheck):
-    """A rule written as a Spark SQL boolean expression that is true for failing rows."""
+    """A rule written as a Spark SQL condition that is true for failing rows."""
 
     sql: str
 
     def failing(self, as_of):
-        return F.expr(self.sql)
+        return self.sql

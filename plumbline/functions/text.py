@@ -1,4 +1,8 @@
-"""Text helpers: stripping, blank tests, entity-name normalisation."""
+"""Text helpers as SQL expressions: stripping, blank tests, entity-name normalisation.
+
+Rules are compiled to SQL text rather than to chains of column calls: a rule pack then reaches the
+planner in a few calls, and every rule can be read and logged as it runs.
+"""
 
 from __future__ import annotations
 
@@ -19,36 +23,74 @@ LEGAL_FORM_WORDS = (
 )
 
 
-def as_column(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def literal(text: str | None) -> str:
+    """A SQL text literal."""
+    if text is None:
+        return "CAST(NULL AS STRING)"
+    escaped = "".join(
+        {"\\": "\\\\", "'": "\\'", "\n": "\\n", "\r": "\\r", "\t": "\\t"}.get(
+            ch, ch if " " <= ch <= "~" else f"\\u{ord(ch):04x}"
+        )
+        for ch in text
+    )
+    return f"'{escaped}'"
+
+
+def literals(values: tuple[str, ...] | list[str]) -> str:
+    return ", ".join(literal(v) for v in values)
+
+
+def name(column: str) -> str:
+    """A quoted column name."""
+    return "`" + column.replace("`", "``") + "`"
+
 
+def starts_plain(c: str) -> str:
+    """True when the first character is printable ASCII and no space: two byte comparisons."""
+    return f"({c} >= '!' AND {c} < '\\u007f')"
 
-def strip(c: Column | str) -> Column:
-    """Remove leading and trailing white space of any kind (SQL ``trim`` removes spaces only)."""
-    return F.btrim(as_column(c), F.lit(WHITESPACE))
 
+def strip(c: str) -> str:
+    """Remove white space of any kind at both ends (SQL ``trim`` removes spaces only).
 
-def stripped_text(c: Column | str) -> Column:
+    Trimming a set of characters is costly, so values that plainly need none are passed through.
+    """
+    clean = f"{starts_plain(c)} AND NOT {c} RLIKE '[^!-~]$'"
+    return f"(CASE WHEN {clean} THEN {c} ELSE btrim({c}, {literal(WHITESPACE)}) END)"
+
+
+def stripped_text(c: str) -> str:
     """The value as stripped text, null becoming the empty text."""
-    return F.coalesce(strip(as_column(c).cast("string")), F.lit(""))
+    return f"coalesce({strip(c)}, '')"
 
 
-def is_blank(c: Column | str) -> Column:
+def is_blank(c: str) -> str:
     """True for null, empty and white-space-only values."""
-    return stripped_text(c) == ""
+    return f"({c} IS NULL OR (NOT {starts_plain(c)} AND btrim({c}, {literal(WHITESPACE)}) = ''))"
+
+
+def stripped_equals(c: str, value: str) -> str:
+    """Whether the stripped value equals a non-empty text; null is not equal to it."""
+    v = literal(value)
+    return f"coalesce({c} = {v} OR (contains({c}, {v}) AND {strip(c)} = {v}), false)"
+
+
+def stripped_in(c: str, values: tuple[str, ...] | list[str]) -> str:
+    """Whether the stripped value is one of the texts; null is none of them."""
+    listed = literals(values)
+    return f"coalesce({c} IN ({listed}) OR {strip(c)} IN ({listed}), false)"
 
 
-def normalise_name(c: Column | str) -> Column:
+def normalise_name(c: str) -> Column:
     """Comparable form of an entity name: upper case, no punctuation, no legal-form words."""
-    plain = F.regexp_replace(F.upper(as_column(c)), "[^A-Z0-9 ]", " ")
-    no_forms = F.regexp_replace(plain, r"\b(" + "|".join(LEGAL_FORM_WORDS) + r")\b", " ")
-    return F.trim(F.regexp_replace(no_forms, " +", " "))
+    words = literal(r"\b(" + "|".join(LEGAL_FORM_WORDS) + r")\b")
+    plain = f"regexp_replace(upper({name(c)}), '[^A-Z0-9 ]', ' ')"
+    return F.expr(f"trim(regexp_replace(regexp_replace({plain}, {words}, ' '), ' +', ' '))")
 
 
-def replace_values(c: Column | str, mapping: dict[str, str]) -> Column:
+def replace_values(c: str, mapping: dict[str, str]) -> str:
     """Exact-value replacement; values outside the mapping stay as they are."""
-    column = as_column(c)
-    out = column
-    for wrong, right in mapping.items():
-        out = F.when(column == wrong, F.lit(right)).otherwise(out)
-    return out
+    if not mapping:
+        return c
+    arms = " ".join(f"WHEN {literal(wrong)} THEN {literal(right)}" for wrong, right in mapping.items())
+    return f"(CASE {c} {arms} ELSE {c} END)"

@@ -6,14 +6,15 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.dates import as_of_column
-from plumbline.functions.numbers import percentage, round_even
+from plumbline.functions.dates import as_of_sql
+from plumbline.functions.numbers import percentage_sql, round_even_sql
 from plumbline.functions.predicates import RowCheck
+from plumbline.functions.text import literal, literals, name
 from plumbline.model import DatasetSpec, Rule
-from plumbline.operators.keys import KeyCheck, failing_row_count, mark_rows
+from plumbline.operators.keys import failing_row_count, mark_rows
 
 AsOf = dt.date | str | None
 
@@ -34,72 +35,78 @@ def rule_results(
     refs: dict[str, DataFrame] | None = None,
     as_of: AsOf = None,
 ) -> DataFrame:
-    """One row per rule with its counts, rates and reporting facts.
+    """One row per rule with its counts, rates and reporting facts."""
+    return finish_results(rule_counts(df, rules, table_name, refs, as_of))
+
+
+def rule_counts(
+    df: DataFrame,
+    rules: Sequence[Rule],
+    table_name: str,
+    refs: dict[str, DataFrame] | None = None,
+    as_of: AsOf = None,
+) -> DataFrame:
+    """One row per rule with the rows checked and failed.
 
     All row-local rules of the table share a single scan and a single aggregate. A key rule reads
     only its key columns and adds one aggregate of its own.
     """
-    refs = refs or {}
-    when = as_of_column(as_of)
+    when = as_of_sql(as_of)
     row_rules = [r for r in rules if isinstance(r.check, RowCheck)]
-    key_rules = [r for r in rules if isinstance(r.check, KeyCheck)]
-
+    key_rules = [r for r in rules if not isinstance(r.check, RowCheck)]
     counted = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(r.check.failed(when)).alias(f"f{i}") for i, r in enumerate(row_rules)],
+        F.expr("count(*) AS total"),
+        *[F.expr(f"count_if({r.check.failed(when)}) AS f{i}") for i, r in enumerate(row_rules)],
     )
     # The table's own row count travels as one extra line, so that key rules can pick it up.
-    lines = [_line(None, F.col("total"), F.lit(0).cast("long"))]
-    lines += [_line(r, F.col("total"), F.col(f"f{i}")) for i, r in enumerate(row_rules)]
-    frames = [counted.select(F.inline(F.array(*lines)))]
+    lines = [_line(table_name, None, "total", "0L")]
+    lines += [_line(table_name, r, "total", f"f{i}") for i, r in enumerate(row_rules)]
+    frames = [counted.selectExpr(f"inline(array({', '.join(lines)}))")]
     for r in key_rules:
-        failed = failing_row_count(r.check, df, refs)
-        frames.append(failed.select(F.inline(F.array(_line(r, F.lit(None).cast("long"), F.col("failed_count"))))))
-
+        failed = failing_row_count(r.check, df, refs or {})
+        frames.append(failed.selectExpr(f"inline(array({_line(table_name, r, 'CAST(NULL AS BIGINT)', 'failed_count')}))"))
+    if not key_rules:
+        return frames[0].where("rule_id IS NOT NULL")
     # At most one line per rule, so this window holds a handful of rows.
-    whole = Window.partitionBy("table_name")
-    merged = union_all(frames).withColumn("table_name", F.lit(table_name))
-    merged = merged.withColumn("total_count", F.max("total_count").over(whole))
-    return finish_results(merged.where(F.col("rule_id").isNotNull()))
-
-
-def _line(rule: Rule | None, total: Column, failed: Column) -> Column:
-    def text(value: str | None) -> Column:
-        return F.lit(value).cast("string")
-
-    return F.struct(
-        text(rule and rule.rule_id).alias("rule_id"),
-        text(rule and rule.dimension).alias("dimension"),
-        text(rule and rule.severity).alias("severity"),
-        text(rule and rule.description).alias("description"),
-        text(rule and rule.recommendation).alias("recommendation"),
-        total.alias("total_count"),
-        failed.alias("failed_count"),
-    )
+    known = F.expr("max(total_count) OVER (PARTITION BY table_name)")
+    return union_all(frames).withColumn("total_count", known).where("rule_id IS NOT NULL")
+
+
+def _line(table_name: str, rule: Rule | None, total: str, failed: str) -> str:
+    facts = {
+        "table_name": table_name,
+        "rule_id": rule and rule.rule_id,
+        "dimension": rule and rule.dimension,
+        "severity": rule and rule.severity,
+        "description": rule and rule.description,
+        "recommendation": rule and rule.recommendation,
+    }
+    fields = ", ".join(f"'{k}', {literal(v)}" for k, v in facts.items())
+    return f"named_struct({fields}, 'total_count', {total}, 'failed_count', {failed})"
 
 
 def finish_results(counts: DataFrame) -> DataFrame:
     """Derive passed rows, rates and status from the two counts."""
-    total, failed = F.col("total_count"), F.col("failed_count")
-    pass_rate = F.when(total == 0, F.lit(1.0)).otherwise(
-        round_even((total - failed).cast("double") / total.cast("double"), 4)
-    )
+    passed = "(total_count - failed_count)"
+    rate = round_even_sql(f"CAST({passed} AS DOUBLE) / CAST(total_count AS DOUBLE)", 4)
     derived = {
-        "passed_count": total - failed,
-        "pass_rate": pass_rate,
-        "failure_rate_pct": percentage(failed, total),
+        "passed_count": passed,
+        "pass_rate": f"CASE WHEN total_count = 0 THEN 1.0D ELSE {rate} END",
+        "failure_rate_pct": percentage_sql("failed_count", "total_count"),
     }
     if "status" not in counts.columns:
-        derived["status"] = F.when(failed > 0, F.lit("failed")).otherwise(F.lit("passed"))
-        derived["error_message"] = F.lit("")
-    return counts.withColumns(derived).select(*RESULT_COLUMNS)
+        derived["status"] = "CASE WHEN failed_count > 0 THEN 'failed' ELSE 'passed' END"
+        derived["error_message"] = "''"
+    return counts.selectExpr(*[f"{derived[c]} AS {c}" if c in derived else c for c in RESULT_COLUMNS])
 
 
 def evaluate_pack(
     tables: dict[str, DataFrame], pack: dict[str, Sequence[Rule]], as_of: AsOf = None
 ) -> DataFrame:
     """Results of a rule pack over several tables; the tables also serve as reference masters."""
-    return union_all([rule_results(tables[name], rules, name, tables, as_of) for name, rules in pack.items()])
+    return finish_results(
+        union_all([rule_counts(tables[t], rules, t, tables, as_of) for t, rules in pack.items()])
+    )
 
 
 def schema_result(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -110,17 +117,9 @@ def schema_result(df: DataFrame, spec: DatasetSpec) -> DataFrame:
         if missing
         else "All required columns are present."
     )
-    one = df.sparkSession.range(1).select(
-        F.lit(spec.name).alias("table_name"),
-        F.lit("SCHEMA_001").alias("rule_id"),
-        F.lit("Schema").alias("dimension"),
-        F.lit("Critical").alias("severity"),
-        F.lit("The dataset has every required column.").alias("description"),
-        F.lit(advice).alias("recommendation"),
-        F.lit(len(spec.required_columns)).cast("long").alias("total_count"),
-        F.lit(len(missing)).cast("long").alias("failed_count"),
-    )
-    return finish_results(one)
+    rule = Rule("SCHEMA_001", "Schema", "Critical", None, "The dataset has every required column.", advice)
+    line = _line(spec.name, rule, f"{len(spec.required_columns)}L", f"{len(missing)}L")
+    return finish_results(df.sparkSession.range(1).selectExpr(f"inline(array({line}))"))
 
 
 def validate_dataset(
@@ -165,25 +164,22 @@ def wide_exceptions(
 ) -> DataFrame:
     """Exceptions with one column per evidence column, null where a rule does not report it."""
     hits = _hits(df, rules, record_key, refs or {}, as_of, evidence=False)
-    wanted = _evidence(df, rules)
-    return hits.select(
-        "rule_id", "issue_type", "severity", "dimension", "record_id",
-        *[
-            F.when(F.col("rule_id").isin(*[r.rule_id for r in rules if c in r.evidence]), F.col(f"__e_{c}")).alias(c)
-            for c in wanted
-        ],
-    )
+    shown = []
+    for c in _evidence(df, rules):
+        reporting = literals([r.rule_id for r in rules if c in r.evidence])
+        shown.append(f"CASE WHEN rule_id IN ({reporting}) THEN {name('__e_' + c)} END AS {name(c)}")
+    return hits.selectExpr("rule_id", "issue_type", "severity", "dimension", "record_id", *shown)
 
 
 def _hits(df, rules, record_key, refs, as_of, evidence):
-    when = as_of_column(as_of)
+    when = as_of_sql(as_of)
     row_rules = [r for r in rules if isinstance(r.check, RowCheck)]
     frames = []
     if row_rules:
-        fired = F.array_compact(
-            F.array(*[F.when(r.check.failed(when), _hit(r, df, evidence)) for r in row_rules])
+        fired = ", ".join(
+            f"CASE WHEN {r.check.failed(when)} THEN {_hit(r, df, evidence)} END" for r in row_rules
         )
-        frames.append(_spread(df, F.explode(fired), row_rules, record_key, evidence))
+        frames.append(_spread(df, f"explode(array_compact(array({fired})))", row_rules, record_key, evidence))
     for r in rules:
         if isinstance(r.check, RowCheck):
             continue
@@ -193,27 +189,27 @@ def _hits(df, rules, record_key, refs, as_of, evidence):
     return union_all(frames, ragged=not evidence)
 
 
-def _spread(df: DataFrame, hit: Column, rules: Sequence[Rule], record_key: str, evidence: bool) -> DataFrame:
+def _spread(df: DataFrame, hit: str, rules: Sequence[Rule], record_key: str, evidence: bool) -> DataFrame:
     """Hit structs as columns, next to the record id and, for wide output, the evidence columns."""
-    kept = {} if evidence else {f"__e_{c}": F.col(c) for c in _evidence(df, rules)}
-    rows = df.select(
-        F.col(record_key).alias("record_id"), *[c.alias(n) for n, c in kept.items()], hit.alias("__hit")
+    kept = [] if evidence else _evidence(df, rules)
+    rows = df.selectExpr(
+        f"{name(record_key)} AS record_id", *[f"{name(c)} AS {name('__e_' + c)}" for c in kept], f"{hit} AS __hit"
     )
-    return rows.select("__hit.*", "record_id", *kept)
+    return rows.selectExpr("__hit.*", "record_id", *[name("__e_" + c) for c in kept])
 
 
-def _hit(rule: Rule, df: DataFrame, evidence: bool) -> Column:
-    fields = [
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(rule.issue).alias("issue_type"),
-        F.lit(rule.severity).alias("severity"),
-        F.lit(rule.dimension).alias("dimension"),
-    ]
+def _hit(rule: Rule, df: DataFrame, evidence: bool) -> str:
+    facts = {
+        "rule_id": rule.rule_id,
+        "issue_type": rule.issue,
+        "severity": rule.severity,
+        "dimension": rule.dimension,
+    }
+    fields = ", ".join(f"'{k}', {literal(v)}" for k, v in facts.items())
     if evidence:
-        columns = _evidence(df, [rule])
-        packed = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}) if columns else F.lit("{}")
-        fields.append(packed.alias("evidence"))
-    return F.struct(*fields)
+        packed = ", ".join(map(name, _evidence(df, [rule])))
+        fields += f", 'evidence', to_json(struct({packed}), map('ignoreNullFields', 'false'))"
+    return f"named_struct({fields})"
 
 
 def _evidence(df: DataFrame, rules: Sequence[Rule]) -> list[str]:
@@ -239,15 +235,10 @@ def failed_examples(
 
 def with_examples(results: DataFrame, examples: DataFrame) -> DataFrame:
     """Attach the example rows to the results as one JSON list per rule."""
-    packed = examples.groupBy("rule_id").agg(
-        F.sort_array(F.collect_list(F.struct("example_no", "evidence"))).alias("items")
-    )
-    texts = packed.select(
-        "rule_id",
-        F.concat(F.lit("["), F.array_join(F.col("items.evidence"), ", "), F.lit("]")).alias("failed_examples"),
-    )
-    return results.join(texts, "rule_id", "left").select(
-        *results.columns, F.coalesce("failed_examples", F.lit("[]")).alias("failed_examples")
+    ordered = "sort_array(collect_list(struct(example_no, evidence))).evidence"
+    texts = examples.groupBy("rule_id").agg(F.expr(f"'[' || array_join({ordered}, ', ') || ']' AS shown"))
+    return results.join(texts, "rule_id", "left").selectExpr(
+        *results.columns, "coalesce(shown, '[]') AS failed_examples"
     )
 
 

@@ -10,22 +10,19 @@ anything back to the rows. Only the row-level outputs need ``mark_rows``.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.text import stripped_text
+from plumbline.functions.text import is_blank, name, stripped_text
 
-# Upper bound on the rows of the broadcast side that isolates heavy failing keys. Any key outside
-# the HOT_KEYS largest groups holds at most 1/HOT_KEYS of the rows.
+# Upper bound on the rows of the broadcast side that isolates heavy keys. Any key outside the
+# HOT_KEYS largest groups holds at most 1/HOT_KEYS of the rows.
 HOT_KEYS = 1000
 
 # Number of shuffle targets over which the rows of one heavy key are spread.
 SALTS = 256
 
-GROUP_ROWS = "__rows"
-
 
 class KeyCheck:
     """A rule decided per key group.
@@ -33,11 +30,11 @@ class KeyCheck:
     ``keys`` are the grouping expressions; rows outside ``scope`` pass.
     """
 
-    def keys(self) -> list[Column]:
+    def keys(self) -> list[str]:
         raise NotImplementedError
 
-    def scope(self) -> Column | None:
-        return None
+    def scope(self) -> str:
+        return "true"
 
     def reads(self) -> list[str]:
         """The columns of the checked table that the rule needs."""
@@ -47,19 +44,15 @@ class KeyCheck:
         """All key groups, every key once: ``__k0 … __kn``, ``__rows`` and the verdict ``__bad``."""
         raise NotImplementedError
 
-    def failing_groups(self, df: DataFrame, refs: dict[str, DataFrame]) -> DataFrame:
-        return self.judged_groups(df, refs).where("__bad").drop("__bad")
-
     def key_names(self) -> list[str]:
         return [f"__k{i}" for i in range(len(self.keys()))]
 
-    def _in_scope(self, df: DataFrame) -> DataFrame:
-        scope = self.scope()
-        return df if scope is None else df.where(scope)
-
-    def _groups(self, df: DataFrame) -> DataFrame:
-        named = [k.alias(n) for k, n in zip(self.keys(), self.key_names())]
-        return self._in_scope(df).groupBy(*named).agg(F.count(F.lit(1)).alias(GROUP_ROWS))
+    def _groups(self, df: DataFrame, *aggregates: str) -> DataFrame:
+        scoped = df if self.scope() == "true" else df.where(self.scope())
+        keyed = scoped.selectExpr(
+            *[f"{k} AS {n}" for k, n in zip(self.keys(), self.key_names())], *map(name, self.reads())
+        )
+        return keyed.groupBy(*self.key_names()).agg(F.expr("count(*) AS __rows"), *map(F.expr, aggregates))
 
 
 @dataclass(frozen=True)
@@ -74,18 +67,18 @@ class UniqueKey(KeyCheck):
     ignore_blank: bool = False
 
     def keys(self):
-        return [stripped_text(c) if self.strip else F.col(c) for c in self.columns]
+        return [stripped_text(name(c)) if self.strip else name(c) for c in self.columns]
 
     def scope(self):
         if not self.ignore_blank:
-            return None
-        return reduce(lambda a, b: a & b, [stripped_text(c) != "" for c in self.columns])
+            return "true"
+        return " AND ".join(f"NOT {is_blank(name(c))}" for c in self.columns)
 
     def reads(self):
         return list(self.columns)
 
     def judged_groups(self, df, refs):
-        return self._groups(df).withColumn("__bad", F.col(GROUP_ROWS) > 1)
+        return self._groups(df).selectExpr(*self.key_names(), "__rows", "__rows > 1 AS __bad")
 
 
 @dataclass(frozen=True)
@@ -98,18 +91,18 @@ class ForeignKey(KeyCheck):
     optional: bool = False
 
     def keys(self):
-        return [F.col(self.column)]
+        return [name(self.column)]
 
     def scope(self):
-        return F.col(self.column).isNotNull() if self.optional else None
+        return f"{name(self.column)} IS NOT NULL" if self.optional else "true"
 
     def reads(self):
         return [self.column]
 
     def judged_groups(self, df, refs):
         known = distinct_keys(refs[self.table], self.table_column)
-        judged = self._groups(df).join(known, F.col("__k0") == F.col("__known"), "left")
-        return judged.select("__k0", GROUP_ROWS, F.col("__known").isNull().alias("__bad"))
+        judged = self._groups(df).join(known, F.expr("__k0 = __known"), "left")
+        return judged.selectExpr("__k0", "__rows", "__known IS NULL AS __bad")
 
 
 @dataclass(frozen=True)
@@ -124,38 +117,32 @@ class NoTwoCycle(KeyCheck):
     parent: str
 
     def keys(self):
-        c, p = F.col(self.child), F.col(self.parent)
-        return [F.least(c, p), F.greatest(c, p)]
+        pair = f"{name(self.child)}, {name(self.parent)}"
+        return [f"least({pair})", f"greatest({pair})"]
 
     def scope(self):
-        return F.col(self.child).isNotNull() & F.col(self.parent).isNotNull()
+        return f"{name(self.child)} IS NOT NULL AND {name(self.parent)} IS NOT NULL"
 
     def reads(self):
         return [self.child, self.parent]
 
     def judged_groups(self, df, refs):
-        low, high = self.key_names()
-        c, p = F.col(self.child), F.col(self.parent)
-        named = [k.alias(n) for k, n in zip(self.keys(), self.key_names())]
-        pairs = self._in_scope(df).groupBy(*named).agg(
-            F.count(F.lit(1)).alias(GROUP_ROWS),
-            F.count_if(c < p).alias("__up"),
-            F.count_if(c > p).alias("__down"),
+        c, p = name(self.child), name(self.parent)
+        pairs = self._groups(df, f"count_if({c} < {p}) AS __up", f"count_if({c} > {p}) AS __down")
+        return pairs.selectExpr(
+            "__k0", "__k1", "__rows", "(__k0 = __k1 OR (__up > 0 AND __down > 0)) AS __bad"
         )
-        both_ways = (F.col("__up") > 0) & (F.col("__down") > 0)
-        bad = (F.col(low) == F.col(high)) | both_ways
-        return pairs.select(low, high, GROUP_ROWS, bad.alias("__bad"))
 
 
-def distinct_keys(df: DataFrame, column: str, name: str = "__known") -> DataFrame:
-    """The non-null values of a column, each once."""
-    return df.select(F.col(column).alias(name)).where(F.col(name).isNotNull()).distinct()
+def distinct_keys(df: DataFrame, column: str) -> DataFrame:
+    """The non-null values of a column, each once, as ``__known``."""
+    return df.selectExpr(f"{name(column)} AS __known").where("__known IS NOT NULL").distinct()
 
 
 def failing_row_count(check: KeyCheck, df: DataFrame, refs: dict[str, DataFrame]) -> DataFrame:
     """One row with the number of rows that fail a key rule."""
-    groups = check.failing_groups(df.select(*check.reads()), refs)
-    return groups.agg(F.coalesce(F.sum(GROUP_ROWS), F.lit(0)).cast("long").alias("failed_count"))
+    groups = check.judged_groups(df.select(*check.reads()), refs)
+    return groups.agg(F.expr("coalesce(sum(CASE WHEN __bad THEN __rows END), 0L) AS failed_count"))
 
 
 def mark_rows(df: DataFrame, check: KeyCheck, refs: dict[str, DataFrame], flag: str) -> DataFrame:
@@ -172,29 +159,25 @@ def mark_rows(df: DataFrame, check: KeyCheck, refs: dict[str, DataFrame], flag:
     """
     names = check.key_names()
     judged = check.judged_groups(df.select(*check.reads()), refs)
-    groups = judged.where("__bad")
-    hot_names = [f"__h{i}" for i in range(len(names))]
-    hot = (
-        judged.orderBy(F.col(GROUP_ROWS).desc(), *[F.col(n) for n in names])
-        .limit(HOT_KEYS)
-        .select(*[F.col(n).alias(h) for n, h in zip(names, hot_names)], F.col("__bad").alias("__hot"))
+    hot = judged.orderBy(F.desc("__rows"), *names).limit(HOT_KEYS).selectExpr(
+        *[f"{n} AS __h{i}" for i, n in enumerate(names)], "__bad AS __hot"
+    )
+    bad = judged.where("__bad").selectExpr(*names, "0L AS __group_salt", "true AS __hit")
+
+    keyed = df.selectExpr(
+        "*", *[f"{k} AS __r{i}" for i, k in enumerate(check.keys())], f"coalesce({check.scope()}, false) AS __in"
+    )
+    hot_match = " AND ".join(f"__r{i} <=> __h{i}" for i in range(len(names)))
+    hashed = ", ".join(name(c) for c in _hashable(df))
+    salted = keyed.join(F.broadcast(hot), F.expr(hot_match), "left").selectExpr(
+        "*",
+        f"CASE WHEN __hot IS NULL THEN 0L ELSE pmod(xxhash64(spark_partition_id(), {hashed}), {SALTS}) + 1 END AS __salt",
     )
-    scope = check.scope()
-    in_scope = F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
-
-    keyed = df.select("*", *[k.alias(f"__r{i}") for i, k in enumerate(check.keys())], in_scope.alias("__in"))
-    row_names = [f"__r{i}" for i in range(len(names))]
-    hot_match = [F.col(r).eqNullSafe(F.col(h)) for r, h in zip(row_names, hot_names)]
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *row_names, *[F.col(c) for c in _hashable(df)]), F.lit(SALTS)) + 1
-    salted = (
-        keyed.join(F.broadcast(hot), hot_match, "left")
-        .withColumn("__salt", F.when(F.col("__hot").isNotNull(), spread).otherwise(F.lit(0).cast("long")))
+    match = " AND ".join([*[f"__r{i} <=> {n}" for i, n in enumerate(names)], "__salt = __group_salt"])
+    joined = salted.join(bad, F.expr(match), "left")
+    return joined.selectExpr(
+        *map(name, df.columns), f"(__in AND coalesce(__hot, __hit, false)) AS {name(flag)}"
     )
-    small = groups.select(*names, F.lit(0).cast("long").alias("__gsalt"), F.lit(True).alias("__hit"))
-    match = [F.col(r).eqNullSafe(F.col(n)) for r, n in zip(row_names, names)]
-    joined = salted.join(small, [*match, F.col("__salt") == F.col("__gsalt")], "left")
-    failed = F.col("__in") & F.coalesce("__hot", "__hit", F.lit(False))
-    return joined.select(*[F.col(c) for c in df.columns], failed.alias(flag))
 
 
 def _hashable(df: DataFrame) -> list[str]:
@@ -207,10 +190,9 @@ def fan_out_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     Written as an inner join plus the unmatched rows: a heavy partition of an inner join can be
     split on either side at run time, that of a left join only on the left.
     """
-    right_only = [c for c in right.columns if c != key]
-    matched = left.join(right, key, "inner").select(*left.columns, *right_only)
-    types = {f.name: f.dataType for f in right.schema.fields}
-    unmatched = left.join(distinct_keys(right, key), F.col(key) == F.col("__known"), "left_anti").select(
-        *left.columns, *[F.lit(None).cast(types[c]).alias(c) for c in right_only]
+    right_only = [f for f in right.schema.fields if f.name != key]
+    matched = left.join(right, key, "inner").select(*left.columns, *[f.name for f in right_only])
+    unmatched = left.join(distinct_keys(right, key), F.expr(f"{name(key)} = __known"), "left_anti").selectExpr(
+        *map(name, left.columns), *[f"CAST(NULL AS {f.dataType.simpleString()}) AS {name(f.name)}" for f in right_only]
     )
     return matched.unionByName(unmatched)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.dates import as_of_column
+from plumbline.functions.dates import as_of_sql
 from plumbline.functions.predicates import (
     AnyOf, Between, FreshWithin, InSet, NotBelow, NotBlank, NotEqual, NotNull, NotOverdue, RequiredIf, RowCheck,
 )
@@ -19,7 +19,7 @@ STALE_ACTIVE = FreshWithin("last_verified_date", v.FRESH_DAYS, only=("status", (
 
 
 def failing_rows(df: DataFrame, check: RowCheck, columns: tuple[str, ...], as_of: AsOf = None) -> DataFrame:
-    return df.where(check.failed(as_of_column(as_of))).select(*columns)
+    return df.where(check.failed(as_of_sql(as_of))).select(*columns)
 
 
 def repeated_keys(df: DataFrame, key: str, count_name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.dates import as_of_column
+from plumbline.functions.dates import as_of_sql
 from plumbline.functions.predicates import Between, FreshWithin, InSet, NotEqual, NotNull, NotOverdue, RequiredIf
 from plumbline.model import Rule
 from plumbline.operators.evaluate import AsOf, exceptions, union_all
@@ -14,7 +14,7 @@ from plumbline.rules import vocabulary as v
 
 
 def _failing(check, as_of):
-    return F.count_if(check.failed(as_of_column(as_of)))
+    return F.expr(f"count_if({check.failed(as_of_sql(as_of))})")
 
 
 STALE_ACTIVE = FreshWithin("last_verified_date", v.FRESH_DAYS, only=("status", ("Active",)))
@@ -51,9 +51,9 @@ def issuer_linkage(issuers: DataFrame, entities: DataFrame) -> DataFrame:
     key before they meet, and the multiplicity is applied to the counts, so the multiplied rows never
     exist and no key can be heavy in the join.
     """
-    no_exchange = RequiredIf("listing_status", "Listed", "exchange_code").failed(as_of_column(None))
+    no_exchange = RequiredIf("listing_status", "Listed", "exchange_code").failed(as_of_sql(None))
     left = issuers.groupBy("entity_id", "source_system").agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(no_exchange).alias("no_exchange")
+        F.count(F.lit(1)).alias("rows"), F.expr(f"count_if({no_exchange}) AS no_exchange")
     )
     right = (
         entities.where(F.col("entity_id").isNotNull())

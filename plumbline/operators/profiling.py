@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.numbers import percentage
-from plumbline.functions.text import stripped_text
+from plumbline.functions.text import is_blank, literal, name
 from plumbline.operators.evaluate import union_all
 
 MISSING_TEXT = "nan"
@@ -19,15 +19,15 @@ MISSING_TEXT = "nan"
 
 def value_counts(df: DataFrame) -> DataFrame:
     """Every column's values as text with their number of rows; null is a value of its own."""
-    lines = [
-        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
-                 F.lit(f.dataType.simpleString()).alias("dtype"), F.col(f.name).cast("string").alias("value"))
+    lines = ", ".join(
+        f"named_struct('position', {i}, 'column_name', {literal(f.name)}, 'dtype', "
+        f"{literal(f.dataType.simpleString())}, 'value', CAST({name(f.name)} AS STRING))"
         for i, f in enumerate(df.schema.fields)
-    ]
+    )
     return (
-        df.select(F.inline(F.array(*lines)))
+        df.selectExpr(f"inline(array({lines}))")
         .groupBy("position", "column_name", "dtype", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.expr("count(*) AS rows"))
     )
 
 
@@ -59,11 +59,10 @@ def profile(df: DataFrame, table_name: str, top: int = 5) -> DataFrame:
         F.transform("items", lambda i: F.struct(i["shown"].alias("value"), i["rows"].alias("rows"))).alias("top_values"),
     )
     joined = facts.join(listed, "column_name", "left")
-    whole = F.col("row_count")
     found = joined.select(
         F.lit(table_name).alias("table_name"), "position", "column_name", "row_count", "missing_count",
-        percentage(F.col("missing_count"), whole).alias("missing_pct"), "unique_count",
-        percentage(F.col("unique_count"), whole).alias("unique_pct"), "dtype", "top_values",
+        percentage("missing_count", "row_count").alias("missing_pct"), "unique_count",
+        percentage("unique_count", "row_count").alias("unique_pct"), "dtype", "top_values",
     )
     return _complete(df, found, table_name)
 
@@ -111,7 +110,7 @@ def onboarding_profile(df: DataFrame, dataset_name: str, key: str, samples: int
     """
     counts = value_counts(df)
     present = F.col("value").isNotNull()
-    blank = stripped_text("value") == ""
+    blank = F.expr(is_blank("value"))
     rows = F.col("rows")
     facts = counts.groupBy("column_name").agg(
         F.sum("rows").alias("total_rows"),
@@ -126,7 +125,7 @@ def onboarding_profile(df: DataFrame, dataset_name: str, key: str, samples: int
     return joined.orderBy("position").select(
         F.lit(dataset_name).alias("dataset_name"), "column_name", "dtype", "total_rows", "missing_count",
         "blank_count", both.alias("missing_or_blank_count"),
-        percentage(both, F.col("total_rows")).alias("missing_or_blank_pct"),
+        percentage("(missing_count + blank_count)", "total_rows").alias("missing_or_blank_pct"),
         F.col("blank_count").alias("missing_or_blank_distinct"), "distinct_count", "sample_values",
     )
 

@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.dates import as_of_column
 from plumbline.functions.predicates import (
     Between, DateOrder, Implies, InSet, NotBelow, NotBlank, NotPrefix, NotSentinel, PositiveNumber, ValidDate,
 )
-from plumbline.functions.text import replace_values, stripped_text
+from plumbline.functions.text import literal, literals, name, replace_values, stripped_text
 from plumbline.operators.keys import UniqueKey, mark_rows
 from plumbline.rules import vocabulary as v
 
@@ -58,38 +57,36 @@ def standardise(
         }
     columns = []
     for field in df.schema.fields:
-        column = F.col(field.name)
+        c = name(field.name)
         if isinstance(field.dataType, T.StringType):
-            column = replace_values(stripped_text(field.name), fixes.get(field.name, {}))
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            c = replace_values(stripped_text(c), fixes.get(field.name, {}))
+        columns.append(f"{c} AS {name(field.name)}")
+    return df.selectExpr(*columns)
 
 
 def flag_issues(df: DataFrame) -> DataFrame:
     """Add ``remediation_flags``, the issues of a record joined by ``;``, and ``issue_count``."""
-    today = as_of_column(None)  # no flag depends on the date
     marked = mark_rows(df, FLAGS[DUPLICATE_FLAG], {}, "__duplicate")
-    fired = [
-        F.when(F.col("__duplicate") if name == DUPLICATE_FLAG else check.failed(today), F.lit(name))
-        for name, check in FLAGS.items()
-    ]
-    flags = F.array_compact(F.array(*fired))
-    listed = marked.select(*df.columns, flags.alias("__flags"))
-    return listed.select(
-        *df.columns,
-        F.array_join("__flags", ";").alias("remediation_flags"),
-        F.size("__flags").alias("issue_count"),
+    fired = []
+    for flag, check in FLAGS.items():
+        # No flag depends on the date.
+        condition = "__duplicate" if flag == DUPLICATE_FLAG else check.failed("current_date()")
+        fired.append(f"CASE WHEN {condition} THEN {literal(flag)} END")
+    listed = marked.selectExpr(*map(name, df.columns), f"array_compact(array({', '.join(fired)})) AS __flags")
+    return listed.selectExpr(
+        *map(name, df.columns), "array_join(__flags, ';') AS remediation_flags", "size(__flags) AS issue_count"
     )
 
 
 def decide(flagged: DataFrame) -> DataFrame:
     """Add ``curation_status`` and ``curated_at``; both outputs come from this one pass."""
-    blocking = F.array(*[F.lit(f) for f in FLAGS if f not in NON_BLOCKING])
-    blocked = F.arrays_overlap(F.split("remediation_flags", ";"), blocking)
-    return flagged.withColumns({
-        "curation_status": F.when(blocked, QUARANTINED).otherwise(ACCEPTED),
-        "curated_at": F.current_timestamp(),
-    })
+    blocking = literals([f for f in FLAGS if f not in NON_BLOCKING])
+    blocked = f"arrays_overlap(split(remediation_flags, ';'), array({blocking}))"
+    return flagged.selectExpr(
+        "*",
+        f"CASE WHEN {blocked} THEN {literal(QUARANTINED)} ELSE {literal(ACCEPTED)} END AS curation_status",
+        "current_timestamp() AS curated_at",
+    )
 
 
 def remediate(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.numbers import exact_mean, percentage, round_even
+from plumbline.functions.numbers import exact_mean_sql, percentage_sql, round_even_sql
 
 MAX_ROWS = 500
 DEFAULT_ROWS = 50
@@ -20,10 +20,10 @@ def _checked_limit(limit: int) -> int:
 def kpi_snapshot(summary: DataFrame) -> DataFrame:
     """Tables, rules, mean score and failed checks of a table summary."""
     return summary.agg(
-        F.countDistinct("table_name").alias("tables_checked"),
-        F.coalesce(F.sum("total_rules"), F.lit(0)).alias("rules_executed"),
-        round_even(exact_mean("overall_quality_score", 2), 2).alias("average_quality_score"),
-        F.coalesce(F.sum("total_failed_records"), F.lit(0)).alias("failed_record_checks"),
+        F.expr("count(DISTINCT table_name) AS tables_checked"),
+        F.expr("coalesce(sum(total_rules), 0L) AS rules_executed"),
+        F.expr(f"{round_even_sql(exact_mean_sql('overall_quality_score', 2), 2)} AS average_quality_score"),
+        F.expr("coalesce(sum(total_failed_records), 0L) AS failed_record_checks"),
     )
 
 
@@ -62,15 +62,15 @@ def run_summary(results: DataFrame) -> DataFrame:
     A rule raises one exception per failing row, so their number is the sum of the failed counts and the
     exception rows need not be counted. The schema rule counts columns and raises none.
     """
-    failing = F.col("failed_count") > 0
-    raised = F.when(F.col("rule_id") == "SCHEMA_001", 0).otherwise(F.col("failed_count"))
+    failing = "failed_count > 0"
+    checked = "rule_id <> 'SCHEMA_001'"
     return results.agg(
-        F.count(F.lit(1)).alias("rules_executed"),
-        F.count_if(failing).alias("rules_with_failures"),
-        F.coalesce(F.sum(raised), F.lit(0)).cast("long").alias("exceptions_generated"),
-        F.count_if(failing & (F.col("severity") == "Critical")).alias("critical_rules_failing"),
-        F.count_if(failing & (F.col("severity") == "High")).alias("high_rules_failing"),
-        F.coalesce(F.max(F.when(F.col("rule_id") != "SCHEMA_001", F.col("total_count"))), F.lit(0)).alias("total_rows"),
+        F.expr("count(*) AS rules_executed"),
+        F.expr(f"count_if({failing}) AS rules_with_failures"),
+        F.expr(f"coalesce(sum(CASE WHEN {checked} THEN failed_count END), 0L) AS exceptions_generated"),
+        F.expr(f"count_if({failing} AND severity = 'Critical') AS critical_rules_failing"),
+        F.expr(f"count_if({failing} AND severity = 'High') AS high_rules_failing"),
+        F.expr(f"coalesce(max(CASE WHEN {checked} THEN total_count END), 0L) AS total_rows"),
     )
 
 
@@ -89,13 +89,12 @@ def preview(df: DataFrame, key: str, n: int = 100) -> DataFrame:
 
 def curation_summary(reviewed: DataFrame) -> DataFrame:
     """Accepted and quarantined records with their rates."""
-    accepted = F.count_if(F.col("curation_status") == "accepted")
-    total = F.count(F.lit(1))
+    accepted = "count_if(curation_status = 'accepted')"
     return reviewed.agg(
-        total.alias("total_records"),
-        F.count_if(F.col("issue_count") > 0).alias("records_with_issues"),
-        accepted.alias("curated_records"),
-        (total - accepted).alias("quarantine_records"),
-        percentage(accepted, total).alias("curated_rate_pct"),
-        percentage(total - accepted, total).alias("quarantine_rate_pct"),
+        F.expr("count(*) AS total_records"),
+        F.expr("count_if(issue_count > 0) AS records_with_issues"),
+        F.expr(f"{accepted} AS curated_records"),
+        F.expr(f"count(*) - {accepted} AS quarantine_records"),
+        F.expr(f"{percentage_sql(accepted, 'count(*)')} AS curated_rate_pct"),
+        F.expr(f"{percentage_sql(f'(count(*) - {accepted})', 'count(*)')} AS quarantine_rate_pct"),
     )

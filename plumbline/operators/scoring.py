@@ -2,40 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.numbers import exact_mean, round_even
+from plumbline.functions.numbers import exact_mean_sql, round_even_sql
 
 # Lower bounds of the status bands.
 GOOD_FROM = 90
 MONITOR_FROM = 80
 
 
-def status_band(score: Column) -> Column:
+def status_band(score: str) -> str:
     return (
-        F.when(score >= GOOD_FROM, "Good").when(score >= MONITOR_FROM, "Monitor").otherwise("Needs Attention")
+        f"CASE WHEN {score} >= {GOOD_FROM} THEN 'Good' WHEN {score} >= {MONITOR_FROM} THEN 'Monitor' "
+        "ELSE 'Needs Attention' END"
     )
 
 
 def scorecard(results: DataFrame) -> DataFrame:
     """Rule results grouped by table and dimension. Pass rates are rounded before they are averaged."""
     grouped = results.groupBy("table_name", "dimension").agg(
-        F.count("rule_id").alias("rule_count"),
-        F.sum("total_count").alias("total_records_checked"),
-        F.sum("failed_count").alias("total_failed_records"),
-        exact_mean("pass_rate", 4).alias("average_pass_rate"),
+        F.expr("count(rule_id) AS rule_count"),
+        F.expr("sum(total_count) AS total_records_checked"),
+        F.expr("sum(failed_count) AS total_failed_records"),
+        F.expr(f"{exact_mean_sql('pass_rate', 4)} AS average_pass_rate"),
     )
-    scored = grouped.withColumn("quality_score", round_even(F.col("average_pass_rate") * F.lit(100.0), 2))
-    return scored.withColumn("status", status_band(F.col("quality_score")))
+    scored = grouped.selectExpr("*", f"{round_even_sql('average_pass_rate * 100.0D', 2)} AS quality_score")
+    return scored.selectExpr("*", f"{status_band('quality_score')} AS status")
 
 
 def table_summary(card: DataFrame) -> DataFrame:
     """Scorecard grouped by table; the dimensions of a table weigh the same."""
     grouped = card.groupBy("table_name").agg(
-        F.countDistinct("dimension").alias("dimensions_checked"),
-        F.sum("rule_count").alias("total_rules"),
-        F.sum("total_failed_records").alias("total_failed_records"),
-        round_even(exact_mean("quality_score", 2), 2).alias("overall_quality_score"),
+        F.expr("count(DISTINCT dimension) AS dimensions_checked"),
+        F.expr("sum(rule_count) AS total_rules"),
+        F.expr("sum(total_failed_records) AS total_failed_records"),
+        F.expr(f"{round_even_sql(exact_mean_sql('quality_score', 2), 2)} AS overall_quality_score"),
     )
-    return grouped.withColumn("status", status_band(F.col("overall_quality_score")))
+    return grouped.selectExpr("*", f"{status_band('overall_quality_score')} AS status")

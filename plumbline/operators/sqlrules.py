@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions.text import literal, literals, name
 from plumbline.operators.evaluate import finish_results, union_all
 from plumbline.rules.trades_sql import SqlRule
 
@@ -87,7 +88,7 @@ def run_sql_rules(df: DataFrame, rules: Sequence[SqlRule], view: str) -> DataFra
 
 
 def _total(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(None).cast("string").alias("rule_id"), "n")
+    return df.agg(F.expr("count(*) AS n")).selectExpr("CAST(NULL AS STRING) AS rule_id", "n")
 
 
 def _compile(spark: SparkSession, df: DataFrame, rules: Sequence[SqlRule], view: str):
@@ -101,15 +102,14 @@ def _compile(spark: SparkSession, df: DataFrame, rules: Sequence[SqlRule], view:
             if rule.where:
                 shared.append(rule)
             else:
-                frames[rule.rule_id] = selected.agg(F.count(F.lit(1)).alias("n")).select(
-                    F.lit(rule.rule_id).alias("rule_id"), "n"
-                )
+                counted = selected.agg(F.expr("count(*) AS n"))
+                frames[rule.rule_id] = counted.selectExpr(f"{literal(rule.rule_id)} AS rule_id", "n")
         except PySparkException as problem:
             errors[rule.rule_id] = str(problem)
     if shared:
-        counted = df.agg(*[F.count_if(F.expr(r.where)).alias(f"f{i}") for i, r in enumerate(shared)])
-        lines = [F.struct(F.lit(r.rule_id).alias("rule_id"), F.col(f"f{i}").alias("n")) for i, r in enumerate(shared)]
-        frames["shared scan"] = counted.select(F.inline(F.array(*lines)))
+        counted = df.agg(*[F.expr(f"count_if({r.where}) AS f{i}") for i, r in enumerate(shared)])
+        lines = ", ".join(f"named_struct('rule_id', {literal(r.rule_id)}, 'n', f{i})" for i, r in enumerate(shared))
+        frames["shared scan"] = counted.selectExpr(f"inline(array({lines}))")
     return frames, errors
 
 
@@ -131,23 +131,20 @@ def sql_failed_rows(df: DataFrame, rules: Sequence[SqlRule], view: str) -> DataF
     frames = []
     if shared:
         wanted = list(dict.fromkeys(c for r in shared for c in r.columns))
-        fired = F.array_compact(F.array(*[F.when(F.expr(r.where), _facts(r)) for r in shared]))
-        hits = df.select(*wanted, F.explode(fired).alias("__hit"))
-        shown = [
-            F.when(F.col("__hit.rule_id").isin(*[r.rule_id for r in shared if c in r.columns]), F.col(c)).alias(c)
-            for c in wanted
-        ]
-        frames.append(hits.select("__hit.*", *shown))
+        fired = ", ".join(f"CASE WHEN {r.where} THEN {_facts(r)} END" for r in shared)
+        hits = df.selectExpr(*map(name, wanted), f"explode(array_compact(array({fired}))) AS __hit")
+        shown = []
+        for c in wanted:
+            reporting = literals([r.rule_id for r in shared if c in r.columns])
+            shown.append(f"CASE WHEN __hit.rule_id IN ({reporting}) THEN {name(c)} END AS {name(c)}")
+        frames.append(hits.selectExpr("__hit.*", *shown))
     for r in rules:
         if not r.where:
-            frames.append(spark.sql(r.sql(view)).select(F.inline(F.array(_facts(r))), "*"))
+            frames.append(spark.sql(r.sql(view)).selectExpr(f"inline(array({_facts(r)}))", "*"))
     return union_all(frames, ragged=True)
 
 
-def _facts(rule: SqlRule):
-    return F.struct(
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(rule.severity).alias("severity"),
-        F.lit(rule.dimension).alias("dimension"),
-        F.lit(rule.description).alias("issue_type"),
-    )
+def _facts(rule: SqlRule) -> str:
+    facts = {"rule_id": rule.rule_id, "severity": rule.severity, "dimension": rule.dimension,
+             "issue_type": rule.description}
+    return f"named_struct({', '.join(f'{literal(k)}, {literal(v)}' for k, v in facts.items())})"
