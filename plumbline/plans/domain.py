@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.session import prepare
+
 AS_OF = "2025-06-30"
 
 _COUNTRY_CODES = "USGBNGDEFRCASGAEZANLCHIEINBRAUJPHKLU"
@@ -193,12 +195,21 @@ def common_tables(*names: str) -> str:
 
 
 def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a scan that has several splits but fewer than there are cores.
+
+    Such a scan is small. Larger ones already have more splits than cores and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 1 < df.rdd.getNumPartitions() < cores else df
 
 
 def domain_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     base, text = PROJECTIONS[name]
-    return spark.sql(text, base=base_table(spark, folder, base))
+    return spark.sql(text, base=spread(base_table(spark, folder, base)))
 
 
 def domain_tables(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:

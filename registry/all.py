@@ -1,5 +1,5 @@
 """All registered queries."""
 
-from registry import rules
+from registry import rules, tables
 
-ALL = [*rules.QUERIES]
+ALL = [*rules.QUERIES, *tables.QUERIES]
