@@ -212,5 +212,17 @@ def domain_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.sql(text, base=spread(base_table(spark, folder, base)))
 
 
-def domain_tables(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
-    return {n: domain_table(spark, folder, n) for n in names or CORE_TABLES}
+class _Tables(dict):
+    """Domain tables, each built when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        super().__init__()
+        self._source = (spark, folder)
+
+    def __missing__(self, table: str) -> DataFrame:
+        self[table] = domain_table(*self._source, table)
+        return self[table]
+
+
+def domain_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return _Tables(spark, folder)

@@ -1,5 +1,5 @@
 """All registered queries."""
 
-from registry import rules, tables
+from registry import flows, rules, tables
 
-ALL = [*rules.QUERIES, *tables.QUERIES]
+ALL = [*rules.QUERIES, *tables.QUERIES, *flows.QUERIES]

@@ -115,6 +115,8 @@ def _on_core(body: str) -> str:
     )
 
 
+SUMMARY_COLUMNS_SQL = _on_core("SELECT table_name, rule_id, failed_count, pass_rate FROM results")
+
 _SHORT = "table_name, rule_id, dimension, severity, failed_count, pass_rate"
 _SHORT_NAMES = [x.strip() for x in _SHORT.split(",")]
 
