@@ -11,9 +11,9 @@ from plumbline.sources.sinks import read_mart, write_curated, write_mart, write_
 from plumbline.sources.tables import read_csv, read_folder, read_tolerant, stage_views
 from plumbline.streaming import feed
 from registry.base import AS_OF_SQL, TRADE_TABLE, Query, core, trades, with_tables
-from registry.rules import SUMMARY_COLUMNS_SQL, core_results
-from registry.conditions import COUNTRY_LIST
-from registry.tables import VIEW_SQL, _on_reviewed
+from registry.rules import ALL_CORE, ALL_SQL, ALL_TRADE, SUMMARY_COLUMNS_SQL, SUMMARY_SQL, core_results
+from registry.conditions import COUNTRY_LIST, counts_sql
+from registry.tables import MART_EXCEPTIONS_STEP, VIEW_SQL, _on_reviewed
 
 RUN = "run-0001"
 
@@ -203,6 +203,18 @@ def _full_job(spark, folder):
     return whole
 
 
+_FULL_JOB_SQL = _on_reviewed(f"""
+    SELECT 'core' AS stage, 'rule_results' AS output, {len(ALL_CORE)}::BIGINT AS rows
+    UNION ALL SELECT 'core', 'mart_quality_exceptions', (SELECT count(*) FROM ({MART_EXCEPTIONS_STEP}))
+    UNION ALL SELECT 'onboarding', 'column_profile', 25
+    UNION ALL SELECT 'onboarding', 'rule_results', {len(ALL_TRADE) + 1}
+    UNION ALL SELECT 'onboarding', 'failed_records', (SELECT CAST(sum(failed_count) AS BIGINT) FROM ({counts_sql(ALL_TRADE)}))
+    UNION ALL SELECT 'sql', 'rule_results', {len(ALL_SQL)}
+    UNION ALL SELECT 'sql', 'failed_records', (SELECT CAST(sum(failed_count) AS BIGINT) FROM ({counts_sql(ALL_SQL)}))
+    UNION ALL SELECT 'remediation', 'curated', (SELECT count(*) FROM reviewed WHERE curation_status = 'accepted')
+    UNION ALL SELECT 'remediation', 'quarantined', (SELECT count(*) FROM reviewed WHERE curation_status <> 'accepted')""",
+    "entities", "issuers", "kyc_attributes")
+
 QUERIES = [
     Query("src1_csv_scan", _csv_scan, _CSV_SQL),
     Query("src2_folder_scan", _folder_scan, _FOLDER_SQL),
@@ -258,8 +270,8 @@ QUERIES = [
     Query("top4_anomalies", lambda s, d: reports.top_anomalies(anomaly.anomalies(scored(s, d)), 50).select(
         "entity_id", "legal_name", "country_code", "entity_type", "status", "source_system", "anomaly_score")),
     Query("agg17_anomalies_by_source", lambda s, d: reports.anomalies_by_source(anomaly.anomalies(scored(s, d)))),
-    Query("core_job", _core_job),
-    Query("full_job", _full_job),
+    Query("core_job", _core_job, SUMMARY_SQL),
+    Query("full_job", _full_job, _FULL_JOB_SQL),
 ]
 
 

@@ -115,6 +115,7 @@ def _on_core(body: str) -> str:
     )
 
 
+SUMMARY_SQL = _on_core("SELECT * FROM summary")
 SUMMARY_COLUMNS_SQL = _on_core("SELECT table_name, rule_id, failed_count, pass_rate FROM results")
 
 _SHORT = "table_name, rule_id, dimension, severity, failed_count, pass_rate"

@@ -117,7 +117,7 @@ def _view(make):
     return lambda spark, folder: make(core(spark, folder))
 
 
-_MART_EXCEPTIONS = f"""
+MART_EXCEPTIONS_STEP = f"""
     SELECT 'entities' AS table_name, entity_id AS record_id, 'Missing legal name' AS issue_type, 'High' AS severity, source_system
     FROM entities WHERE legal_name IS NULL
     UNION ALL SELECT 'entities', entity_id, 'Invalid country code', 'High', source_system FROM entities
@@ -236,8 +236,8 @@ _REVIEW_STEP = ("reviewed", "SELECT * EXCLUDE (flags), array_to_string(flags, ';
                 "THEN 'quarantined_for_review' ELSE 'accepted' END AS curation_status FROM listed")
 
 
-def _on_reviewed(body: str) -> str:
-    return with_tables([TRADE_TABLE], body, _CLEAN_STEP, _FLAG_STEP, _REVIEW_STEP)
+def _on_reviewed(body: str, *others: str) -> str:
+    return with_tables([TRADE_TABLE, *others], body, _CLEAN_STEP, _FLAG_STEP, _REVIEW_STEP)
 
 
 def reviewed(spark, folder):
@@ -330,7 +330,7 @@ QUERIES = [
           with_tables(["issuers", TRADE_TABLE], f"SELECT trade_id, issuer_id, source_system FROM {TRADE_TABLE} ANTI JOIN issuers USING (issuer_id)")),
     *[Query(n, _view(make), with_tables(CORE_TABLES, VIEW_SQL[n])) for n, make in _VIEW_RUNS.items()],
     Query("set1_mart_quality_exceptions", lambda s, d: marts.quality_exceptions(core(s, d), AS_OF),
-          with_tables(CORE_TABLES, _MART_EXCEPTIONS)),
+          with_tables(CORE_TABLES, MART_EXCEPTIONS_STEP)),
     Query("agg14_column_profile", _profile, _PROFILE_SQL),
     Query("agg15_onboarding_profile", _onboarding_profile, _ONBOARDING_SQL),
     Query("win3_top_values", _win3, _WIN3_SQL),
