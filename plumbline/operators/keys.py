@@ -162,7 +162,9 @@ def mark_rows(df: DataFrame, check: KeyCheck, refs: dict[str, DataFrame], flag:
     hot = judged.orderBy(F.desc("__rows"), *names).limit(HOT_KEYS).selectExpr(
         *[f"{n} AS __h{i}" for i, n in enumerate(names)], "__bad AS __hot"
     )
-    bad = judged.where("__bad").selectExpr(*names, "0L AS __group_salt", "true AS __hit")
+    # Always 0, but not a constant to the optimizer: a constant would leave the join keys, and the salt
+    # with it. It also keeps both uses of the groups on one and the same aggregate.
+    bad = judged.where("__bad").selectExpr(*names, "pmod(__rows, 1L) AS __group_salt", "true AS __hit")
 
     keyed = df.selectExpr(
         "*", *[f"{k} AS __r{i}" for i, k in enumerate(check.keys())], f"coalesce({check.scope()}, false) AS __in"

@@ -137,20 +137,35 @@ def _column_names(df: DataFrame) -> DataFrame:
     )
 
 
+HEAD_ROWS = 100
+
+
 def sample_values(df: DataFrame, key: str, n: int = 5) -> DataFrame:
     """The first non-null values of every column in key order, joined by a bar.
 
-    Each column is a top-``n`` of its own: a bounded heap per task over two columns, no sort.
+    The first ``HEAD_ROWS`` rows, a bounded top-n of one scan, decide every column that has ``n`` values
+    among them. Rows that share the key of the last one do not count, as others of that key were cut off.
+    A column that is left open, being sparse, gets a top-n of its own over the whole table.
     """
-    firsts = [
-        df.select(F.col(key).cast("string").alias("k"), F.col(c).cast("string").alias("value"))
-        .where(F.col("value").isNotNull())
-        .orderBy(F.col("k").asc_nulls_last(), "value")
-        .limit(n)
-        .select(F.lit(c).alias("column_name"), "k", "value")
-        for c in df.columns
-    ]
-    gathered = union_all(firsts).groupBy("column_name").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("k").isNull().alias("last"), "k", "value"))).alias("items")
-    )
-    return gathered.select("column_name", F.array_join(F.col("items.value"), " | ").alias("sample_values"))
+    spark = df.sparkSession
+    texts = df.selectExpr(f"CAST({name(key)} AS STRING) AS __key", *[f"CAST({name(c)} AS STRING) AS {name(c)}" for c in df.columns])
+    head = texts.orderBy(F.col("__key").asc_nulls_last()).limit(HEAD_ROWS).collect()
+    whole = len(head) < HEAD_ROWS
+    sure = head if whole else [r for r in head if r["__key"] != head[-1]["__key"]]
+    decided, open_columns = [], []
+    for c in df.columns:
+        found = sorted((r["__key"] is None, r["__key"] or "", r[c]) for r in sure if r[c] is not None)[:n]
+        if len(found) == n or whole:
+            decided.append((c, " | ".join(v for *_, v in found)))
+        else:
+            open_columns.append(c)
+    frames = [spark.createDataFrame(decided, "column_name STRING, sample_values STRING")]
+    for c in open_columns:
+        first = (
+            texts.selectExpr("__key", f"{name(c)} AS value").where("value IS NOT NULL")
+            .orderBy(F.col("__key").asc_nulls_last(), "value").limit(n)
+        )
+        ordered = "sort_array(collect_list(struct(__key IS NULL AS last, __key, value))).value"
+        frames.append(first.agg(F.expr(f"array_join({ordered}, ' | ') AS sample_values")).selectExpr(
+            f"{literal(c)} AS column_name", "sample_values"))
+    return union_all(frames)

@@ -201,15 +201,18 @@ def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of a scan that has several splits but fewer than there are cores.
 
-    Such a scan is small. Larger ones already have more splits than cores and are left alone.
+    Such a scan is small. Larger ones already have more splits than cores and are left alone. The two
+    leading columns spread the rows; naming no more keeps unused columns out of the shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 1 < df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *df.columns[:2]) if 1 < df.rdd.getNumPartitions() < cores else df
 
 
 def domain_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     base, text = PROJECTIONS[name]
-    return spark.sql(text, base=spread(base_table(spark, folder, base)))
+    source = base_table(spark, folder, base)
+    # Only this projection costs enough per row to be worth spreading.
+    return spark.sql(text, base=spread(source) if name == "counterparty_trade_links" else source)
 
 
 class _Tables(dict):

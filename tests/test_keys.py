@@ -1,6 +1,7 @@
 """Key rules against brute force, with and without heavy keys."""
 
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -55,11 +56,15 @@ def test_shuffled_join_gives_the_same_marks(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        marked = keys.mark_rows(df, UniqueKey(("a",)), {}, "bad").collect()
+        frame = keys.mark_rows(df, UniqueKey(("a",)), {}, "bad")
+        marked = frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert len(marked) == len(rows)
+    # The salt has to take part in the shuffle, or heavy keys would meet in one task after all.
+    assert re.search(r"hashpartitioning\(.*__salt", plan)
     assert all(r["bad"] == (r["a"] != "single") for r in marked)
 
 
