@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.functions.numbers import percentage
+from plumbline.functions.numbers import percentage_sql
 from plumbline.functions.text import is_blank, literal, name
 from plumbline.operators.evaluate import union_all
 
@@ -18,66 +18,60 @@ MISSING_TEXT = "nan"
 
 
 def value_counts(df: DataFrame) -> DataFrame:
-    """Every column's values as text with their number of rows; null is a value of its own."""
-    lines = ", ".join(
-        f"named_struct('position', {i}, 'column_name', {literal(f.name)}, 'dtype', "
-        f"{literal(f.dataType.simpleString())}, 'value', CAST({name(f.name)} AS STRING))"
-        for i, f in enumerate(df.schema.fields)
-    )
-    return (
-        df.selectExpr(f"inline(array({lines}))")
-        .groupBy("position", "column_name", "dtype", "value")
-        .agg(F.expr("count(*) AS rows"))
-    )
+    """Every column's values as text with their number of rows, the column given by its position.
+
+    Null is a value of its own.
+    """
+    pairs = ", ".join(f"{i}, CAST({name(c)} AS STRING)" for i, c in enumerate(df.columns))
+    lines = df.selectExpr(f"stack({len(df.columns)}, {pairs}) AS (position, value)")
+    return lines.groupBy("position", "value").agg(F.expr("count(*) AS rows"))
+
+
+def _by_position(values: list[str]) -> str:
+    """A text of each column, chosen by its position."""
+    return f"element_at(array({', '.join(map(literal, values))}), position + 1)"
 
 
-def top_values(counts: DataFrame, n: int = 5) -> DataFrame:
-    """The most frequent values per column; ties by value. Tasks pre-select before the shuffle."""
-    shown = F.coalesce("value", F.lit(MISSING_TEXT))
-    order = Window.partitionBy("column_name").orderBy(F.col("rows").desc(), "shown")
-    return (
-        counts.select("column_name", shown.alias("shown"), "rows")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= n)
+def top_values(df: DataFrame, n: int = 5) -> DataFrame:
+    """The most frequent values per column; ties by value."""
+    return _top(value_counts(df), n).selectExpr(f"{_by_position(df.columns)} AS column_name", "shown AS value", "rows", "place")
+
+
+def _top(counts: DataFrame, n: int) -> DataFrame:
+    """Tasks keep only ``n`` candidates per column before the shuffle."""
+    order = Window.partitionBy("position").orderBy(F.desc("rows"), "shown")
+    shown = counts.selectExpr("position", f"coalesce(value, {literal(MISSING_TEXT)}) AS shown", "rows")
+    return shown.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
+
+
+def _facts(counts: DataFrame, *more: str) -> DataFrame:
+    """Rows, missing rows and distinct values per column."""
+    return counts.groupBy("position").agg(
+        F.expr("sum(rows) AS row_count"),
+        F.expr("coalesce(sum(CASE WHEN value IS NULL THEN rows END), 0L) AS missing_count"),
+        F.expr("count(value) AS unique_count"),
+        *map(F.expr, more),
     )
 
 
+def _columns(df: DataFrame) -> DataFrame:
+    """The columns of the table; joined from the left, they keep a line for each column of an empty table."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "position INT, column_name STRING, dtype STRING")
+
+
 def profile(df: DataFrame, table_name: str, top: int = 5) -> DataFrame:
     """Per column: rows, missing, distinct, their percentages, type and most frequent values."""
     counts = value_counts(df)
-    present = F.col("value").isNotNull()
-    facts = counts.groupBy("position", "column_name", "dtype").agg(
-        F.sum("rows").alias("row_count"),
-        F.coalesce(F.sum(F.when(~present, F.col("rows"))), F.lit(0)).alias("missing_count"),
-        F.count_if(present).alias("unique_count"),
-    )
-    best = top_values(counts, top).groupBy("column_name").agg(
-        F.sort_array(F.collect_list(F.struct("place", "shown", "rows"))).alias("items")
-    )
-    listed = best.select(
-        "column_name",
-        F.transform("items", lambda i: F.struct(i["shown"].alias("value"), i["rows"].alias("rows"))).alias("top_values"),
-    )
-    joined = facts.join(listed, "column_name", "left")
-    found = joined.select(
-        F.lit(table_name).alias("table_name"), "position", "column_name", "row_count", "missing_count",
-        percentage("missing_count", "row_count").alias("missing_pct"), "unique_count",
-        percentage("unique_count", "row_count").alias("unique_pct"), "dtype", "top_values",
-    )
-    return _complete(df, found, table_name)
-
-
-def _complete(df: DataFrame, found: DataFrame, table_name: str) -> DataFrame:
-    """An empty table still has a line of zeros per column."""
-    names = df.sparkSession.createDataFrame(
-        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
-        "position int, column_name string, dtype string",
-    )
-    zeros = {"row_count": 0, "missing_count": 0, "missing_pct": 0.0, "unique_count": 0, "unique_pct": 0.0}
-    rest = names.join(found.drop("dtype", "position", "table_name"), "column_name", "left").fillna(zeros)
-    return rest.withColumn("table_name", F.lit(table_name)).orderBy("position").select(
-        "table_name", "column_name", "row_count", "missing_count", "missing_pct", "unique_count", "unique_pct",
-        "dtype", F.coalesce("top_values", F.array().cast("array<struct<value:string,rows:bigint>>")).alias("top_values"),
+    listed = "transform(sort_array(collect_list(struct(place, shown, rows))), i -> struct(i.shown AS value, i.rows AS rows))"
+    best = _top(counts, top).groupBy("position").agg(F.expr(f"{listed} AS top_values"))
+    found = _columns(df).join(_facts(counts), "position", "left").join(best, "position", "left")
+    zeros = {"row_count": 0, "missing_count": 0, "unique_count": 0}
+    return found.fillna(zeros).orderBy("position").selectExpr(
+        f"{literal(table_name)} AS table_name", "column_name", "row_count", "missing_count",
+        f"{percentage_sql('missing_count', 'row_count')} AS missing_pct", "unique_count",
+        f"{percentage_sql('unique_count', 'row_count')} AS unique_pct", "dtype",
+        "coalesce(top_values, CAST(array() AS ARRAY<STRUCT<value: STRING, rows: BIGINT>>)) AS top_values",
     )
 
 
@@ -108,32 +102,17 @@ def onboarding_profile(df: DataFrame, dataset_name: str, key: str, samples: int
     ``blank_count`` includes missing values, so ``missing_or_blank_count`` counts those twice; the
     report has always been read that way. ``missing_or_blank_distinct`` counts each row once.
     """
-    counts = value_counts(df)
-    present = F.col("value").isNotNull()
-    blank = F.expr(is_blank("value"))
-    rows = F.col("rows")
-    facts = counts.groupBy("column_name").agg(
-        F.sum("rows").alias("total_rows"),
-        F.coalesce(F.sum(F.when(~present, rows)), F.lit(0)).alias("missing_count"),
-        F.coalesce(F.sum(F.when(blank, rows)), F.lit(0)).alias("blank_count"),
-        F.count_if(present).alias("distinct_count"),
-    )
-    joined = _column_names(df).join(facts, "column_name", "left").join(
-        sample_values(df, key, samples), "column_name", "left"
-    ).fillna({"total_rows": 0, "missing_count": 0, "blank_count": 0, "distinct_count": 0, "sample_values": ""})
-    both = F.col("missing_count") + F.col("blank_count")
-    return joined.orderBy("position").select(
-        F.lit(dataset_name).alias("dataset_name"), "column_name", "dtype", "total_rows", "missing_count",
-        "blank_count", both.alias("missing_or_blank_count"),
-        percentage("(missing_count + blank_count)", "total_rows").alias("missing_or_blank_pct"),
-        F.col("blank_count").alias("missing_or_blank_distinct"), "distinct_count", "sample_values",
+    facts = _facts(
+        value_counts(df), f"coalesce(sum(CASE WHEN {is_blank('value')} THEN rows END), 0L) AS blank_count"
     )
-
-
-def _column_names(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame(
-        [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
-        "position int, column_name string, dtype string",
+    found = _columns(df).join(facts, "position", "left").join(sample_values(df, key, samples), "column_name", "left")
+    zeros = {"row_count": 0, "missing_count": 0, "blank_count": 0, "unique_count": 0, "sample_values": ""}
+    both = "(missing_count + blank_count)"
+    return found.fillna(zeros).orderBy("position").selectExpr(
+        f"{literal(dataset_name)} AS dataset_name", "column_name", "dtype", "row_count AS total_rows", "missing_count",
+        "blank_count", f"{both} AS missing_or_blank_count",
+        f"{percentage_sql(both, 'row_count')} AS missing_or_blank_pct",
+        "blank_count AS missing_or_blank_distinct", "unique_count AS distinct_count", "sample_values",
     )
 
 
@@ -141,31 +120,28 @@ HEAD_ROWS = 100
 
 
 def sample_values(df: DataFrame, key: str, n: int = 5) -> DataFrame:
-    """The first non-null values of every column in key order, joined by a bar.
+    """The first non-null values of every column, joined by a bar.
 
-    The first ``HEAD_ROWS`` rows, a bounded top-n of one scan, decide every column that has ``n`` values
-    among them. Rows that share the key of the last one do not count, as others of that key were cut off.
-    A column that is left open, being sparse, gets a top-n of its own over the whole table.
+    Rows are ordered by the key, missing keys last, and then by all columns. The first ``HEAD_ROWS`` of them,
+    a bounded top-n of one scan, decide every column that has ``n`` values among them. A column that is
+    left open, being sparse, gets a top-n of its own over the whole table.
     """
     spark = df.sparkSession
-    texts = df.selectExpr(f"CAST({name(key)} AS STRING) AS __key", *[f"CAST({name(c)} AS STRING) AS {name(c)}" for c in df.columns])
-    head = texts.orderBy(F.col("__key").asc_nulls_last()).limit(HEAD_ROWS).collect()
-    whole = len(head) < HEAD_ROWS
-    sure = head if whole else [r for r in head if r["__key"] != head[-1]["__key"]]
+    texts = df.selectExpr(*[f"CAST({name(c)} AS STRING) AS {name(c)}" for c in df.columns])
+    order = [F.col(name(key)).asc_nulls_last(), *[F.col(name(c)) for c in df.columns]]
+    head = texts.orderBy(*order).limit(HEAD_ROWS).collect()
     decided, open_columns = [], []
     for c in df.columns:
-        found = sorted((r["__key"] is None, r["__key"] or "", r[c]) for r in sure if r[c] is not None)[:n]
-        if len(found) == n or whole:
-            decided.append((c, " | ".join(v for *_, v in found)))
+        found = [r[c] for r in head if r[c] is not None][:n]
+        if len(found) == n or len(head) < HEAD_ROWS:
+            decided.append((c, " | ".join(found)))
         else:
             open_columns.append(c)
     frames = [spark.createDataFrame(decided, "column_name STRING, sample_values STRING")]
     for c in open_columns:
-        first = (
-            texts.selectExpr("__key", f"{name(c)} AS value").where("value IS NOT NULL")
-            .orderBy(F.col("__key").asc_nulls_last(), "value").limit(n)
-        )
-        ordered = "sort_array(collect_list(struct(__key IS NULL AS last, __key, value))).value"
-        frames.append(first.agg(F.expr(f"array_join({ordered}, ' | ') AS sample_values")).selectExpr(
+        first = texts.where(f"{name(c)} IS NOT NULL").orderBy(*order).limit(n)
+        row = f"struct({name(key)} IS NULL, {', '.join(map(name, df.columns))}, {name(c)} AS __value)"
+        ordered = f"array_join(sort_array(collect_list({row})).__value, ' | ')"
+        frames.append(first.agg(F.expr(f"{ordered} AS sample_values")).selectExpr(
             f"{literal(c)} AS column_name", "sample_values"))
     return union_all(frames)

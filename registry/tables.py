@@ -130,6 +130,8 @@ MART_EXCEPTIONS_STEP = f"""
 
 # Profiles
 
+_TRADE_FIELDS = [*(x.name for x in TABLES[TRADE_TABLE].fields), "batch_no"]
+
 SPARK_TYPES = {"entities": {"incorporation_date": "date", "last_verified_date": "date", "created_at": "date", "updated_at": "date"},
                "provider_feed": {"confidence_score": "double", "feed_date": "date"},
                "issuers": {}, "entity_hierarchy": {"ownership_percentage": "double", "effective_from": "date", "effective_to": "date"},
@@ -169,8 +171,9 @@ def _onboarding_column_sql(column: str) -> str:
     missing = f"(count(*) - count({column}))"
     blank = f"count(*) FILTER (trim(coalesce({column}, '')) = '')"
     both = f"({missing} + {blank})"
-    samples = (f"(SELECT coalesce(string_agg({column}, ' | ' ORDER BY (trade_id IS NULL), trade_id, {column}), '') FROM (SELECT trade_id, {column} "
-               f"FROM {TRADE_TABLE} WHERE {column} IS NOT NULL ORDER BY trade_id NULLS LAST, {column} LIMIT 5))")
+    order = ", ".join(["trade_id NULLS LAST", *[f"{x} NULLS FIRST" for x in _TRADE_FIELDS]])
+    samples = (f"(SELECT coalesce(string_agg({column}, ' | ' ORDER BY place), '') FROM (SELECT {column}, row_number() OVER (ORDER BY {order}) "
+               f"AS place FROM {TRADE_TABLE} WHERE {column} IS NOT NULL QUALIFY place <= 5))")
     return (f"SELECT '{TRADE_TABLE}' AS dataset_name, '{column}' AS column_name, 'string' AS dtype, count(*) AS total_rows, "
             f"{missing} AS missing_count, {blank} AS blank_count, {both} AS missing_or_blank_count, "
             f"CAST(round_even({both}::DOUBLE / count(*)::DOUBLE * 100.0::DOUBLE, 2) AS DOUBLE) AS missing_or_blank_pct, "
@@ -184,8 +187,7 @@ _ONBOARDING_SQL = with_tables([TRADE_TABLE], "\nUNION ALL\n".join(
 
 
 def _win3(spark, folder):
-    counts = profiling.value_counts(trades(spark, folder).select("currency", "kyc_status", "instrument_type"))
-    return profiling.top_values(counts).selectExpr("column_name", "shown AS value", "rows", "place")
+    return profiling.top_values(trades(spark, folder).select("currency", "kyc_status", "instrument_type"))
 
 
 _WIN3_SQL = with_tables([TRADE_TABLE], f"""
@@ -205,7 +207,6 @@ _FIX = {
     "booking_country": "CASE trim(coalesce(booking_country, '')) WHEN 'UK' THEN 'GB' ELSE trim(coalesce(booking_country, '')) END",
     "instrument_type": "CASE trim(coalesce(instrument_type, '')) WHEN 'Equityy' THEN 'Equity' ELSE trim(coalesce(instrument_type, '')) END",
 }
-_TRADE_FIELDS = [*(x.name for x in TABLES[TRADE_TABLE].fields), "batch_no"]
 _CLEAN_STEP = ("cleaned", "SELECT " + ", ".join(
     f"{_FIX.get(f, f'trim(coalesce({f}, {chr(39)}{chr(39)}))')} AS {f}" for f in _TRADE_FIELDS) + f" FROM {TRADE_TABLE}")
 
