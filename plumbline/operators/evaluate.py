@@ -14,7 +14,7 @@ from plumbline.functions.numbers import percentage_sql, round_even_sql
 from plumbline.functions.predicates import RowCheck
 from plumbline.functions.text import literal, literals, name
 from plumbline.model import DatasetSpec, Rule
-from plumbline.operators.keys import failing_row_count, mark_rows
+from plumbline.operators.keys import mark_rows
 
 AsOf = dt.date | str | None
 
@@ -36,53 +36,61 @@ def rule_results(
     as_of: AsOf = None,
 ) -> DataFrame:
     """One row per rule with its counts, rates and reporting facts."""
-    return finish_results(rule_counts(df, rules, table_name, refs, as_of))
+    return finish_results(rule_counts([(table_name, df, rules)], refs, as_of))
 
 
 def rule_counts(
-    df: DataFrame,
-    rules: Sequence[Rule],
-    table_name: str,
+    parts: Sequence[tuple[str, DataFrame, Sequence[Rule]]],
     refs: dict[str, DataFrame] | None = None,
     as_of: AsOf = None,
 ) -> DataFrame:
-    """One row per rule with the rows checked and failed.
+    """One row per rule with the rows checked and failed, for any number of tables.
 
-    All row-local rules of the table share a single scan and a single aggregate. A key rule reads
-    only its key columns and adds one aggregate of its own.
+    All row-local rules of a table share a single scan and a single aggregate. A key rule reads only
+    its key columns; its groups go straight into the final sum, which is one shuffle for all rules.
     """
     when = as_of_sql(as_of)
-    row_rules = [r for r in rules if isinstance(r.check, RowCheck)]
-    key_rules = [r for r in rules if not isinstance(r.check, RowCheck)]
-    counted = df.agg(
-        F.expr("count(*) AS total"),
-        *[F.expr(f"count_if({r.check.failed(when)}) AS f{i}") for i, r in enumerate(row_rules)],
+    facts: list[str] = []
+    frames: list[DataFrame] = []
+    for table_name, df, rules in parts:
+        aggregates, lines = ["count(*) AS total"], []
+        for r in rules:
+            number, failed = len(facts), "0L"
+            facts.append(_facts(table_name, r))
+            if isinstance(r.check, RowCheck):
+                failed = f"f{number}"
+                aggregates.append(f"count_if({r.check.failed(when)}) AS {failed}")
+            else:
+                groups = r.check.judged_groups(df.select(*r.check.reads()), refs or {})
+                frames.append(groups.selectExpr(
+                    f"{number} AS rule_no", "0L AS total_count", "CASE WHEN __bad THEN __rows ELSE 0L END AS failed_count"
+                ))
+            lines.append(f"{number}, total, {failed}")
+        counted = df.agg(*map(F.expr, aggregates))
+        frames.append(counted.selectExpr(
+            f"stack({len(lines)}, {', '.join(lines)}) AS (rule_no, total_count, failed_count)"
+        ))
+    merged = union_all(frames)
+    if len(frames) > len(parts):
+        merged = merged.groupBy("rule_no").agg(
+            F.expr("sum(total_count) AS total_count"), F.expr("sum(failed_count) AS failed_count")
+        )
+    named = merged.selectExpr(
+        f"element_at(array({', '.join(facts)}), rule_no + 1) AS fact", "total_count", "failed_count"
     )
-    # The table's own row count travels as one extra line, so that key rules can pick it up.
-    lines = [_line(table_name, None, "total", "0L")]
-    lines += [_line(table_name, r, "total", f"f{i}") for i, r in enumerate(row_rules)]
-    frames = [counted.selectExpr(f"inline(array({', '.join(lines)}))")]
-    for r in key_rules:
-        failed = failing_row_count(r.check, df, refs or {})
-        frames.append(failed.selectExpr(f"inline(array({_line(table_name, r, 'CAST(NULL AS BIGINT)', 'failed_count')}))"))
-    if not key_rules:
-        return frames[0].where("rule_id IS NOT NULL")
-    # At most one line per rule, so this window holds a handful of rows.
-    known = F.expr("max(total_count) OVER (PARTITION BY table_name)")
-    return union_all(frames).withColumn("total_count", known).where("rule_id IS NOT NULL")
-
-
-def _line(table_name: str, rule: Rule | None, total: str, failed: str) -> str:
+    return named.selectExpr("fact.*", "total_count", "failed_count")
+
+
+def _facts(table_name: str, rule: Rule) -> str:
     facts = {
         "table_name": table_name,
-        "rule_id": rule and rule.rule_id,
-        "dimension": rule and rule.dimension,
-        "severity": rule and rule.severity,
-        "description": rule and rule.description,
-        "recommendation": rule and rule.recommendation,
+        "rule_id": rule.rule_id,
+        "dimension": rule.dimension,
+        "severity": rule.severity,
+        "description": rule.description,
+        "recommendation": rule.recommendation,
     }
-    fields = ", ".join(f"'{k}', {literal(v)}" for k, v in facts.items())
-    return f"named_struct({fields}, 'total_count', {total}, 'failed_count', {failed})"
+    return f"named_struct({', '.join(f'{literal(k)}, {literal(v)}' for k, v in facts.items())})"
 
 
 def finish_results(counts: DataFrame) -> DataFrame:
@@ -104,9 +112,7 @@ def evaluate_pack(
     tables: dict[str, DataFrame], pack: dict[str, Sequence[Rule]], as_of: AsOf = None
 ) -> DataFrame:
     """Results of a rule pack over several tables; the tables also serve as reference masters."""
-    return finish_results(
-        union_all([rule_counts(tables[t], rules, t, tables, as_of) for t, rules in pack.items()])
-    )
+    return finish_results(rule_counts([(t, tables[t], rules) for t, rules in pack.items()], tables, as_of))
 
 
 def schema_result(df: DataFrame, spec: DatasetSpec) -> DataFrame:
@@ -118,8 +124,8 @@ def schema_result(df: DataFrame, spec: DatasetSpec) -> DataFrame:
         else "All required columns are present."
     )
     rule = Rule("SCHEMA_001", "Schema", "Critical", None, "The dataset has every required column.", advice)
-    line = _line(spec.name, rule, f"{len(spec.required_columns)}L", f"{len(missing)}L")
-    return finish_results(df.sparkSession.range(1).selectExpr(f"inline(array({line}))"))
+    counts = (f"{len(spec.required_columns)}L AS total_count", f"{len(missing)}L AS failed_count")
+    return finish_results(df.sparkSession.range(1).selectExpr(f"inline(array({_facts(spec.name, rule)}))", *counts))
 
 
 def validate_dataset(

@@ -51,14 +51,10 @@ KINDS = {
 
 def _kind(ids):
     def run(spark, folder):
-        frames = []
         tables = core(spark, folder)
-        for name, rules in [*CORE_PACK.items(), (TRADE_TABLE, ALL_TRADE)]:
-            chosen = [r for r in rules if r.rule_id in ids]
-            if chosen:
-                df = trades(spark, folder) if name == TRADE_TABLE else tables[name]
-                frames.append(rule_results(df, chosen, name, tables, AS_OF))
-        return union_all(frames).select(*c.RESULT_NAMES)
+        packs = {**CORE_PACK, TRADE_TABLE: ALL_TRADE}
+        chosen = {t: [r for r in rules if r.rule_id in ids] for t, rules in packs.items()}
+        return evaluate_pack(tables, {t: rules for t, rules in chosen.items() if rules}, AS_OF).select(*c.RESULT_NAMES)
 
     return run
 

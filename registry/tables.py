@@ -272,7 +272,7 @@ def _staged_sql(table):
 def _raw_rules(spark, folder):
     from plumbline.functions.predicates import Between, DateOrder, Expression, FreshWithin, InSet, Matches
     from plumbline.model import Rule
-    from plumbline.operators.evaluate import rule_results
+    from plumbline.operators.evaluate import evaluate_pack
     from plumbline.operators.keys import ForeignKey, UniqueKey
 
     def rule(i, dimension, severity, check):
@@ -292,8 +292,7 @@ def _raw_rules(spark, folder):
         "events": [rule("RAW-9", "Accuracy", "Low", Expression("CAST(get_json_object(props, '$.k') AS INT) >= 90")),
                    rule("RAW-10", "Accuracy", "Low", Expression("value > 200"))],
     }
-    found = union_all([rule_results(t[n], rules, n, t, AS_OF) for n, rules in packs.items()])
-    return found.select("table_name", "rule_id", "total_count", "failed_count")
+    return evaluate_pack(t, packs, AS_OF).select("table_name", "rule_id", "total_count", "failed_count")
 
 
 _RAW_SQL = "\nUNION ALL\n".join(
