@@ -16,7 +16,7 @@ from plumbline.rules.core import CORE_PACK
 from plumbline.rules.trades import TRADES, trade_rules
 from plumbline.rules.trades_sql import trade_sql_rules
 from registry import conditions as c
-from registry.base import AS_OF_SQL, TRADE_TABLE, Query, core, trades, with_tables
+from registry.base import TRADE_TABLE, Query, core, trades, with_tables
 
 ALL_CORE = [r for rules in CORE_PACK.values() for r in rules]
 ALL_TRADE = list(trade_rules())

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from plumbline.functions.text import normalise_name
 from plumbline.operators import listings, marts, profiling, remediation, reports
 from plumbline.operators.evaluate import union_all
-from plumbline.plans.domain import AS_OF, CORE_TABLES, base_table, domain_table, domain_tables
+from plumbline.plans.domain import AS_OF, CORE_TABLES, base_table, domain_table
 from plumbline.schemas import TABLES
 from plumbline.sources.tables import stage
 from registry.base import AS_OF_SQL, TRADE_TABLE, Query, core, trades, with_tables
@@ -270,7 +268,7 @@ def _staged_sql(table):
 # Rules on the base tables, whose imperfections are their own.
 
 def _raw_rules(spark, folder):
-    from plumbline.functions.predicates import Between, DateOrder, Expression, FreshWithin, InSet, Matches
+    from plumbline.functions.predicates import Between, Expression, FreshWithin, InSet, Matches
     from plumbline.model import Rule
     from plumbline.operators.evaluate import evaluate_pack
     from plumbline.operators.keys import ForeignKey, UniqueKey
