@@ -54,7 +54,7 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared folder and read back, which cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = fresh_path(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -20,8 +20,8 @@ def exact_classes(
     Texts are equal when identical after replacing each run of ASCII white space by one space.
 
     1. The 128-bit hashes of the texts are counted; only hashes that occur more than once go on.
-    2. The texts behind those are grouped by hash *and* bytes, so texts that merely share a hash fall into
-       different classes. Copies meet in the map-side combine: each task sends a class once, however hot.
+    2. The texts behind those are grouped by their bytes, so texts that merely share a hash fall into different
+       classes. The heavy hashes of the join before can be split, as the grouping shuffles anew, and copies meet in the map-side combine: each task sends a class once, however hot.
     3. The verdict of a class returns to its rows by (hash, SHA-256). Should two different texts share both,
        the job fails rather than merging them.
 
@@ -37,9 +37,9 @@ def exact_classes(
     repeated = hashed.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     classes = (
         hashed.join(repeated, "h", "left_semi")
-        .groupBy("h", "t")
+        .groupBy("t")
         .agg(F.min("id").alias("least"), F.count("*").alias("n"))
-        .withColumn("s", F.unhex(F.sha2("t", 256)))
+        .select(F.unhex(F.md5("t")).alias("h"), F.unhex(F.sha2("t", 256)).alias("s"), "least", "n")
         .groupBy("h", "s")
         .agg(F.min("least").alias("least"), F.max("n").alias("n"), F.count("*").alias("texts"))
         .select("h", "s", "least", F.when(F.col("texts") == 1, F.col("n")).otherwise(

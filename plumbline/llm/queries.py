@@ -1,6 +1,6 @@
 """The registered queries of this subpackage."""
 
-from plumbline.llm import bpe, exact_dedup, mixing, simhash, token_counts
+from plumbline.llm import bpe, exact_dedup, mixing, pitman_yor, simhash, token_counts
 
 QUERIES = [
     simhash.QUERY,
@@ -8,4 +8,5 @@ QUERIES = [
     mixing.QUERY,
     token_counts.QUERY,
     exact_dedup.QUERY,
+    pitman_yor.QUERY,
 ]
