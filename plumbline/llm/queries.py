@@ -1,12 +1,27 @@
 """The registered queries of this subpackage."""
 
-from plumbline.llm import bpe, exact_dedup, mixing, pitman_yor, simhash, token_counts
+from plumbline.llm import (
+    bpe,
+    exact_dedup,
+    html_text,
+    mixing,
+    pitman_yor,
+    simhash,
+    token_counts,
+    topk_search,
+    toxicity,
+    warc,
+)
 
 QUERIES = [
     simhash.QUERY,
     bpe.QUERY,
     mixing.QUERY,
     token_counts.QUERY,
+    topk_search.QUERY,
+    warc.QUERY,
     exact_dedup.QUERY,
+    html_text.QUERY,
+    toxicity.QUERY,
     pitman_yor.QUERY,
 ]
