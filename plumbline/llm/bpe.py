@@ -15,6 +15,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from plumbline.llm.common import Query, body, col, table
 
@@ -155,7 +156,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """
     carry = [id_col] if carry is None else carry
     keep = docs.select(F.struct(*[col(c).alias(c) for c in carry]).alias("row"), body(text_col).alias("text"))
-    out = keep.select("row").schema.add("ids", "array<int>").add("decoded", "string")
+    out = keep.select("row").schema.add("ids", ArrayType(IntegerType())).add("decoded", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
