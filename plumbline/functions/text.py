@@ -29,7 +29,7 @@ def literal(text: str | None) -> str:
         return "CAST(NULL AS STRING)"
     escaped = "".join(
         {"\\": "\\\\", "'": "\\'", "\n": "\\n", "\r": "\\r", "\t": "\\t"}.get(
-            ch, ch if " " <= ch <= "~" else f"\\u{ord(ch):04x}"
+            ch, ch if " " <= ch <= "~" or ch > "\uffff" else f"\\u{ord(ch):04x}"
         )
         for ch in text
     )

@@ -32,7 +32,6 @@ TREES = 150
 SAMPLE = 256
 CONTAMINATION = 0.03
 SEED = 42
-MAX_REPORTED = 200
 
 FEATURES = (*NUMERIC, *CATEGORICAL)
 
@@ -265,26 +264,26 @@ def add_score(df: DataFrame, forest: Forest, columns: list[str], name: str) -> D
     return df.withColumn(name, score(*[F.col(c) for c in columns]))
 
 
-def weighted_percentile(scored: DataFrame, fraction: float, buckets: int = 65536, enough: int = 100_000) -> float:
+def weighted_percentile(scored: DataFrame, fraction: float, buckets: int = 4096) -> float:
     """Exact percentile, linearly interpolated, of scores in [-1, 0] that occur ``n`` times each.
 
-    The two neighbouring ranks are found by histograms over ever smaller ranges. Only bucket counts and,
-    at the end, at most ``enough`` values reach the driver.
+    The two neighbouring ranks are found by histograms over ever smaller ranges, until one value is left. Only
+    the counts of ``buckets`` buckets reach the driver at a time.
     """
     total = scored.agg(F.expr("sum(n) AS n")).first()["n"]
     position = (total - 1) * fraction
     ranks = [math.floor(position), min(math.floor(position) + 1, total - 1)]
-    found = [_value_at(scored, r, buckets, enough) for r in ranks]
+    found = [_value_at(scored, r, buckets) for r in ranks]
     return found[0] + (found[1] - found[0]) * (position - ranks[0])
 
 
-def _value_at(scored: DataFrame, rank: int, buckets: int, enough: int) -> float:
+def _value_at(scored: DataFrame, rank: int, buckets: int) -> float:
     low, high, before = -1.0, 0.0, 0
     part = scored
     while True:
         bucket = f"CAST(least(floor((score - ({low!r}D)) / {(high - low) / buckets!r}D), {buckets - 1}) AS INT)"
         lines = part.groupBy(F.expr(f"{bucket} AS b")).agg(
-            F.expr("sum(n) AS n"), F.expr("count(*) AS parts"), F.expr("min(score) AS least"), F.expr("max(score) AS most")
+            F.expr("sum(n) AS n"), F.expr("min(score) AS least"), F.expr("max(score) AS most")
         ).collect()
         for line in sorted(lines, key=lambda r: r["b"]):
             if before + line["n"] > rank:
@@ -293,11 +292,6 @@ def _value_at(scored: DataFrame, rank: int, buckets: int, enough: int) -> float:
         if line["least"] == line["most"]:
             return line["least"]
         part = part.where(f"score BETWEEN {line['least']!r}D AND {line['most']!r}D")
-        if line["parts"] <= enough:
-            for r in part.groupBy("score").agg(F.expr("sum(n) AS n")).orderBy("score").collect():
-                if before + r["n"] > rank:
-                    return r["score"]
-                before += r["n"]
         low, high = line["least"], line["most"]
 
 
@@ -334,7 +328,7 @@ def score_entities(entities: DataFrame, as_of: AsOf = None, contamination: float
     )
 
 
-def anomalies(scored: DataFrame, limit: int = MAX_REPORTED) -> DataFrame:
-    """The anomalies, most anomalous first."""
+def anomalies(scored: DataFrame) -> DataFrame:
+    """All anomalies, most anomalous first."""
     found = scored.where("anomaly_label = 'Anomaly'")
-    return found.orderBy("anomaly_score", *[c for c in scored.columns if c != "anomaly_score"]).limit(limit)
+    return found.orderBy("anomaly_score", *[c for c in scored.columns if c != "anomaly_score"])

@@ -10,7 +10,7 @@ from plumbline.functions.predicates import (
     AnyOf, Between, FreshWithin, InSet, NotBelow, NotBlank, NotEqual, NotNull, NotOverdue, RequiredIf, RowCheck,
 )
 from plumbline.operators.evaluate import AsOf
-from plumbline.operators.keys import ForeignKey, fan_out_left_join, mark_rows
+from plumbline.operators.keys import fan_out_left_join
 from plumbline.rules import vocabulary as v
 
 Tables = dict[str, DataFrame]
@@ -33,8 +33,8 @@ def missing_count(df: DataFrame, column: str, name: str) -> DataFrame:
 
 def without_master(df: DataFrame, key: str, master: DataFrame, master_key: str, columns: tuple[str, ...]) -> DataFrame:
     """Rows whose key is missing or unknown to the master."""
-    check = ForeignKey(key, "master", master_key)
-    return mark_rows(df.select(*columns), check, {"master": master}, "__orphan").where("__orphan").select(*columns)
+    known = master.select(F.col(master_key).alias("__known")).where("__known IS NOT NULL").distinct()
+    return df.select(*columns).join(known, F.col(key) == F.col("__known"), "left_anti")
 
 
 def overdue_with_name(t: Tables, as_of: AsOf = None) -> DataFrame:

@@ -140,7 +140,7 @@ def sample_values(df: DataFrame, key: str, n: int = 5) -> DataFrame:
     frames = [spark.createDataFrame(decided, "column_name STRING, sample_values STRING")]
     for c in open_columns:
         first = texts.where(f"{name(c)} IS NOT NULL").orderBy(*order).limit(n)
-        row = f"struct({name(key)} IS NULL, {', '.join(map(name, df.columns))}, {name(c)} AS __value)"
+        row = f"struct({name(key)} IS NULL AS __last, {name(key)} AS __key, {', '.join(map(name, df.columns))}, {name(c)} AS __value)"
         ordered = f"array_join(sort_array(collect_list({row})).__value, ' | ')"
         frames.append(first.agg(F.expr(f"{ordered} AS sample_values")).selectExpr(
             f"{literal(c)} AS column_name", "sample_values"))

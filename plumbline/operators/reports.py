@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from plumbline.functions.numbers import exact_mean_sql, percentage_sql, round_even_sql
 
 MAX_ROWS = 500
-DEFAULT_ROWS = 50
 
 
-def _checked_limit(limit: int) -> int:
+def _limited(df: DataFrame, limit: int | None) -> DataFrame:
+    """The first rows where the caller asks for a number of them, else all."""
+    if limit is None:
+        return df
     if not 1 <= limit <= MAX_ROWS:
         raise ValueError(f"limit must lie between 1 and {MAX_ROWS}, not {limit}")
-    return limit
+    return df.limit(limit)
 
 
 def kpi_snapshot(summary: DataFrame) -> DataFrame:
@@ -41,12 +43,12 @@ def critical_failures(results: DataFrame) -> DataFrame:
     return failing.orderBy(F.col("failed_count").desc(), "rule_id")
 
 
-def failed_rules(results: DataFrame, severity: str | None = None, limit: int = DEFAULT_ROWS) -> DataFrame:
+def failed_rules(results: DataFrame, severity: str | None = None, limit: int | None = None) -> DataFrame:
     """Failing rules, worst first, optionally of one severity in any spelling of its case."""
     failing = results.where(F.col("failed_count") > 0)
     if severity:
         failing = failing.where(F.lower("severity") == severity.lower())
-    return failing.orderBy(F.col("failed_count").desc(), "rule_id").limit(_checked_limit(limit))
+    return _limited(failing.orderBy(F.col("failed_count").desc(), "rule_id"), limit)
 
 
 def select_rules(results: DataFrame, severities: list[str], dimensions: list[str]) -> DataFrame:
@@ -56,11 +58,12 @@ def select_rules(results: DataFrame, severities: list[str], dimensions: list[str
     )
 
 
-def run_summary(results: DataFrame) -> DataFrame:
+def run_summary(results: DataFrame, columns: int | None = None) -> DataFrame:
     """How many rules ran and failed, and how many of them are critical or high.
 
     A rule raises one exception per failing row, so their number is the sum of the failed counts and the
-    exception rows need not be counted. The schema rule counts columns and raises none.
+    exception rows need not be counted. The schema rule counts columns and raises none. ``columns``, the number
+    of columns of the data set, is reported where it is given.
     """
     failing = "failed_count > 0"
     checked = "rule_id <> 'SCHEMA_001'"
@@ -71,11 +74,12 @@ def run_summary(results: DataFrame) -> DataFrame:
         F.expr(f"count_if({failing} AND severity = 'Critical') AS critical_rules_failing"),
         F.expr(f"count_if({failing} AND severity = 'High') AS high_rules_failing"),
         F.expr(f"coalesce(max(CASE WHEN {checked} THEN total_count END), 0L) AS total_rows"),
+        *([] if columns is None else [F.lit(columns).cast("long").alias("total_columns")]),
     )
 
 
-def top_anomalies(anomalies: DataFrame, limit: int = DEFAULT_ROWS) -> DataFrame:
-    return anomalies.orderBy(F.col("anomaly_score").asc(), "entity_id").limit(_checked_limit(limit))
+def top_anomalies(anomalies: DataFrame, limit: int | None = None) -> DataFrame:
+    return _limited(anomalies.orderBy(F.col("anomaly_score").asc(), "entity_id"), limit)
 
 
 def anomalies_by_source(anomalies: DataFrame) -> DataFrame:
@@ -83,8 +87,8 @@ def anomalies_by_source(anomalies: DataFrame) -> DataFrame:
 
 
 def preview(df: DataFrame, key: str, n: int = 100) -> DataFrame:
-    """The first rows in key order."""
-    return df.orderBy(key).limit(n)
+    """The first rows in the order of the key and then of all columns, so that ties have one order."""
+    return df.orderBy(key, *df.columns).limit(n)
 
 
 def curation_summary(reviewed: DataFrame) -> DataFrame:

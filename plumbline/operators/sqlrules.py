@@ -19,11 +19,30 @@ ANNOTATIONS = ("RULE_ID", "SEVERITY", "DIMENSION", "DESCRIPTION", "RECOMMENDATIO
 
 _ANNOTATION = re.compile(r"^--\s*(" + "|".join(ANNOTATIONS) + r"):\s*(.+)$", re.IGNORECASE)
 
+#: Comments, quoted texts and names, semicolons, and anything else sign by sign.
+_TOKENS = re.compile(r"--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|;|.", re.DOTALL)
+
+
+def _statements(text: str) -> list[str]:
+    """The text between semicolons; those in comments, quoted texts and quoted names don't count."""
+    parts = _TOKENS.findall(text)
+    out, held = [], ""
+    for part in parts:
+        if part == ";":
+            out.append(held)
+            held = ""
+        else:
+            held += part
+    return [*out, held]
+
 
 def read_annotated_rules(text: str) -> list[SqlRule]:
-    """Split a SQL file into rules: five annotation comments followed by one SELECT each."""
+    """Split a SQL file into rules: five annotation comments followed by one SELECT each.
+
+    A statement that has some of the annotations but not all, or no SELECT, is an error, not skipped.
+    """
     rules: list[SqlRule] = []
-    for statement in text.split(";"):
+    for statement in _statements(text):
         facts: dict[str, str] = {}
         body: list[str] = []
         for line in statement.splitlines():
@@ -33,7 +52,12 @@ def read_annotated_rules(text: str) -> list[SqlRule]:
             elif not line.strip().startswith("--"):
                 body.append(line)
         query = "\n".join(body).strip()
-        if len(facts) == len(ANNOTATIONS) and query.lower().startswith("select"):
+        if not facts and not query:
+            continue
+        missing = [a for a in ANNOTATIONS if a not in facts]
+        if facts and (missing or not re.match(r"(?i)(select|with)\b", query)):
+            raise ValueError(f"rule {facts.get('RULE_ID', '?')} lacks {', '.join(missing) or 'a SELECT'}")
+        if facts:
             rules.append(SqlRule(
                 facts["RULE_ID"], facts["SEVERITY"], facts["DIMENSION"], facts["DESCRIPTION"],
                 facts["RECOMMENDATION"], query=query,
@@ -123,10 +147,13 @@ def _count_alone(spark, rule, view, counts, errors):
 def sql_failed_rows(df: DataFrame, rules: Sequence[SqlRule], view: str) -> DataFrame:
     """The failing rows of all rules with the rule's facts in front; absent columns are null.
 
-    Conditions on single rows share one scan: each row is exploded once per rule that it breaks.
+    Conditions on single rows share one scan: each row is exploded once per rule that it breaks. A rule that does
+    not compile has no failing rows here; ``run_sql_rules`` reports it as an error, and the others go on.
     """
     df.createOrReplaceTempView(view)
     spark = df.sparkSession
+    _, errors = _compile(spark, df, rules, view)
+    rules = [r for r in rules if r.rule_id not in errors]
     shared = [r for r in rules if r.where]
     frames = []
     if shared:
@@ -141,6 +168,8 @@ def sql_failed_rows(df: DataFrame, rules: Sequence[SqlRule], view: str) -> DataF
     for r in rules:
         if not r.where:
             frames.append(spark.sql(r.sql(view)).selectExpr(f"inline(array({_facts(r)}))", "*"))
+    if not frames:
+        return df.where("false").selectExpr("CAST(NULL AS STRING) AS rule_id", "*")
     return union_all(frames, ragged=True)
 
 

@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.rules.vocabulary import COUNTRIES
 from plumbline.session import prepare
 
 AS_OF = "2025-06-30"
 
-_COUNTRY_CODES = "USGBNGDEFRCASGAEZANLCHIEINBRAUJPHKLU"
-
 
 def _text(n: str) -> str:
     return f"CAST({n} AS STRING)"
@@ -32,7 +31,7 @@ def _quoted(x: str | None) -> str:
 
 
 def _country(n: str) -> str:
-    return f"substr('{_COUNTRY_CODES}', CAST((({n}) % 18) * 2 + 1 AS INT), 2)"
+    return _pick(n, *COUNTRIES)
 
 
 def _entity_id(n: str) -> str:
@@ -198,21 +197,10 @@ def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a scan that has several splits but fewer than there are cores.
-
-    Such a scan is small. Larger ones already have more splits than cores and are left alone. The two
-    leading columns spread the rows; naming no more keeps unused columns out of the shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns[:2]) if 1 < df.rdd.getNumPartitions() < cores else df
-
-
 def domain_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     base, text = PROJECTIONS[name]
     source = base_table(spark, folder, base)
-    # Only this projection costs enough per row to be worth spreading.
-    return spark.sql(text, base=spread(source) if name == "counterparty_trade_links" else source)
+    return spark.sql(text, base=source)
 
 
 class _Tables(dict):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from plumbline.functions.numbers import parse_number
 from plumbline.rules import vocabulary as v
 
 
@@ -45,7 +46,7 @@ def _date(column: str) -> str:
 
 
 def _number(column: str) -> str:
-    return f"try_cast({column} AS double)"
+    return parse_number(column)
 
 
 def trade_sql_rules(view: str = "counterparty_trade_links", as_of: str = "current_date()") -> tuple[SqlRule, ...]:

@@ -38,10 +38,13 @@ def build_session(master: str | None = None, app: str = "plumbline", **settings:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors see, as named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a session without that setting, such as a local test, gets a folder of its own.
+    Only a local session without that setting, such as a test, gets a folder of its own; on a cluster the
+    executors would not see it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="plumbline-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

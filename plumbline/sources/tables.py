@@ -22,13 +22,15 @@ def read_csv(
     schema: T.StructType | None = None,
     na_tokens: tuple[str, ...] = NA_TOKENS,
     mode: str = "PERMISSIVE",
+    multi_line: bool = False,
 ) -> DataFrame:
     """A CSV file with header, every column as text and the NA tokens as null.
 
     Text first: a value of the wrong type is something to report. With a schema the file is not
-    scanned for column types; without one the header gives the column names.
+    scanned for column types; without one the header gives the column names. ``multi_line`` reads quoted line
+    breaks as part of a value; a file is then read by one task, as records can't be found from its middle.
     """
-    reader = spark.read.option("header", True).option("mode", mode).option("escape", '"').option("multiLine", False)
+    reader = spark.read.option("header", True).option("mode", mode).option("escape", '"').option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
     return null_tokens(reader.csv(path), na_tokens)
@@ -56,8 +58,16 @@ def null_nans(df: DataFrame) -> DataFrame:
 
 
 def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, view: str) -> DataFrame:
-    """A typed CSV scan that drops rows which do not parse, registered as a view."""
-    df = spark.read.schema(schema).option("header", True).option("mode", "DROPMALFORMED").csv(path)
+    """A typed CSV scan that drops rows which do not parse, registered as a view.
+
+    Every row is parsed whole, whatever columns are selected later, so that all queries see the same rows.
+    """
+    whole = T.StructType([*schema.fields, T.StructField("_malformed", T.StringType())])
+    df = (
+        spark.read.schema(whole).option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
+        .option("columnNameOfCorruptRecord", "_malformed").option("columnPruning", False).csv(path)
+        .where("_malformed IS NULL").drop("_malformed")
+    )
     df.createOrReplaceTempView(view)
     return df
 

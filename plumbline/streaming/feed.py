@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from plumbline.functions.numbers import parse_number
 from plumbline.functions.text import is_blank, literals
 from plumbline.rules.vocabulary import COUNTRIES
 from plumbline.schemas import EVENT, MANIFEST, PROVIDER_FEED
@@ -13,7 +14,7 @@ from plumbline.sources.tables import null_nans
 from plumbline.session import fresh_path
 
 EVENT_TYPE = "provider_record_received"
-DEFAULT_LIMIT = 100
+PREVIEW_ROWS = 100
 
 # The three event issues and the texts they are reported by.
 MISSING_NAME = "Missing legal name"
@@ -42,7 +43,7 @@ def number_rows(df: DataFrame, path: str) -> DataFrame:
     return joined.selectExpr(*df.columns, "__offset + __place + 1 AS sequence_number")
 
 
-def first_records(feed: DataFrame, limit: int = DEFAULT_LIMIT) -> DataFrame:
+def first_records(feed: DataFrame, limit: int) -> DataFrame:
     """The first records in key order with their sequence numbers, at most ``limit``."""
     columns = [f.name for f in PROVIDER_FEED.fields]
     few = feed.select(*columns).orderBy(*columns).limit(limit)
@@ -130,7 +131,7 @@ def stream_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
 def validate_events(events: DataFrame, run_id: str | None = None) -> DataFrame:
     """Status and issues of every event of a run. The same projection for streams and batches."""
     chosen = events if run_id is None else events.where(F.col("run_id") == run_id)
-    score = "try_cast(payload.confidence_score AS DOUBLE)"
+    score = parse_number("payload.confidence_score")
     checks = {
         MISSING_NAME: is_blank("payload.legal_name"),
         INVALID_COUNTRY: f"coalesce(payload.country_code NOT IN ({literals(COUNTRIES)}), true)",
@@ -201,13 +202,13 @@ def require_events(validated: DataFrame) -> DataFrame:
     return validated
 
 
-def preview_events(spark: SparkSession, path: str, n: int = DEFAULT_LIMIT) -> DataFrame:
+def preview_events(spark: SparkSession, path: str, n: int = PREVIEW_ROWS) -> DataFrame:
     """The first archived events in sequence order."""
     return spark.read.schema(EVENT).json(path).orderBy("sequence_number", "event_id").limit(n)
 
 
-def feed_run(feed: DataFrame, run_id: str, limit: int | None = DEFAULT_LIMIT) -> tuple[str, str]:
-    """Publish a run of the feed as files below the shared folder; returns messages and manifest."""
+def feed_run(feed: DataFrame, run_id: str, limit: int | None = None) -> tuple[str, str]:
+    """Publish a run of the whole feed, or of its first records, as files below the shared folder; returns messages and manifest."""
     spark = feed.sparkSession
     folder = fresh_path(spark, "feed")
     columns = [f.name for f in PROVIDER_FEED.fields]

@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import types as T
 
 from plumbline.functions.text import normalise_name
 from plumbline.operators import anomaly, profiling
@@ -97,7 +98,7 @@ def provider_rows(spark):
 @pytest.mark.parametrize("limit", [100, None])
 def test_stream_gives_what_the_batch_gives(spark, limit):
     messages, manifest = feed.feed_run(provider_rows(spark), "r1", limit)
-    other = feed.encode(feed.build_events(feed.first_records(provider_rows(spark)), "r0"))
+    other = feed.encode(feed.build_events(feed.first_records(provider_rows(spark), 100), "r0"))
     feed.publish_files(other, messages)
     out, archive = fresh_path(spark, "out"), fresh_path(spark, "archive")
     for _ in range(2):  # running again must not repeat anything
@@ -159,7 +160,7 @@ def test_percentile_by_refinement_is_exact(spark):
     counts = rng.integers(1, 5, 500)
     df = spark.createDataFrame([(float(v), int(c)) for v, c in zip(values, counts)], "score DOUBLE, n BIGINT")
     expected = np.percentile(np.repeat(values, counts), 3)
-    assert anomaly.weighted_percentile(df, 0.03, buckets=8, enough=10) == pytest.approx(expected, abs=1e-15)
+    assert anomaly.weighted_percentile(df, 0.03, buckets=8) == pytest.approx(expected, abs=1e-15)
 
 
 def test_copies_of_one_row_do_not_swell_the_sample(spark):
@@ -185,3 +186,48 @@ def test_full_run(spark):
     assert out["sql"]["rule_results"].count() == 18
     remediated = out["remediation"]
     assert remediated["curated"].count() > 0 and remediated["quarantined"].count() > 0
+
+
+def test_sql_rule_file_keeps_semicolons_in_comments_and_texts():
+    from plumbline.operators.sqlrules import read_annotated_rules
+
+    head = "-- RULE_ID: {}\n-- SEVERITY: High\n-- DIMENSION: Validity\n-- DESCRIPTION: one; two\n-- RECOMMENDATION: none\n"
+    text = head.format("A") + "SELECT * FROM t WHERE a = ';' /* ; */;\n" + head.format("B") + "SELECT * FROM t;\n"
+    rules = read_annotated_rules(text)
+    assert [r.rule_id for r in rules] == ["A", "B"] and rules[0].description == "one; two"
+    with pytest.raises(ValueError):
+        read_annotated_rules("-- RULE_ID: A\nSELECT 1;")
+
+
+def test_failing_rows_of_good_rules_survive_a_broken_one(spark):
+    from plumbline.operators.sqlrules import sql_failed_rows
+    from plumbline.rules.trades_sql import SqlRule
+
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    rules = [SqlRule("A", "High", "Validity", "", "", query="SELECT a FROM t_rules WHERE a > 1"), SqlRule("B", "High", "Validity", "", "", query="SELECT nothing FROM t_rules")]
+    assert [(r.rule_id, r.a) for r in sql_failed_rows(df, rules, "t_rules").collect()] == [("A", 2)]
+
+
+def test_csv_rows_do_not_depend_on_the_columns_selected(spark, tmp_path):
+    from plumbline.sources.tables import read_csv, read_tolerant
+
+    (tmp_path / "a.csv").write_text("id,n\n1,2\n2,x\n3,4\n")
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("n", T.IntegerType())])
+    df = read_tolerant(spark, str(tmp_path / "a.csv"), schema, "tolerant_rows")
+    assert df.count() == len(df.collect()) == len(df.select("id").collect()) == 2
+    (tmp_path / "b.csv").write_text('id,t\n1,"a\nb"\n2,c\n')
+    assert [r.t for r in read_csv(spark, str(tmp_path / "b.csv"), multi_line=True).orderBy("id").collect()] == ["a\nb", "c"]
+
+
+def test_literals_beyond_the_basic_plane(spark):
+    from plumbline.functions.text import literal
+
+    assert spark.sql(f"SELECT {literal('a😀é')} AS x").first().x == "a😀é"
+
+
+def test_all_anomalies_are_reported(spark):
+    from plumbline.operators import anomaly
+
+    rows = [(i, "s", "Anomaly" if i % 2 else "Normal", -0.1) for i in range(1000)]
+    df = spark.createDataFrame(rows, "entity_id int, source_system string, anomaly_label string, anomaly_score double")
+    assert anomaly.anomalies(df).count() == 500
