@@ -66,8 +66,8 @@ def read_tolerant(spark: SparkSession, path: str, schema: T.StructType, view: st
     df = (
         spark.read.schema(whole).option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
         .option("columnNameOfCorruptRecord", "_malformed").option("columnPruning", False).csv(path)
-        # Spark refuses plans that read the malformed text alone, so the condition, which is always true, names a column.
-        .where(f"_malformed IS NULL AND hash({name(schema.fieldNames()[0])}) >= -2147483648").drop("_malformed")
+        # Only columns that a plan needs are parsed, so the condition, true for every hash, needs them all.
+        .where(f"_malformed IS NULL AND hash({', '.join(map(name, schema.fieldNames()))}) >= -2147483648").drop("_malformed")
     )
     df.createOrReplaceTempView(view)
     return df
