@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Query, body, col, table
+from plumbline.llm.common import Query, body, col, stored, table
 from plumbline.session import fresh_path
 
 #: Production parameters: payloads from this size on can be revisited, a file is closed once it has so many compressed
@@ -28,20 +28,24 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def planned(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST_REVISIT) -> DataFrame:
-    """``id``, ``url``, ``payload``, ``kind`` and ``refers_to`` of the record for each row.
+    """``id``, ``url``, ``key``, ``payload`` and ``refers_to``: a line for the record of each row, whose ``refers_to`` is null, and a line
+    without payload for each row that revisits another, whose page it names.
 
     Of equal payloads of at least ``least`` bytes the row with the largest id is the response, the others revisit it. Equal
-    means the same length and SHA-256. Rows that repeat the largest id are all responses, and so are rows without id where no
+    means the same SHA-256, which is the key. Rows that repeat the largest id are all responses, and so are rows without id where no
     row of the group has one. A null payload is empty.
+
+    Which rows are revisits is found from the keys alone. The writer, which sorts by id, url and key, meets the line that
+    says so right before the record, so that payloads are shuffled once only.
     """
     rows = pages.select(col(id_col).cast("long").alias("id"), col(url_col).cast("string").alias("url"), body(html_col).cast("binary").alias("payload"))
     # Small payloads never meet: their key is null.
     rows = rows.withColumn("key", F.when(F.octet_length("payload") >= least, F.unhex(F.sha2("payload", 256))))
-    largest = rows.filter("key is not null").groupBy("key").agg(F.max("id").alias("largest"), F.count("*").alias("n")).filter("n > 1")
-    joined = rows.join(largest.select("key", "largest"), "key", "left")
-    revisit = F.col("largest").isNotNull() & ~F.col("id").eqNullSafe(F.col("largest"))
-    return joined.select("id", "url", "payload", F.when(revisit, "revisit").otherwise("response").alias("kind"),
-                         F.when(revisit, F.col("largest")).alias("refers_to"))
+    keys = stored(rows.filter("key is not null").select("id", "url", "key"), "payload-keys")
+    largest = keys.groupBy("key").agg(F.max("id").alias("largest"), F.count("*").alias("n")).filter("n > 1 and largest is not null")
+    revisits = keys.join(largest.select("key", "largest"), "key").filter(~F.col("id").eqNullSafe(F.col("largest")))
+    return rows.select("id", "url", "key", "payload", F.lit(None).cast("long").alias("refers_to")).unionAll(
+        revisits.select("id", "url", "key", F.lit(None).cast("binary"), "largest"))
 
 
 def _record_id(page: int | None, url: str | None, digest: str) -> str:
@@ -76,14 +80,15 @@ _MANIFEST = "file string, records long, bytes long, sha256 string"
 def write_archives(records: DataFrame, folder: str, file_bytes: int = FILE_BYTES, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Write what ``planned`` gives below ``folder``, which all executors share, and return the manifest.
 
-    Records are sorted by ranges of id and url. A task writes its range into files that are closed once they hold
+    Records are sorted by ranges of id and url, then by key. A task writes its range into files that are closed once they hold
     ``file_bytes`` compressed bytes, each under a temporary name that only this attempt of the task uses, and renames it when
     it is whole: an attempt that is lost leaves nothing that counts, one that is repeated writes the same bytes again.
     The manifest of all files is written last; readers use only what it lists.
     """
     spark = records.sparkSession
-    total = records.select(F.sum(F.octet_length("payload"))).first()[0] or 0
-    ranged = records.repartitionByRange(max(1, ceil(total / task_bytes)), "id", "url").sortWithinPartitions("id", "url", F.xxhash64("payload"))
+    total = records.filter("payload is not null").select(F.sum(F.octet_length("payload"))).first()[0] or 0
+    ranged = records.repartitionByRange(max(1, ceil(total / task_bytes)), "id", "url").sortWithinPartitions(
+        "id", "url", "key", F.col("refers_to").asc_nulls_last(), F.xxhash64("payload"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -92,6 +97,7 @@ def write_archives(records: DataFrame, folder: str, file_bytes: int = FILE_BYTES
         number, done = 0, []
         out = sha = None
         size = count = 0
+        revisit, target = None, None
 
         def close() -> None:
             nonlocal out, number
@@ -105,11 +111,16 @@ def write_archives(records: DataFrame, folder: str, file_bytes: int = FILE_BYTES
             out, number = None, number + 1
 
         for batch in batches:
-            for row in zip(*(batch[c] for c in ("id", "url", "payload", "kind", "refers_to")), strict=True):
+            for row in zip(*(batch[c] for c in ("id", "url", "key", "payload", "refers_to")), strict=True):
+                page, url, key, payload, refers_to = (x.as_py() for x in row)
+                if payload is None:
+                    revisit, target = (page, url, key), refers_to
+                    continue
+                is_revisit = key is not None and revisit == (page, url, key)
                 if out is None:
                     temporary = f"{root}/_temporary-{task.taskAttemptId()}-{number}"
                     out, sha, size, count = fs.open_output_stream(temporary), hashlib.sha256(), 0, 0
-                member = gzip.compress(record(*(x.as_py() for x in row)), 6, mtime=0)
+                member = gzip.compress(record(page, url, payload, *(("revisit", target) if is_revisit else ("response", None))), 6, mtime=0)
                 out.write(member)
                 sha.update(member)
                 size, count = size + len(member), count + 1
