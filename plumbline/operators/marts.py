@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.dates import as_of_sql
 from plumbline.functions.predicates import Between, FreshWithin, InSet, NotEqual, NotNull, NotOverdue, RequiredIf
 from plumbline.model import Rule
-from plumbline.operators.evaluate import AsOf, exceptions, union_all
+from plumbline.operators.evaluate import AsOf, wide_exceptions, union_all
 from plumbline.operators.keys import ForeignKey
 from plumbline.rules import vocabulary as v
 
@@ -110,11 +110,9 @@ def quality_exceptions(tables: dict[str, DataFrame], as_of: AsOf = None) -> Data
                  ("source_system",), r.issue_type)
             for r in rules
         )
-        hits = exceptions(tables[name], with_source, key, tables, as_of, name)
+        hits = wide_exceptions(tables[name], with_source, key, tables, as_of)
         frames.append(hits.select(
-            "table_name", "record_id", "issue_type", "severity",
-            F.get_json_object("evidence", "$.source_system").alias("source_system"),
-        ))
+            F.lit(name).alias("table_name"), "record_id", "issue_type", "severity", "source_system"))
     return union_all(frames)
 
 

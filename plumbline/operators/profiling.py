@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.numbers import percentage_sql
 from plumbline.functions.text import is_blank, literal, name
 from plumbline.operators.evaluate import union_all
+from plumbline.sources.tables import null_nans
 
 MISSING_TEXT = "nan"
 
@@ -20,10 +21,10 @@ MISSING_TEXT = "nan"
 def value_counts(df: DataFrame) -> DataFrame:
     """Every column's values as text with their number of rows, the column given by its position.
 
-    Null is a value of its own.
+    Null is a value of its own; NaN counts as null.
     """
     pairs = ", ".join(f"{i}, CAST({name(c)} AS STRING)" for i, c in enumerate(df.columns))
-    lines = df.selectExpr(f"stack({len(df.columns)}, {pairs}) AS (position, value)")
+    lines = null_nans(df).selectExpr(f"stack({len(df.columns)}, {pairs}) AS (position, value)")
     return lines.groupBy("position", "value").agg(F.expr("count(*) AS rows"))
 
 
@@ -127,7 +128,7 @@ def sample_values(df: DataFrame, key: str, n: int = 5) -> DataFrame:
     left open, being sparse, gets a top-n of its own over the whole table.
     """
     spark = df.sparkSession
-    texts = df.selectExpr(*[f"CAST({name(c)} AS STRING) AS {name(c)}" for c in df.columns])
+    texts = null_nans(df).selectExpr(*[f"CAST({name(c)} AS STRING) AS {name(c)}" for c in df.columns])
     order = [F.col(name(key)).asc_nulls_last(), *[F.col(name(c)) for c in df.columns]]
     head = texts.orderBy(*order).limit(HEAD_ROWS).collect()
     decided, open_columns = [], []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,10 @@ ANNOTATIONS = ("RULE_ID", "SEVERITY", "DIMENSION", "DESCRIPTION", "RECOMMENDATIO
 
 _ANNOTATION = re.compile(r"^--\s*(" + "|".join(ANNOTATIONS) + r"):\s*(.+)$", re.IGNORECASE)
 
+#: Columns of one table under a condition without comment or subquery.
+_ROW_LOCAL = re.compile(
+    r"\s*SELECT\s+(?P<columns>\*|[\w`]+(?:\s*,\s*[\w`]+)*)\s+FROM\s+[\w`]+\s+WHERE\s(?P<where>(?:(?!--|/\*|\bSELECT\b).)+)", re.IGNORECASE | re.DOTALL)
+
 #: Comments, quoted texts and names, semicolons, and anything else sign by sign.
 _TOKENS = re.compile(r"--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|;|.", re.DOTALL)
 
@@ -123,6 +128,7 @@ def _compile(spark: SparkSession, df: DataFrame, rules: Sequence[SqlRule], view:
     for rule in rules:
         try:
             selected = spark.sql(rule.sql(view))
+            rule = lifted(spark, rule, view)
             if rule.where:
                 shared.append(rule)
             else:
@@ -137,6 +143,26 @@ def _compile(spark: SparkSession, df: DataFrame, rules: Sequence[SqlRule], view:
     return frames, errors
 
 
+def lifted(spark: SparkSession, rule: SqlRule, view: str) -> SqlRule:
+    """A rule whose SELECT takes columns of the view under one condition, as a rule that can share the scan.
+
+    The condition is what follows the only WHERE. It is taken only if Spark finds that the rule so written
+    means the same as its own text; all other rules stay as they are.
+    """
+    found = None if rule.where else _ROW_LOCAL.fullmatch(rule.query)
+    if not found:
+        return rule
+    whole = spark.table(view)
+    columns = whole.columns if found["columns"] == "*" else [c.strip(" \n\t`") for c in found["columns"].split(",")]
+    if not set(columns) <= set(whole.columns):
+        return rule
+    try:
+        same = whole.where(found["where"]).select(*map(name, columns)).sameSemantics(spark.sql(rule.query))
+    except PySparkException:
+        return rule
+    return replace(rule, columns=tuple(columns), where=found["where"], query="") if same else rule
+
+
 def _count_alone(spark, rule, view, counts, errors):
     try:
         counts[rule.rule_id] = spark.sql(rule.sql(view)).count()
@@ -153,8 +179,8 @@ def sql_failed_rows(df: DataFrame, rules: Sequence[SqlRule], view: str) -> DataF
     df.createOrReplaceTempView(view)
     spark = df.sparkSession
     _, errors = _compile(spark, df, rules, view)
-    rules = [r for r in rules if r.rule_id not in errors]
-    shared = [r for r in rules if r.where]
+    rules = [lifted(spark, r, view) for r in rules if r.rule_id not in errors]
+    shared =[r for r in rules if r.where]
     frames = []
     if shared:
         wanted = list(dict.fromkeys(c for r in shared for c in r.columns))

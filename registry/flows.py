@@ -276,7 +276,11 @@ QUERIES = [
 
 
 def _preview_archive(spark, folder):
-    messages, _ = feed.feed_run(domain_table(spark, folder, "provider_feed"), RUN, 100)
+    """The archive of the whole feed, numbered in key order."""
+    source = domain_table(spark, folder, "provider_feed")
+    columns = [f.name for f in PROVIDER_FEED.fields]
+    numbered = feed.number_rows(source.select(*columns).orderBy(*columns), fresh_path(spark, "numbered"))
+    messages = feed.publish_files(feed.encode(feed.build_events(numbered, RUN)), fresh_path(spark, "messages"))
     output, archive = fresh_path(spark, "validated"), fresh_path(spark, "archive")
     feed.run_validation(feed.stream_files(spark, messages), RUN, output, archive)
     return archive

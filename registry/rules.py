@@ -129,14 +129,13 @@ def _summary(spark, folder):
 def _core_exceptions(name, key):
     def run(spark, folder):
         tables = core(spark, folder)
-        return exceptions(tables[name], CORE_PACK[name], key, tables, AS_OF).drop("evidence")
+        return exceptions(tables[name], CORE_PACK[name], key, tables, AS_OF)
 
     return run
 
 
-def _core_exceptions_sql(name, key):
-    text = c.exceptions_sql(list(CORE_PACK[name]), key)
-    return text.replace("WITH ", "SELECT rule_id, issue_type, severity, dimension, record_id FROM (WITH ", 1) + ")"
+_CORE_KEYS = {"entities": "entity_id", "issuers": "issuer_id", "entity_hierarchy": "child_entity_id",
+              "kyc_attributes": "entity_id", "provider_feed": "provider_record_id"}
 
 
 def _examples(spark, folder):
@@ -146,10 +145,22 @@ def _examples(spark, folder):
 
 def _results_with_examples(spark, folder):
     tables = core(spark, folder)
-    rules = CORE_PACK["issuers"]
-    results = rule_results(tables["issuers"], rules, "issuers", tables, AS_OF)
-    shown = with_examples(results, failed_examples(tables["issuers"], rules, "issuer_id", tables, AS_OF))
-    return shown.select("table_name", "rule_id", "failed_count", "pass_rate", "failed_examples")
+    shown = []
+    for t, key in _CORE_KEYS.items():
+        results = rule_results(tables[t], CORE_PACK[t], t, tables, AS_OF)
+        shown.append(with_examples(results, failed_examples(tables[t], CORE_PACK[t], key, tables, AS_OF)))
+    return union_all(shown).select("table_name", "rule_id", "failed_count", "pass_rate", "failed_examples")
+
+
+def _examples_sql(table, key):
+    rules = list(CORE_PACK[table])
+    return f"""
+        SELECT r.table_name, r.rule_id, r.failed_count, r.pass_rate, '[' || coalesce(e.shown, '') || ']' AS failed_examples
+        FROM ({c.results_sql(rules)}) r LEFT JOIN (
+            SELECT rule_id, string_agg(evidence, ', ' ORDER BY place) AS shown FROM (
+                SELECT rule_id, evidence, row_number() OVER (PARTITION BY rule_id ORDER BY record_id NULLS FIRST, evidence) AS place
+                FROM ({c.exceptions_sql(rules, key)})) WHERE place <= 5 GROUP BY 1) e
+        ON e.rule_id = r.rule_id"""
 
 
 def _wide(spark, folder):
@@ -286,18 +297,12 @@ QUERIES = [
           lambda s, d: exceptions(trades(s, d), ALL_TRADE, "trade_id", as_of=AS_OF),
           c.exceptions_sql(ALL_TRADE, "trade_id")),
     Query("set2_trade_exceptions_wide", _wide, _WIDE_SQL),
-    *[Query(f"exceptions_{name}", _core_exceptions(name, key), _core_exceptions_sql(name, key)) for name, key in (
-        ("entities", "entity_id"), ("issuers", "issuer_id"), ("entity_hierarchy", "child_entity_id"),
-        ("kyc_attributes", "entity_id"), ("provider_feed", "provider_record_id"))],
+    *[Query(f"exceptions_{name}", _core_exceptions(name, key), c.exceptions_sql(list(CORE_PACK[name]), key))
+      for name, key in _CORE_KEYS.items()],
     Query("win1_failed_examples", _examples,
           f"SELECT rule_id, example_no, record_id, evidence FROM (SELECT *, row_number() OVER (PARTITION BY rule_id "
           f"ORDER BY record_id NULLS FIRST, evidence)::INTEGER AS example_no FROM ({c.exceptions_sql(ALL_TRADE, 'trade_id')})) "
           "WHERE example_no <= 5"),
     Query("agg1_results_with_examples", _results_with_examples,
-          f"""SELECT r.table_name, r.rule_id, r.failed_count, r.pass_rate, '[' || coalesce(e.shown, '') || ']' AS failed_examples
-              FROM ({c.results_sql(list(CORE_PACK['issuers']))}) r LEFT JOIN (
-                SELECT rule_id, string_agg(evidence, ', ' ORDER BY place) AS shown FROM (
-                    SELECT rule_id, evidence, row_number() OVER (PARTITION BY rule_id ORDER BY record_id NULLS FIRST, evidence) AS place
-                    FROM ({c.exceptions_sql(list(CORE_PACK['issuers']), 'issuer_id')})) WHERE place <= 5 GROUP BY 1) e
-              ON e.rule_id = r.rule_id"""),
+          "\nUNION ALL\n".join(_examples_sql(t, key) for t, key in _CORE_KEYS.items())),
 ]

@@ -74,6 +74,12 @@ def test_profiles(spark):
     assert estimated["d"].approx_unique_count == 2 and estimated["v"].missing_count == 2
 
 
+def test_nan_is_missing_in_profiles(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
+    facts = profiling.profile(df, "t").first()
+    assert (facts.missing_count, facts.unique_count) == (2, 1)
+
+
 def test_profiles_of_an_empty_table(spark):
     df = spark.createDataFrame([], "k STRING, d DATE")
     got = profiling.profile(df, "t").collect()

@@ -9,10 +9,10 @@ from plumbline.operators.evaluate import (
 )
 from plumbline.operators.marts import issuer_linkage
 from plumbline.operators.reports import curation_summary, failed_rules, run_summary
-from plumbline.operators.sqlrules import annotated_text, read_annotated_rules, run_sql_rules, sql_failed_rows
+from plumbline.operators.sqlrules import annotated_text, lifted, read_annotated_rules, run_sql_rules, sql_failed_rows
 from plumbline.rules.core import CORE_PACK
 from plumbline.rules.trades import TRADE_COLUMNS, TRADES, trade_rules
-from plumbline.rules.trades_sql import trade_sql_rules
+from plumbline.rules.trades_sql import SqlRule, trade_sql_rules
 from plumbline.schemas import TABLES, TRADE_LINKS
 
 AS_OF = "2025-06-30"
@@ -144,6 +144,21 @@ def test_annotated_rules_run_and_errors_are_isolated(with_duplicates):
         read_annotated_rules("SELECT 1;")
 
 
+def test_rules_of_a_file_share_the_scan_where_they_mean_one_condition(spark, trades):
+    trades.createOrReplaceTempView("lifting")
+    parsed = read_annotated_rules(annotated_text(trade_sql_rules("lifting", f"DATE'{AS_OF}'"), "lifting"))
+    assert [r.rule_id for r in parsed if not lifted(spark, r, "lifting").where] == ["SQL_TRADE_002"]
+    for query in ("SELECT trade_id FROM lifting WHERE true LIMIT 1", "SELECT trade_id FROM lifting WHERE true GROUP BY trade_id",
+                  "SELECT trade_id FROM lifting WHERE lei = 'x' ORDER BY trade_id", "SELECT trade_id AS id FROM lifting WHERE true",
+                  "SELECT trade_id FROM lifting WHERE trade_id IN (SELECT lei FROM lifting)", "SELECT DISTINCT trade_id FROM lifting WHERE true",
+                  "SELECT trade_id FROM lifting WHERE true UNION ALL VALUES ('x')"):
+        assert lifted(spark, SqlRule("R", "", "", "", "", query=query), "lifting").query == query
+    whole = lifted(spark, SqlRule("R", "", "", "", "", query="select * from lifting where lei = '--'' a'"), "lifting")
+    assert not whole.where
+    whole = lifted(spark, SqlRule("R", "", "", "", "", query="select * from lifting where lei = 'where x'"), "lifting")
+    assert whole.where and list(whole.columns) == trades.columns
+
+
 def test_result_shapes_reconcile(with_duplicates):
     results = rule_results(with_duplicates, trade_rules(), TRADES.name, as_of=AS_OF)
     for shape in (onboarding_shape, sql_shape):
