@@ -8,22 +8,26 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import stored
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every edge (a, b), with a > b, leads from a node without other edges to a root."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    open_nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up + down > 1 and up > 0")
+    return open_nodes.isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``root``, the least node that it is linked to, for every node of ``edges`` (a, b longs).
 
     Large-star and small-star steps in turn: each node gives its neighbours the least node that it knows, until
-    no edge changes. Every step is a minimum by key, which tasks combine before the shuffle, and a join back to
+    every node hangs below a root; one count by node shows that, where another round without change would cost
+    all steps. Every step is a minimum by key, which tasks combine before the shuffle, and a join back to
     the edges, whose heavy keys the join can split. No list of neighbours is ever built. After each round the
     edges are written to the shared folder.
     """
     current = stored(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
-    while True:
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
+    while not _settled(current):
         # Large star: larger neighbours of a node are hung below the least of its neighbours and itself.
         both = current.unionAll(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -33,4 +37,4 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(
             down.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
         current = stored(small, "edges")
-    return current.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
+    return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
