@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from plumbline.llm.common import Query, body, col, table
+from plumbline.llm.common import Query, body, col, in_batches, table
 
 #: The code points with the Unicode property White_Space.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -174,7 +174,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                          pa.array(map(v.decode, ids), pa.string())], ["row", "ids", "decoded"])
                     done, ids, held = i + 1, [], 0
 
-    return keep.mapInArrow(run, out).select("row.*", "ids", "decoded")
+    return in_batches(keep, run, out).select("row.*", "ids", "decoded")
 
 
 def op2(spark: SparkSession, folder: str) -> DataFrame:

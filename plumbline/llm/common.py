@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbline.session import fresh_path
 
 #: Fixed pattern: the white space of words in all operators.
 WHITE = r"[\x20\x09-\x0D]+"
+#: Bytes of a batch of texts between the JVM and Python; a longer text is a batch of its own.
+BATCH_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -58,6 +62,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_batches(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], out: StructType | str,
+) -> DataFrame:
+    """``mapInArrow`` by batches of bounded bytes, of which a task holds several copies in the JVM and in Python."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(run, out)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Query, body, col, packed, stored, table
+from plumbline.llm.common import Query, body, col, in_batches, packed, stored, table
 from plumbline.llm.components import components
 
 #: Production parameters.
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, text_col: str, *keep: str) -> DataFrame:
             fp = pa.array([fingerprint(t.as_py()) for t in b["text"]], pa.int64())
             yield pa.RecordBatch.from_arrays([*(b[c] for c in keep), fp], [*keep, "fp"])
 
-    return rows.mapInArrow(run, out)
+    return in_batches(rows, run, out)
 
 
 def within(fp: np.ndarray, block: np.ndarray, radius: int = RADIUS, halves: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:

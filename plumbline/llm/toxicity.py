@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Query, body, col, packed, remainder, table
+from plumbline.llm.common import Query, body, col, in_batches, packed, remainder, table
 
 #: Production parameters: labelled texts to learn from at most, features of the classifier at most, and the score from
 #: which a text counts as toxic.
@@ -178,7 +178,7 @@ def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], ["code", "n"])
 
     counts = np.zeros(LETTERS ** 3, np.int64)
-    for code, n in rows.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n")).collect():
+    for code, n in in_batches(rows, run, "code long, n long").groupBy("code").agg(F.sum("n")).collect():
         counts[code] = n
     return counts
 
@@ -211,8 +211,8 @@ def learned(labelled: DataFrame, reader: Reader, features: int = FEATURES) -> tu
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array([0 if name else n for n in c.values()], pa.int64()),
                                               pa.array([n if name else 0 for n in c.values()], pa.int64())], ["feature", "clean", "toxic"])
 
-    sums = labelled.select(body("text").alias("text"), F.col("toxic").cast("int").alias("toxic")).mapInArrow(
-        run, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    sums = in_batches(
+        labelled.select(body("text").alias("text"), F.col("toxic").cast("int").alias("toxic")), run, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
 
     def bounded(df: DataFrame, name: str) -> DataFrame:
         n, z = F.col("clean") + F.col("toxic"), CAUTION
@@ -294,7 +294,7 @@ def scored(docs: DataFrame, scorer: Scorer, text_col: str = "text", carry: list[
         for b in batches:
             yield pa.RecordBatch.from_arrays([b["row"], pa.array([own.score(t.as_py()) for t in b["text"]], pa.float64())], ["row", "score"])
 
-    return rows.mapInArrow(run, out).select("row.*", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return in_batches(rows, run, out).select("row.*", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
