@@ -15,8 +15,7 @@ from plumbline.rules import vocabulary as v
 
 DUPLICATE_FLAG = "duplicate_trade_id"
 
-# The flags in the order in which a record lists them. The duplicate flag is decided across rows.
-# The names of the flags, in the order of reports.
+# The flags, in the order in which a record lists them. The duplicate flag is decided across rows.
 FLAGS = {
     "missing_trade_id": NotBlank("trade_id"),
     DUPLICATE_FLAG: UniqueKey(("trade_id",), strip=True, ignore_blank=True),
