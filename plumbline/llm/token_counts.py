@@ -18,6 +18,8 @@ from plumbline.llm.common import Query, body, col, table
 
 #: Characters of a batch for the tokenizer, and of a part of a long text.
 BATCH, PART = 1_000_000, 50_000
+#: Longer parts are counted by the library of the file: the backtracking of the faster one gives up on long runs.
+LONG = 100_000
 #: A text with more tokens is over the limit.
 LIMIT = 1024
 #: Fixed value: the splitting pattern of byte-level vocabularies.
@@ -40,6 +42,18 @@ def parts(text: str, most: int = PART) -> list[str]:
     return [*out, text[start:]]
 
 
+@lru_cache(maxsize=2)
+def _by_file(path: str):
+    """The function of ``_counter`` by the library that reads the JSON file itself."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return lambda texts: [len(x) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 @lru_cache(maxsize=2)
 def _counter(path: str):
     """A function from a list of texts to their numbers of tokens."""
@@ -60,14 +74,12 @@ def _counter(path: str):
         ranks = {bytes(map(byte.__getitem__, t)): i for t, i in spec["model"]["vocab"].items() if t not in special}
         encode = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special).encode
         allowed = set(special)
-        return lambda texts: [len(encode(x, allowed_special=allowed, disallowed_special=())) for x in texts]
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return lambda texts: [len(x) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        def count(texts: list[str]) -> list[int]:
+            return [len(encode(x, allowed_special=allowed, disallowed_special=())) if len(x) <= LONG else _by_file(path)([x])[0] for x in texts]
+
+        return count
+    return _by_file(path)
 
 
 def lengths(texts: list[str], path: str) -> list[int]:

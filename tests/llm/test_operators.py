@@ -132,6 +132,14 @@ def test_counts_equal_the_library(docs, none, corpus):
     assert "".join(parts) == text and sum(token_counts.lengths(parts, path)) == token_counts.lengths([text], path)[0]
 
 
+def test_counts_of_long_runs_without_a_safe_boundary(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    texts = ["a" + " " * 1_200_000 + "b", "a" + "\n" * 1_200_000 + "b", " " * 1_200_000, "x y " * 50_000 + "  " * 600_000 + "end <|endoftext|>"]
+    got = token_counts.counted(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(t.encode(x, add_special_tokens=False).ids) for i, x in enumerate(texts)}
+
+
 def test_mixture_comes_near_its_targets(corpus):
     rows = mixing.mixture(corpus, carry=["doc_id", "source"]).collect()
     assert len(rows) == corpus.count() and all(0 <= r.taken <= 3 * r.size for r in rows)
