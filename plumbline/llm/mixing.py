@@ -139,10 +139,18 @@ def mixture(
     return both.select("row.*", "size", "source_size", "target", taken.alias("taken"))
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of which the mix takes at least one word, with the columns of ``docs``."""
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED) -> DataFrame:
+    """The mix as rows with the columns of ``docs``: each as many times as the mix takes it.
+
+    A row taken k times and in part is there k or k + 1 times, by a seeded hash with the part as its probability, so
+    that a source has the words of its target on average. Rows without words are not part of the mix.
+    """
     whole = packed(docs, **{"id": id_col, "text": text_col, "source": source_col})
-    return mixture(whole, "id", "text", "source", carry=["row"]).filter("taken > 0").select("row.*")
+    draw = hash_number(F.lit(f"{seed}|part"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit(""))))
+    rows = mixture(whole.withColumn("draw", draw), "id", "text", "source", seed=seed, carry=["row", "draw"]).filter("taken > 0")
+    more = (F.col("draw") / F.lit(float(1 << 60)) < F.col("taken") % F.col("size") / F.col("size")).cast("int")
+    copies = F.expr("taken div size").cast("int") + more
+    return rows.select("row", F.explode(F.array_repeat(F.lit(0), copies)).alias("copy")).select("row.*")
 
 
 def op3(spark: SparkSession, folder: str) -> DataFrame:

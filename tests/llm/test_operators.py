@@ -151,6 +151,20 @@ def test_mixture_comes_near_its_targets(corpus):
     assert {(r.doc_id, r.taken) for r in rows} == {(r.doc_id, r.taken) for r in mixing.mixture(corpus.repartition(5), carry=["doc_id"]).collect()}
 
 
+def test_mixed_rows_have_the_words_of_the_targets(spark):
+    words = {"a": 4000, "b": 3000, "c": 20, "d": 50, "e": 2000}
+    rows = [(i, "w " * (5 + i % 7), s) for s, n in words.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    target = {r.source: (r.target, r.source_size) for r in mixing.mixture(df).select("source", "target", "source_size").distinct().collect()}
+    mix = mixing.mixed(df)
+    got = {r.source: r.n for r in mix.groupBy("source").agg(F.sum(F.size(F.split(F.trim("text"), " "))).alias("n")).collect()}
+    assert any(t > 1.5 * n for t, n in target.values()) and any(t < 0.9 * n for t, n in target.values())
+    for s, (t, n) in target.items():
+        assert abs(got.get(s, 0) - t) <= 0.04 * t + 60
+    assert mix.groupBy("source", "doc_id").count().agg(F.max("count")).first()[0] <= 3
+    assert sorted(map(tuple, mix.collect())) == sorted(map(tuple, mixing.mixed(df.repartition(5)).collect()))
+
+
 def test_sainte_lague_against_all_quotients(spark):
     votes = {h: [(h * 37 + i * i * 11) % 97 + (i % 3) / 2 for i in range(9)] for h in range(6)}
     parties = spark.createDataFrame([(h, i, float(v)) for h, vs in votes.items() for i, v in enumerate(vs)], "h int, i int, v double")
