@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from plumbline.llm import bpe, exact_dedup, html_text, mixing, pitman_yor, simhash, token_counts, topk_search, toxicity, warc
+from plumbline.llm import bpe, exact_dedup, html_text, mixing, near_dedup, pitman_yor, simhash, token_counts, topk_search, toxicity, warc
 from plumbline.llm.common import remainder
 from plumbline.llm.components import components
 
@@ -101,6 +101,27 @@ def test_blocks_that_are_dealt_out_lose_no_link(spark):
     assert found == {(i, j) for i in range(len(u)) for j in range(i + 1, len(u)) if int(u[i] ^ u[j]).bit_count() <= 4}
 
 
+def test_near_copies_go_and_others_stay(spark):
+    rng = np.random.default_rng(11)
+    texts = []
+    for i in range(60):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 300)]
+        texts.append(words)
+        for changes in (1, 3, 5, 6, 12, 25):
+            copy = list(words)
+            for at in rng.choice(300, changes, replace=False):
+                copy[at] = f"x{rng.integers(1 << 40)}"
+            texts.append(copy)
+    rows = [(int(i), " ".join(t)) for i, t in zip(rng.permutation(len(texts)), texts)] + [(None, rows_) for rows_ in (" ".join(texts[0]), "", " ")]
+    kept = {r.doc_id for r in near_dedup.without_near(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {i: {" ".join(t.split()[k:k + 5]) for k in range(max(1, len(t.split()) - 4))} for i, t in rows if i is not None}
+    near = {(i, j) for i in sets for j in sets if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    hit = {j for _, j in near}
+    assert len(hit) > 150 and sum(len(sets[i] & sets[j]) < 0.9 * len(sets[i] | sets[j]) for i, j in near) > 50
+    assert kept - {None} <= set(sets) and set(sets) - kept <= hit and len(hit & kept) <= 0.02 * len(hit)
+    assert None in kept
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
