@@ -268,6 +268,21 @@ def test_main_text(spark):
     assert html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<nav>n</nav><article class="post has-comments"><p>one<p>two</article><div>x</div>', "one\ntwo"),
+    ('<nav>n</nav><article class="entry search-result"><p>one</article><article class="comment"><p>c</article><div>x</div>', "one"),
+    ('<nav>n</nav><div class="content with-sidebar"><article><p>one</article></div><div>x</div>', "one"),
+    ('<div class="layout sidebar-right"><nav>n</nav><article><p>one<aside>a</aside></article></div><div>x</div>', "one"),
+    ('<div class="search"><main><p>one</main></div><article class="teaser"><p>t</article>', "one\nt"),
+    ('<form action="/"><div class="top">n</div><article><h1>A</h1><p>one</article></form><footer>f</footer>', "A\none"),
+    ('<article><p>one</article><div id="comments" class="comments-area"><article class="comment-body"><p>c</article></div>', "one"),
+    ('<form><p>one</p><nav>n</nav></form>', "one"),
+    ('<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be<xmp>a <b> &amp; c</xmp><p>end</article>', "Let x=2 be\na <b> &amp; c\nend"),
+])
+def test_marks_on_articles_and_around_them(page, want):
+    assert "\n".join(html_text.lines(f"<html><body>{page}</body></html>")[0]) == want
+
+
 def test_toxicity_of_held_out_and_disguised_texts(spark, docs, none):
     folder = "/root/testdata/sf0.01"
     d, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
