@@ -39,7 +39,13 @@ LETTERS = 28
 KEEP, AGAIN, SIGN, NOISE, EDGE, STAR = log(0.97), log(0.3), log(0.4), log(0.1), log(0.05), log(0.3 / 26)
 
 _FOLD = regex.compile(r"\p{Mn}+")
+#: Longest piece whose three best readings are looked for, not the best alone, and letters behind which a reading is settled.
+SEVERAL, SETTLED = 40, 4096
+#: Longest piece that may be part of a word written with blanks inside.
+SHORT = 4
 _EDGES = ".,;:?\"'()[]{}<>*#%&~^=/\\-_`…»«"
+#: Signs at the ends that stand for no letter.
+_PLAIN = "".join(c for c in _EDGES if c not in LEET and c != "*")
 _RUN = re.compile(r"(.)\1+").sub
 _TRIPLE = re.compile(r"(.)\1\1").search
 
@@ -63,12 +69,23 @@ class CharacterModel:
         p2 = (two + 20 * p1) / (two.sum(axis=1, keepdims=True) + 20)
         self.cost = np.log((three + 20 * p2) / (three.sum(axis=2, keepdims=True) + 20)).tolist()
 
+    def joins(self, before: str, after: str) -> bool:
+        """Whether two pieces of letters are likelier one word than two; only the two letters on either side matter."""
+        a, b = ([0, 0] + [letter(c) for c in before[-2:]])[-2:]
+        x, *rest = [letter(c) for c in after[:2]]
+        one, two = self.cost[a][b][x] - 0.1, self.cost[a][b][0] + self.cost[0][0][x] + EDGE
+        for y in rest:
+            one, two = one + self.cost[b][x][y], two + self.cost[0][x][y]
+        return one > two
+
     def decode(self, raw: str, best: int = 3) -> list[str]:
         """The ``best`` most likely readings of a disguised piece, most likely first.
 
         Viterbi over the lattice of what each sign can stand for; a state is the last two letters. A sign is a
-        letter, is left out as a repetition or noise, or separates two words.
+        letter, is left out as a repetition or noise, or separates two words. What lies ``SETTLED`` letters behind is
+        settled by the best reading, so that the time grows with the length.
         """
+        settled: list[str] = []
         states: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
         for i, c in enumerate(raw):
             options: list[tuple[str, float]] = []
@@ -99,8 +116,15 @@ class CharacterModel:
             states = {k: _leaders(v, best) for k, v in after.items()}
             if len(states) > 64:
                 states = dict(sorted(states.items(), key=lambda x: -x[1][0][0])[:64])
+            if i % 64 == 63:
+                top = max((paths[0] for paths in states.values()), key=lambda x: x[0])[1]
+                if len(top) > 2 * SETTLED:
+                    old = top[:-SETTLED]
+                    settled.append(old)
+                    states = {k: [(p, t[len(old):]) for p, t in paths if t.startswith(old)] for k, paths in states.items()}
+                    states = {k: paths for k, paths in states.items() if paths}
         ends = [(p + self.cost[a][b][0], t) for (a, b), paths in states.items() for p, t in paths]
-        return [t for _, t in _leaders(ends, best)]
+        return ["".join(settled) + t for _, t in _leaders(ends, best)]
 
 
 def _leaders(paths: list[tuple[float, str]], best: int) -> list[tuple[float, str]]:
@@ -116,17 +140,21 @@ class Reader:
 
     def __init__(self, model: CharacterModel):
         self.model = model
+        self.known: dict[tuple[str, str], bool] = {}
 
     def readings(self, piece: str) -> list[str]:
         """The words that a piece stands for. Letters alone are not in disguise unless one stands three times."""
-        core = piece.strip(_EDGES).rstrip("!")
+        bare = piece.strip(_EDGES).rstrip("!")
+        core = piece.strip(_PLAIN)
         if core.isalpha() and not _TRIPLE(core):
             return [core]
-        if not any(map(str.isalpha, core)):
+        if not any(c.isalpha() or c in LEET for c in core):
             return []
-        if len(core) > 40:
-            return regex.findall(r"\p{L}+", core)
-        return [w for text in self.model.decode(core) for w in text.split()]
+        found = [w for text in self.model.decode(core, 3 if len(core) <= SEVERAL else 1) for w in text.split()]
+        # The signs at the ends may also be just that.
+        if bare != core and any(map(str.isalpha, bare)):
+            found += [w for w in self.readings(bare) if w not in found]
+        return found
 
     def words(self, piece: str) -> list[str]:
         """The readings with repeated letters written once."""
@@ -140,11 +168,44 @@ class Reader:
         single = np.fromiter(map(len, words), np.int64, len(words)) == 1
         if (single[2:] & single[1:-1] & single[:-2]).any():
             edges = np.flatnonzero(np.diff(np.concatenate(([0], single.view(np.int8), [0]))))
-            for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-                if b - a > 2:
-                    out.update(" ".join(words[i:min(b, i + 20)]) for i in range(a, b, 10))
+            out.update(" ".join(words[a:b]) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True) if b - a > 2)
         return out
 
+    def joined(self, text: str) -> set[str]:
+        """The words that neighbouring short pieces of a text make, where that is likelier than words of their own.
+
+        Between letters only the blank is open, so that the likelihoods of both cases decide; runs in which other signs can be
+        letters go through the lattice.
+        """
+        words = text.lower().split()
+        short = np.fromiter(map(len, words), np.int64, len(words)) <= SHORT
+        out: set[str] = set()
+        if not (short[1:] & short[:-1]).any():
+            return out
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], short.view(np.int8), [0]))))
+        for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+            if b - a < 2:
+                continue
+            run = words[a:b]
+            if all(map(str.isalpha, run)):
+                made = run[0]
+                for before, after in zip(run, run[1:]):
+                    key = made[-2:], after[:2]
+                    joins = self.known.get(key)
+                    if joins is None:
+                        joins = self.known[key] = self.model.joins(*key)
+                    if joins:
+                        made += after
+                    else:
+                        if made is not before:
+                            out.add(made)
+                        made = after
+                if made is not run[-1]:
+                    out.add(made)
+            elif any(c in LEET or c == "*" for w in run for c in w.strip(_PLAIN)):
+                out.update(self.readings(" ".join(run)))
+        return {_RUN(r"\1", w) for w in out}
+
 
 def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Counts of letter trigrams over all words of all texts; 28^3 numbers at most reach the driver."""
@@ -258,7 +319,9 @@ class Scorer(dict):
     def score(self, text: str) -> float:
         pieces = self.reader.pieces(text)
         left = 1.0
-        for w in sorted(filter(None, map(self.__getitem__, pieces)), reverse=True):
+        # A word over blanks counts as a whole word only: beginnings would take in what neighbours make by chance.
+        over = [self.weights.get(w, 0.0) for w in self.reader.joined(text) if w not in pieces]
+        for w in sorted(filter(None, [*map(self.__getitem__, pieces), *over]), reverse=True):
             left *= 1 - w
         # Without evidence the score falls with the number of clean words, from the share of toxic texts.
         return 1 - left * (1 - self.prior * 0.5 / (1 + sqrt(len(pieces))))

@@ -299,6 +299,20 @@ def test_toxicity_of_held_out_and_disguised_texts(spark, docs, none):
     assert toxicity.clean(none, labels.limit(0)).count() == 0
 
 
+def test_disguises_at_ends_without_letters_in_long_pieces_and_over_blanks(spark):
+    folder = "/root/testdata/sf0.01"
+    d, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    scorer = toxicity.fitted(d, labels, "doc_id", "text", F.lit(True))
+    read = scorer.reader.readings
+    assert "moron" in read("m0r0n!") and "moron" in read("(moron)") and "scum" in read("scu*") and "cretin" in read("(retin")
+    assert read("@$$") and read("7245#") and read("...") == []
+    assert scorer["you.are.such.a.m0r0n.and.everybody.knows.it.m.o.r.o.n"] == scorer["moron"] > 0.3
+    for text in ("mo ron", "m0 r0n", " ".join("he is a moron" * 9)):
+        assert scorer.score(text) > 0.3, text
+    assert scorer.score("this is all as it was and so we go on") < 0.3
+    assert len(scorer.reader.readings("ab1c." * 20_000)) > 0
+
+
 def test_model_probabilities(spark, docs, none, corpus):
     rows = pitman_yor.scored(corpus, "doc_id", "text", remainder("doc_id", 7) == 2).collect()
     tokens = {r.doc_id: [*(r.text or "").encode().translate(pitman_yor._LOWER).split(), b"\n"] for r in corpus.collect()}
