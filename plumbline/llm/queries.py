@@ -3,9 +3,12 @@
 from plumbline.llm import (
     bpe,
     exact_dedup,
+    fill_middle,
+    filter_audit,
     html_text,
     mixing,
     pitman_yor,
+    secret_scan,
     simhash,
     token_counts,
     topk_search,
@@ -24,4 +27,7 @@ QUERIES = [
     html_text.QUERY,
     toxicity.QUERY,
     pitman_yor.QUERY,
+    secret_scan.QUERY,
+    fill_middle.QUERY,
+    filter_audit.QUERY,
 ]
