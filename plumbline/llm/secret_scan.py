@@ -29,7 +29,7 @@ _NAMES = ("passw", "secret", "token", "api")
 
 #: Access keys, hex strings and random strings all lie in such runs.
 _RUN = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}}")
-_PIECE = re.compile(rf"[^/_-]{{{LEAST},}}")
+_PIECE, _BETWEEN, _SOLE = re.compile(rf"[^/_-]{{{LEAST},}}"), re.compile("[/_-]+"), re.compile(r"[A-Z]?[a-z]{3,}|[A-Z]{4,}")
 #: Digests by their lengths in hex digits, digests with their names in front, UUIDs.
 _DIGEST = re.compile(
     r"(?:0x)?(?:(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{48}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})"
@@ -63,8 +63,8 @@ def is_random(run: str, path: str, efficiency: float = EFFICIENCY) -> bool:
 def spans_of(text: str, path: str, efficiency: float = EFFICIENCY) -> list[tuple[int, int, int]]:
     """(start, number of the kind, end) of all secrets of a text, sorted.
 
-    A random string is a whole run of letters, digits and ``+/_-``, or, where the whole is none, a piece of it between
-    ``/``, ``_`` and ``-``. Those inside a span of another kind add nothing and are left out.
+    A random string is a whole run of letters, digits and ``+/_-``, or, where a word stands between ``/``, ``_`` and ``-``
+    or the whole is none, a piece between these. Those inside a span of another kind add nothing and are left out.
     """
     out: list[tuple[int, int, int]] = []
     low = text.lower()
@@ -77,8 +77,8 @@ def spans_of(text: str, path: str, efficiency: float = EFFICIENCY) -> list[tuple
     for at, run in runs:
         if is_named(run):
             continue
-        found = [(0, run)] if is_random(run, path, efficiency) else [
-            (m.start(), m[0]) for m in _PIECE.finditer(run) if m[0] != run and is_random(m[0], path, efficiency)]
+        whole = not any(map(_SOLE.fullmatch, _BETWEEN.split(run))) and is_random(run, path, efficiency)
+        found = [(0, run)] if whole else [(m.start(), m[0]) for m in _PIECE.finditer(run) if is_random(m[0], path, efficiency)]
         for start, piece in found:
             a, b = at + start, at + start + len(piece)
             if not any(x <= a and b <= y for x, _, y in base):
@@ -111,12 +111,16 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+def number(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias("n_" + kind)
+
+
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     from public_tokenizers import path
 
     found = scanned(table(spark, folder, "documents").select("doc_id", "text"), path("byte_bpe_50k.tiktoken"), carry=["doc_id"])
     spans = F.col("spans")
-    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias("n_" + k) for k in KINDS]
+    counts = [number(spans, kind) for kind in KINDS]
     base = F.filter(spans, lambda s: s["kind"] != "random")
     return found.select("doc_id", *counts[:3], F.sha2(joined(base), 256).alias("base_sha256"), joined(spans).alias("spans"), counts[3])
 

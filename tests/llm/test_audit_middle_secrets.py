@@ -107,6 +107,7 @@ def test_random_strings_are_found_and_names_are_not():
     assert [k for _, k, _ in spans_of("token = qW8xR2tY7uI1oP4aS6dF9g", RANKS)] == [0]
     # A piece of a path.
     assert spans_of("https://host/download/qW8xR2tY7uI1oP4aS6dF9g/file", RANKS) == [(22, 3, 44)]
+    assert spans_of("x qW8xR2tY7/uI1oP4aS6_dF9g== y", RANKS) == [(2, 3, 28)]
 
 
 def test_secret_scan_edges(docs, none, spark):
@@ -124,9 +125,12 @@ def test_secret_scan_edges(docs, none, spark):
     assert spans_of("word " * 500_000 + "secret: abcdefgh", RANKS) == [(2_500_000, 0, 2_500_016)]
 
 
-def test_secret_query(spark, corpus):
-    got = secret_scan.op11(spark, SF).collect()
-    assert len(got) == corpus.count()
+def test_secret_query(spark, corpus, tmp_path):
+    more = spark.createDataFrame([(10_000 + i, t, "x", "y", 1) for i, t in enumerate([*CASES, "qW8xR2tY7uI1oP4aS6dF9g"])], corpus.schema)
+    corpus.union(more).write.parquet(f"{tmp_path}/documents.parquet")
+    corpus = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    got = secret_scan.op11(spark, str(tmp_path)).collect()
+    assert len(got) == corpus.count() and sum(r.n_random for r in got) >= 1
     texts = {r.doc_id: r.text or "" for r in corpus.collect()}
     for r in got:
         base = base_spans(texts[r.doc_id])
