@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Query, body, col, in_batches, packed, remainder, table
+from plumbline.llm.common import Query, body, col, in_batches, packed, remainder, stored, table
 
 #: Production parameters: labelled texts to learn from at most, features of the classifier at most, and the score from
 #: which a text counts as toxic.
@@ -39,8 +39,8 @@ LETTERS = 28
 KEEP, AGAIN, SIGN, NOISE, EDGE, STAR = log(0.97), log(0.3), log(0.4), log(0.1), log(0.05), log(0.3 / 26)
 
 _FOLD = regex.compile(r"\p{Mn}+")
-#: Longest piece whose three best readings are looked for, not the best alone, and letters behind which a reading is settled.
-SEVERAL, SETTLED = 40, 4096
+#: Readings of a piece that are looked for; longest piece for which it is more than one; letters behind which a reading is settled.
+BEST, SEVERAL, SETTLED = 3, 40, 4096
 #: Longest piece that may be part of a word written with blanks inside.
 SHORT = 4
 _EDGES = ".,;:?\"'()[]{}<>*#%&~^=/\\-_`…»«"
@@ -68,6 +68,10 @@ class CharacterModel:
         p1 = (one + 1) / (one.sum() + LETTERS)
         p2 = (two + 20 * p1) / (two.sum(axis=1, keepdims=True) + 20)
         self.cost = np.log((three + 20 * p2) / (three.sum(axis=2, keepdims=True) + 20)).tolist()
+        self.known: dict[tuple[bool, str, int, int], list[tuple[float, str]]] = {}
+
+    def __getstate__(self) -> dict:
+        return {"cost": self.cost, "known": {}}
 
     def joins(self, before: str, after: str) -> bool:
         """Whether two pieces of letters are likelier one word than two; only the two letters on either side matter."""
@@ -78,28 +82,71 @@ class CharacterModel:
             one, two = one + self.cost[b][x][y], two + self.cost[0][x][y]
         return one > two
 
-    def decode(self, raw: str, best: int = 3) -> list[str]:
-        """The ``best`` most likely readings of a disguised piece, most likely first.
+    def options(self, c: str, again: bool) -> list[tuple[str, float]]:
+        """What a sign may stand for, with the channel's log probability; ``again`` tells that the same sign stands before."""
+        if c.isalpha():
+            return [(c, KEEP), ("", AGAIN)] if again else [(c, KEEP)]
+        out = [(x, SIGN) for x in LEET.get(c, "")]
+        out.append(("", NOISE if c in LEET else -0.1))
+        if c == "*":
+            out += [(chr(x), STAR) for x in range(97, 123)]
+        elif c not in LEET:
+            out.append((" ", EDGE))
+        return out
+
+    def ahead(self, again: bool, rest: str, a: int, b: int) -> list[tuple[float, str]]:
+        """The ``BEST`` likeliest readings of what is left of a piece behind the letters ``a`` and ``b``, likeliest first.
 
-        Viterbi over the lattice of what each sign can stand for; a state is the last two letters. A sign is a
+        Viterbi from the right: the readings of a rest depend on the two letters before it alone, so they are remembered and
+        serve all pieces with that end. A run of k stars thus costs at most k times the pairs of letters, once.
+        """
+        key = again, rest, a, b
+        found = self.known.get(key)
+        if found is None:
+            row = self.cost[a][b]
+            if not rest:
+                found = [(row[0], "")]
+            else:
+                c, behind = rest[0], rest[1:]
+                next_again = behind[:1] == c
+                top: dict[str, float] = {}
+                for emitted, channel in self.options(c, again):
+                    if emitted == "":
+                        gain, tails = channel, self.ahead(next_again, behind, a, b)
+                    elif emitted == " ":
+                        if b == 0:
+                            continue
+                        gain, tails = channel + row[0], self.ahead(next_again, behind, 0, 0)
+                    else:
+                        n = letter(emitted)
+                        gain, tails = channel + row[n], self.ahead(next_again, behind, b, n)
+                    for p, t in tails:
+                        t = emitted + t
+                        if p + gain > top.get(t, -1e300):
+                            top[t] = p + gain
+                found = sorted(((p, t) for t, p in top.items()), key=lambda x: (-x[0], x[1]))[:BEST]
+            if len(self.known) >= REMEMBERED // 3:
+                self.known.clear()
+            self.known[key] = found
+        return found
+
+    def decode(self, raw: str) -> list[str]:
+        """The most likely readings of a disguised piece, most likely first: ``BEST`` of a short piece, one of a long one."""
+        if len(raw) <= SEVERAL:
+            return [t for _, t in self.ahead(False, raw, 0, 0)]
+        return self.decode_long(raw)
+
+    def decode_long(self, raw: str, best: int = 1) -> list[str]:
+        """The ``best`` most likely readings of a piece of any length.
+
+        Viterbi from the left over the lattice of what each sign can stand for; a state is the last two letters. A sign is a
         letter, is left out as a repetition or noise, or separates two words. What lies ``SETTLED`` letters behind is
         settled by the best reading, so that the time grows with the length.
         """
         settled: list[str] = []
         states: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
         for i, c in enumerate(raw):
-            options: list[tuple[str, float]] = []
-            if c.isalpha():
-                options.append((c, KEEP))
-                if i and raw[i - 1] == c:
-                    options.append(("", AGAIN))
-            else:
-                options += [(x, SIGN) for x in LEET.get(c, "")]
-                options.append(("", NOISE if c in LEET else -0.1))
-                if c == "*":
-                    options += [(chr(x), STAR) for x in range(97, 123)]
-                elif c not in LEET:
-                    options.append((" ", EDGE))
+            options = self.options(c, i > 0 and raw[i - 1] == c)
             after: dict[tuple[int, int], list[tuple[float, str]]] = {}
             for (a, b), paths in states.items():
                 for emitted, channel in options:
@@ -141,6 +188,7 @@ class Reader:
     def __init__(self, model: CharacterModel):
         self.model = model
         self.known: dict[tuple[str, str], bool] = {}
+        self.decoded: dict[str, list[str]] = {}
 
     def readings(self, piece: str) -> list[str]:
         """The words that a piece stands for. Letters alone are not in disguise unless one stands three times."""
@@ -150,15 +198,20 @@ class Reader:
             return [core]
         if not any(c.isalpha() or c in LEET for c in core):
             return []
-        found = [w for text in self.model.decode(core, 3 if len(core) <= SEVERAL else 1) for w in text.split()]
+        found = [w for text in self.model.decode(core) for w in text.split()]
         # The signs at the ends may also be just that.
         if bare != core and any(map(str.isalpha, bare)):
             found += [w for w in self.readings(bare) if w not in found]
         return found
 
     def words(self, piece: str) -> list[str]:
-        """The readings with repeated letters written once."""
-        return [_RUN(r"\1", w) for w in self.readings(piece)]
+        """The readings with repeated letters written once, remembered by piece."""
+        found = self.decoded.get(piece)
+        if found is None:
+            if len(self.decoded) >= REMEMBERED:
+                self.decoded.clear()
+            found = self.decoded[piece] = [_RUN(r"\1", w) for w in self.readings(piece)]
+        return found
 
     @staticmethod
     def pieces(text: str) -> set[str]:
@@ -272,8 +325,9 @@ def learned(labelled: DataFrame, reader: Reader, features: int = FEATURES) -> tu
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array([0 if name else n for n in c.values()], pa.int64()),
                                               pa.array([n if name else 0 for n in c.values()], pa.int64())], ["feature", "clean", "toxic"])
 
-    sums = in_batches(
-        labelled.select(body("text").alias("text"), F.col("toxic").cast("int").alias("toxic")), run, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    # Written once: read by words and by beginnings, whose filters would keep Spark from sharing the pass over the texts.
+    sums = stored(in_batches(
+        labelled.select(body("text").alias("text"), F.col("toxic").cast("int").alias("toxic")), run, "feature string, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxicity-features")
 
     def bounded(df: DataFrame, name: str) -> DataFrame:
         n, z = F.col("clean") + F.col("toxic"), CAUTION
@@ -306,7 +360,7 @@ class Scorer(dict):
 
     def __missing__(self, piece: str) -> float:
         get, found = self.weights.get, 0.0
-        for w in self.reader.words(piece):
+        for w in {_RUN(r"\1", w) for w in self.reader.readings(piece)}:
             found = max(found, get(w, 0.0))
             for n in BEGINNINGS:
                 if w[:n] in self.begins and len(w) > n:
