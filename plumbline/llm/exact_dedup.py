@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import WHITE, Query, body, col, packed, table
+from plumbline.llm.common import WHITE, Query, body, col, packed, stored, table
 
 
 _ADDED = ("keep_id", "group_size", "kept", "text_sha256")
@@ -65,9 +65,19 @@ def exact_classes(
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with the columns of ``docs``."""
+    """The rows that stay, with the columns of ``docs``.
+
+    Only rows whose hash occurs more than once are classed; the others stay without being shuffled. The rows are written
+    once with a number each, and so are the repeated hashes and the numbers of the rows that go: Spark sees the true sizes
+    of these lists and broadcasts a small one, or else joins by shuffle.
+    """
     whole = packed(docs, **{"id": id_col, "text": text_col})
-    return exact_classes(whole, "id", "text", ["row"], winners=True).select("row.*")
+    h = F.unhex(F.md5(F.regexp_replace(F.coalesce("text", F.lit("")), WHITE, " ")))
+    rows = stored(whole.select("row", "id", F.monotonically_increasing_id().alias("no"), h.alias("h")), "numbered")
+    repeated = stored(rows.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "repeated")
+    few = rows.join(repeated, "h", "left_semi").select("no", "id", F.col("row").getField(text_col).alias("text"))
+    gone = stored(exact_classes(few, "id", "text", ["no"]).filter("not kept").select("no"), "copies")
+    return rows.join(gone, "no", "left_anti").select("row.*")
 
 
 def op7(spark: SparkSession, folder: str) -> DataFrame:

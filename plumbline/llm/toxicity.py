@@ -7,6 +7,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from math import log, sqrt
 
 import numpy as np
@@ -100,6 +101,15 @@ class CharacterModel:
         Viterbi from the right: the readings of a rest depend on the two letters before it alone, so they are remembered and
         serve all pieces with that end. A run of k stars thus costs at most k times the pairs of letters, once.
         """
+        # Letters that can only be themselves are read at once.
+        i, gain = 0, 0.0
+        while i < len(rest) and not again and rest[i].isalpha():
+            n = letter(rest[i])
+            gain += self.cost[a][b][n] + KEEP
+            a, b, i = b, n, i + 1
+            again = rest[i - 1] == rest[i:i + 1]
+        if i:
+            return [(p + gain, rest[:i] + t) for p, t in self.ahead(again, rest[i:], a, b)]
         key = again, rest, a, b
         found = self.known.get(key)
         if found is None:
@@ -188,7 +198,6 @@ class Reader:
     def __init__(self, model: CharacterModel):
         self.model = model
         self.known: dict[tuple[str, str], bool] = {}
-        self.decoded: dict[str, list[str]] = {}
 
     def readings(self, piece: str) -> list[str]:
         """The words that a piece stands for. Letters alone are not in disguise unless one stands three times."""
@@ -204,19 +213,13 @@ class Reader:
             found += [w for w in self.readings(bare) if w not in found]
         return found
 
-    def words(self, piece: str) -> list[str]:
-        """The readings with repeated letters written once, remembered by piece."""
-        found = self.decoded.get(piece)
-        if found is None:
-            if len(self.decoded) >= REMEMBERED:
-                self.decoded.clear()
-            found = self.decoded[piece] = [_RUN(r"\1", w) for w in self.readings(piece)]
-        return found
+    def words(self, piece: str) -> set[str]:
+        """The readings with repeated letters written once."""
+        return {_RUN(r"\1", w) for w in self.readings(piece)}
 
     @staticmethod
-    def pieces(text: str) -> set[str]:
+    def pieces(words: list[str]) -> set[str]:
         """The different pieces between white space, and runs of three or more single signs as pieces of their own."""
-        words = text.lower().split()
         out = set(words)
         single = np.fromiter(map(len, words), np.int64, len(words)) == 1
         if (single[2:] & single[1:-1] & single[:-2]).any():
@@ -224,15 +227,14 @@ class Reader:
             out.update(" ".join(words[a:b]) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True) if b - a > 2)
         return out
 
-    def joined(self, text: str) -> set[str]:
+    def joined(self, words: list[str]) -> set[str]:
         """The words that neighbouring short pieces of a text make, where that is likelier than words of their own.
 
         Between letters only the blank is open, so that the likelihoods of both cases decide; runs in which other signs can be
         letters go through the lattice.
         """
-        words = text.lower().split()
         short = np.fromiter(map(len, words), np.int64, len(words)) <= SHORT
-        out: set[str] = set()
+        out, known = set(), self.known
         if not (short[1:] & short[:-1]).any():
             return out
         edges = np.flatnonzero(np.diff(np.concatenate(([0], short.view(np.int8), [0]))))
@@ -243,10 +245,12 @@ class Reader:
             if all(map(str.isalpha, run)):
                 made = run[0]
                 for before, after in zip(run, run[1:]):
-                    key = made[-2:], after[:2]
-                    joins = self.known.get(key)
+                    key = made, after
+                    joins = known.get(key)
                     if joins is None:
-                        joins = self.known[key] = self.model.joins(*key)
+                        if len(known) >= REMEMBERED:
+                            known.clear()
+                        joins = known[key] = self.model.joins(made, after)
                     if joins:
                         made += after
                     else:
@@ -297,6 +301,21 @@ def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     return counts
 
 
+class Features(dict):
+    """Pieces to the features of their words: the words and their beginnings. Pieces are remembered."""
+
+    def __init__(self, reader: Reader):
+        super().__init__()
+        self.reader = reader
+
+    def __missing__(self, piece: str) -> list[str]:
+        words = self.reader.words(piece)
+        if len(self) >= REMEMBERED // 2:
+            self.clear()
+        found = self[piece] = [*words, *(w[:n] + "-" for n in BEGINNINGS for w in words if len(w) > n)]
+        return found
+
+
 def learned(labelled: DataFrame, reader: Reader, features: int = FEATURES) -> tuple[dict[str, float], float]:
     """The weights of the features that speak for toxicity, and the share of toxic texts.
 
@@ -307,13 +326,12 @@ def learned(labelled: DataFrame, reader: Reader, features: int = FEATURES) -> tu
     model = reader.model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Reader(model)
+        own = Features(Reader(model))
         counts = Counter(), Counter()
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"].to_pylist(), strict=True):
-                found = {w for p in own.pieces(text.as_py()) for w in own.words(p)}
-                counts[toxic].update(found)
-                counts[toxic].update({w[:n] + "-" for n in BEGINNINGS for w in found if len(w) > n})
+                pieces = Reader.pieces(text.as_py().lower().split())
+                counts[toxic].update(set(chain.from_iterable(map(own.__getitem__, pieces))))
                 counts[toxic][""] += 1
             if sum(map(len, counts)) > 2 * REMEMBERED:
                 yield from out(*counts)
@@ -360,7 +378,7 @@ class Scorer(dict):
 
     def __missing__(self, piece: str) -> float:
         get, found = self.weights.get, 0.0
-        for w in {_RUN(r"\1", w) for w in self.reader.readings(piece)}:
+        for w in self.reader.words(piece):
             found = max(found, get(w, 0.0))
             for n in BEGINNINGS:
                 if w[:n] in self.begins and len(w) > n:
@@ -371,10 +389,11 @@ class Scorer(dict):
         return found
 
     def score(self, text: str) -> float:
-        pieces = self.reader.pieces(text)
+        words = text.lower().split()
+        pieces = self.reader.pieces(words)
         left = 1.0
         # A word over blanks counts as a whole word only: beginnings would take in what neighbours make by chance.
-        over = [self.weights.get(w, 0.0) for w in self.reader.joined(text) if w not in pieces]
+        over = [self.weights.get(w, 0.0) for w in self.reader.joined(words) if w not in pieces]
         for w in sorted(filter(None, [*map(self.__getitem__, pieces), *over]), reverse=True):
             left *= 1 - w
         # Without evidence the score falls with the number of clean words, from the share of toxic texts.
