@@ -185,7 +185,7 @@ def _hits(df, rules, record_key, refs, as_of, evidence):
         fired = ", ".join(
             f"CASE WHEN {r.check.failed(when)} THEN {_hit(r, df, evidence)} END" for r in row_rules
         )
-        frames.append(_spread(df, f"explode(array_compact(array({fired})))", row_rules, record_key, evidence))
+        frames.append(_spread(df, f"explode(array({fired}))", row_rules, record_key, evidence))
     for r in rules:
         if isinstance(r.check, RowCheck):
             continue
@@ -201,7 +201,7 @@ def _spread(df: DataFrame, hit: str, rules: Sequence[Rule], record_key: str, evi
     rows = df.selectExpr(
         f"{name(record_key)} AS record_id", *[f"{name(c)} AS {name('__e_' + c)}" for c in kept], f"{hit} AS __hit"
     )
-    return rows.selectExpr("__hit.*", "record_id", *[name("__e_" + c) for c in kept])
+    return rows.where("__hit IS NOT NULL").selectExpr("__hit.*", "record_id", *[name("__e_" + c) for c in kept])
 
 
 def _hit(rule: Rule, df: DataFrame, evidence: bool) -> str:
@@ -232,13 +232,38 @@ def failed_examples(
 ) -> DataFrame:
     """The first failing rows of every rule in key order, at most ``count`` per rule.
 
-    Spark keeps only ``count`` candidates per rule and task before the shuffle.
+    Failing rows are ranked by record id first, of which tasks keep the first before the shuffle. Evidence is packed for
+    those alone; rows that repeat the last of these ids are all compared by their evidence.
     """
+    refs = refs or {}
+    row_rules = [r for r in rules if isinstance(r.check, RowCheck)]
+    others = [r for r in rules if not isinstance(r.check, RowCheck)]
+    frames = []
+    if row_rules:
+        frames.append(_first_of_row_rules(df, row_rules, record_key, as_of, count))
+    for r in others:
+        needed = list(dict.fromkeys([record_key, *r.check.reads(), *_evidence(df, [r])]))
+        failing = mark_rows(df.select(*needed), r.check, refs, "__failed").where("__failed")
+        first = failing.withColumn("__rule", F.lit(0)).withColumn(
+            "__place", F.rank().over(Window.partitionBy("__rule").orderBy(name(record_key)))).where(F.col("__place") <= count)
+        frames.append(_spread(first, _hit(r, df, True), [r], record_key, True))
     order = Window.partitionBy("rule_id").orderBy("record_id", "evidence")
-    hits = exceptions(df, rules, record_key, refs, as_of).select("rule_id", "record_id", "evidence")
+    hits = union_all(frames).select("rule_id", "record_id", "evidence")
     return hits.withColumn("example_no", F.row_number().over(order)).where(F.col("example_no") <= count)
 
 
+def _first_of_row_rules(df: DataFrame, rules: Sequence[Rule], record_key: str, as_of: AsOf, count: int) -> DataFrame:
+    """Hits with evidence of the first failing rows of each rule by record id, and of all rows with the last of these ids."""
+    when, kept = as_of_sql(as_of), _evidence(df, rules)
+    numbers = ", ".join(f"CASE WHEN {r.check.failed(when)} THEN {i} END" for i, r in enumerate(rules))
+    failing = df.selectExpr(
+        *map(name, dict.fromkeys([record_key, *kept])), f"explode(array({numbers})) AS __rule").where("__rule IS NOT NULL")
+    first = failing.withColumn("__place", F.rank().over(Window.partitionBy("__rule").orderBy(name(record_key)))).where(
+        F.col("__place") <= count)
+    hit = " ".join(f"WHEN {i} THEN {_hit(r, df, True)}" for i, r in enumerate(rules))
+    return _spread(first, f"CASE __rule {hit} END", rules, record_key, True)
+
+
 def with_examples(results: DataFrame, examples: DataFrame) -> DataFrame:
     """Attach the example rows to the results as one JSON list per rule."""
     ordered = "sort_array(collect_list(struct(example_no, evidence))).evidence"

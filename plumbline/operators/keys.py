@@ -20,8 +20,11 @@ from plumbline.functions.text import is_blank, name, stripped_text
 # HOT_KEYS largest groups holds at most 1/HOT_KEYS of the rows.
 HOT_KEYS = 1000
 
-# Number of shuffle targets over which the rows of one heavy key are spread.
-SALTS = 256
+# 64-bit words of the Bloom filter of failing keys and bits that each key sets in its word: half a million rows
+# of two numbers at most, under 16 MB. Four million failing keys leave about 2 % false hits; more of them cost
+# time, not correctness.
+BLOOM_WORDS = 1 << 19
+BLOOM_BITS = 3
 
 
 class KeyCheck:
@@ -145,40 +148,58 @@ def failing_row_count(check: KeyCheck, df: DataFrame, refs: dict[str, DataFrame]
     return groups.agg(F.expr("coalesce(sum(CASE WHEN __bad THEN __rows END), 0L) AS failed_count"))
 
 
+def _digests(keys: list[str]) -> list[str]:
+    """Two independent 64-bit hashes of a key; null parts are told apart from absent ones."""
+    parts = ", ".join(f"{k} IS NULL, {k}" for k in keys)
+    return [f"xxhash64({parts})", f"xxhash64(1L, {parts})"]
+
+
+def _bloom_place(digests: list[str]) -> tuple[str, str]:
+    """The word of a key, and the bits that it sets there."""
+    bits = " | ".join(f"shiftleft(1L, CAST(shiftright({digests[1]}, {6 * i}) & 63 AS INT))" for i in range(BLOOM_BITS))
+    return f"pmod({digests[0]}, {BLOOM_WORDS}L)", f"({bits})"
+
+
+def bloom_filter(keys: DataFrame, names: list[str]) -> DataFrame:
+    """A Bloom filter of keys as a table of ``__word`` and ``__bits``; absent words hold no key.
+
+    It has ``BLOOM_WORDS`` rows at most, however many keys there are, and tasks combine their words before the shuffle.
+    """
+    word, bits = _bloom_place(_digests(names))
+    return keys.selectExpr(f"{word} AS __word", f"{bits} AS __bit").groupBy("__word").agg(F.expr("bit_or(__bit) AS __bits"))
+
+
 def mark_rows(df: DataFrame, check: KeyCheck, refs: dict[str, DataFrame], flag: str) -> DataFrame:
     """Add a boolean column telling which rows fail a key rule.
 
-    The failing groups are joined to the rows. Rows of heavy keys, failing or not, never wait for
-    that join: the ``HOT_KEYS`` largest groups are broadcast with their verdict, a list of proven
-    size, and their rows are spread over ``SALTS`` shuffle targets where they meet no partner. Every
-    other key holds at most one ``HOT_KEYS``-th of the rows. When the failing groups turn out small,
-    the size-checked broadcast of the optimizer removes the shuffle altogether.
-
-    The salt is the number of the input partition, which is the same when a lost task runs again: the heavy
-    rows of a task go to one target, those of all tasks to all targets. It reads no column, so that only
-    those columns are shuffled which are used later.
+    A Bloom filter of the failing keys, a value of fixed size, decides at once for the rows whose key it does not
+    hold: they pass and are not shuffled. The ``HOT_KEYS`` largest groups are broadcast with their verdict, as pairs
+    of 64-bit hashes and so of proven size; rows of those keys are decided by that. Only the rows left, whose key
+    may fail and holds at most one ``HOT_KEYS``-th of all rows, meet the failing groups in a join.
     """
     names = check.key_names()
     judged = check.judged_groups(df.select(*check.reads()), refs)
+    first, second = _digests(names)
     hot = judged.orderBy(F.desc("__rows"), *names).limit(HOT_KEYS).selectExpr(
-        *[f"{n} AS __h{i}" for i, n in enumerate(names)], "__bad AS __hot"
+        f"{first} AS __h0", f"{second} AS __h1", "__bad AS __hot"
     )
-    # Always 0, but not a constant to the optimizer: a constant would leave the join keys, and the salt
-    # with it. It also keeps both uses of the groups on one and the same aggregate.
-    bad = judged.where("__bad").selectExpr(*names, "pmod(__rows, 1L) AS __group_salt", "true AS __hit")
-
+    bad = judged.where("__bad").selectExpr(*names, "true AS __hit")
+    keys = [f"__r{i}" for i in range(len(names))]
+    own = _digests(keys)
+    word, bits = _bloom_place(own)
     keyed = df.selectExpr(
-        "*", *[f"{k} AS __r{i}" for i, k in enumerate(check.keys())], f"coalesce({check.scope()}, false) AS __in"
-    )
-    hot_match = " AND ".join(f"__r{i} <=> __h{i}" for i in range(len(names)))
-    salted = keyed.join(F.broadcast(hot), F.expr(hot_match), "left").selectExpr(
-        "*", f"CASE WHEN __hot IS NULL THEN 0L ELSE CAST(spark_partition_id() % {SALTS} AS BIGINT) + 1 END AS __salt",
-    )
-    match = " AND ".join([*[f"__r{i} <=> {n}" for i, n in enumerate(names)], "__salt = __group_salt"])
-    joined = salted.join(bad, F.expr(match), "left")
-    return joined.selectExpr(
-        *map(name, df.columns), f"(__in AND coalesce(__hot, __hit, false)) AS {name(flag)}"
+        "*", *[f"{k} AS {r}" for r, k in zip(keys, check.keys())], f"coalesce({check.scope()}, false) AS __in"
     )
+    probed = keyed.join(F.broadcast(bloom_filter(bad, names)), F.expr(f"{word} = __word"), "left")
+    may_fail = F.expr(f"__in AND coalesce(__bits & {bits} = {bits}, false)")
+    hot_match = F.expr(f"{own[0]} = __h0 AND {own[1]} = __h1")
+    decided = probed.withColumn("__may", may_fail).join(F.broadcast(hot), hot_match, "left")
+    out = list(map(name, df.columns))
+    at_once = decided.where("NOT __may OR __hot IS NOT NULL").selectExpr(*out, f"(__may AND __hot) AS {name(flag)}")
+    match = " AND ".join(f"{r} <=> {n}" for r, n in zip(keys, names))
+    by_join = decided.where("__may AND __hot IS NULL").join(bad, F.expr(match), "left").selectExpr(
+        *out, f"coalesce(__hit, false) AS {name(flag)}")
+    return at_once.unionAll(by_join)
 
 
 def fan_out_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

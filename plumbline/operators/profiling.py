@@ -7,12 +7,16 @@ costs one line per task, and no distinct set is gathered in one place.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.numbers import percentage_sql
 from plumbline.functions.text import is_blank, literal, name
-from plumbline.operators.evaluate import union_all
 from plumbline.sources.tables import null_nans
 
 MISSING_TEXT = "nan"
@@ -117,32 +121,37 @@ def onboarding_profile(df: DataFrame, dataset_name: str, key: str, samples: int
     )
 
 
-HEAD_ROWS = 100
-
-
 def sample_values(df: DataFrame, key: str, n: int = 5) -> DataFrame:
-    """The first non-null values of every column, joined by a bar.
+    """The first non-null values of every column, joined by a bar; a column without values has no line.
 
-    Rows are ordered by the key, missing keys last, and then by all columns. The first ``HEAD_ROWS`` of them,
-    a bounded top-n of one scan, decide every column that has ``n`` values among them. A column that is
-    left open, being sparse, gets a top-n of its own over the whole table.
+    Rows are ordered by the key, missing keys last, and then by all columns. One scan serves all columns, however sparse:
+    each task keeps the first ``n`` values of every column while its batches pass, and only those are shuffled.
     """
-    spark = df.sparkSession
-    texts = null_nans(df).selectExpr(*[f"CAST({name(c)} AS STRING) AS {name(c)}" for c in df.columns])
-    order = [F.col(name(key)).asc_nulls_last(), *[F.col(name(c)) for c in df.columns]]
-    head = texts.orderBy(*order).limit(HEAD_ROWS).collect()
-    decided, open_columns = [], []
-    for c in df.columns:
-        found = [r[c] for r in head if r[c] is not None][:n]
-        if len(found) == n or len(head) < HEAD_ROWS:
-            decided.append((c, " | ".join(found)))
-        else:
-            open_columns.append(c)
-    frames = [spark.createDataFrame(decided, "column_name STRING, sample_values STRING")]
-    for c in open_columns:
-        first = texts.where(f"{name(c)} IS NOT NULL").orderBy(*order).limit(n)
-        row = f"struct({name(key)} IS NULL AS __last, {name(key)} AS __key, {', '.join(map(name, df.columns))}, {name(c)} AS __value)"
-        ordered = f"array_join(sort_array(collect_list({row})).__value, ' | ')"
-        frames.append(first.agg(F.expr(f"{ordered} AS sample_values")).selectExpr(
-            f"{literal(c)} AS column_name", "sample_values"))
-    return union_all(frames)
+    columns, at = df.columns, df.columns.index(key)
+    texts = null_nans(df).selectExpr(*[f"CAST({name(c)} AS STRING) AS c{i}" for i, c in enumerate(columns)])
+
+    def place(row: list[str | None]) -> tuple:
+        return row[at] is None, row[at] or "", *((v is not None, v or "") for v in row)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[list[tuple]] = [[] for _ in columns]
+        for b in batches:
+            # Arrow puts nulls last; a column of flags before each column puts them first.
+            parts = {"last": pc.is_null(b[f"c{at}"]), "key": b[f"c{at}"]}
+            for i in range(len(columns)):
+                parts |= {f"v{i}": pc.is_valid(b[f"c{i}"]), f"c{i}": b[f"c{i}"]}
+            order = pc.sort_indices(pa.table(parts), sort_keys=[(p, "ascending") for p in parts]).to_numpy()
+            for i, found in enumerate(best):
+                first = order[np.flatnonzero(np.asarray(parts[f"v{i}"])[order])[:n]]
+                rows = list(zip(*[b[f"c{j}"].take(pa.array(first)).to_pylist() for j in range(len(columns))], strict=True))
+                best[i] = sorted([*found, *((place(r), list(r)) for r in rows)], key=lambda x: x[0])[:n]
+        kept = [(i, row[i], row) for i, found in enumerate(best) for _, row in found]
+        positions, values, rows = zip(*kept, strict=True) if kept else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(positions, pa.int32()), pa.array(values, pa.string()), pa.array(rows, pa.list_(pa.string()))], ["position", "value", "row"])
+
+    first = texts.mapInArrow(run, "position INT, value STRING, row ARRAY<STRING>")
+    order = Window.partitionBy("position").orderBy(F.expr(f"row[{at}] IS NULL"), F.expr(f"row[{at}]"), "row")
+    placed = first.withColumn("place", F.row_number().over(order)).where(F.col("place") <= n)
+    listed = placed.groupBy("position").agg(F.expr("array_join(sort_array(collect_list(struct(place, value))).value, ' | ') AS sample_values"))
+    return listed.selectExpr(f"{_by_position(columns)} AS column_name", "sample_values")

@@ -185,7 +185,7 @@ def sql_failed_rows(df: DataFrame, rules: Sequence[SqlRule], view: str) -> DataF
     if shared:
         wanted = list(dict.fromkeys(c for r in shared for c in r.columns))
         fired = ", ".join(f"CASE WHEN {r.where} THEN {_facts(r)} END" for r in shared)
-        hits = df.selectExpr(*map(name, wanted), f"explode(array_compact(array({fired}))) AS __hit")
+        hits = df.selectExpr(*map(name, wanted), f"explode(array({fired})) AS __hit").where("__hit IS NOT NULL")
         shown = []
         for c in wanted:
             reporting = literals([r.rule_id for r in shared if c in r.columns])

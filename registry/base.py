@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.plans.domain import AS_OF, common_tables, domain_table, domain_tables
+from registry.domain import AS_OF, common_tables, domain_table, domain_tables
 
 AS_OF_SQL = f"DATE '{AS_OF}'"
 TRADE_TABLE = "counterparty_trade_links"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from plumbline.operators import anomaly, marts, profiling, remediation, reports
 from plumbline.plans import jobs
-from plumbline.plans.domain import AS_OF, domain_table, domain_tables
+from registry.domain import AS_OF, domain_table, domain_tables
 from plumbline.schemas import EVENT, PROVIDER_FEED, TABLES
 from plumbline.session import fresh_path
 from plumbline.sources.sinks import read_mart, write_curated, write_mart, write_report

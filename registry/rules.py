@@ -11,7 +11,7 @@ from plumbline.operators.evaluate import (
 )
 from plumbline.operators.scoring import scorecard, table_summary
 from plumbline.operators.sqlrules import annotated_text, read_annotated_rules, run_sql_rules, sql_failed_rows
-from plumbline.plans.domain import AS_OF
+from registry.domain import AS_OF
 from plumbline.rules.core import CORE_PACK
 from plumbline.rules.trades import TRADES, trade_rules
 from plumbline.rules.trades_sql import trade_sql_rules

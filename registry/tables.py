@@ -5,7 +5,7 @@ from __future__ import annotations
 from plumbline.functions.text import normalise_name
 from plumbline.operators import listings, marts, profiling, remediation, reports
 from plumbline.operators.evaluate import union_all
-from plumbline.plans.domain import AS_OF, CORE_TABLES, base_table, domain_table
+from registry.domain import AS_OF, CORE_TABLES, base_table, domain_table
 from plumbline.schemas import TABLES
 from plumbline.sources.tables import stage
 from registry.base import AS_OF_SQL, TRADE_TABLE, Query, core, trades, with_tables
@@ -344,20 +344,20 @@ QUERIES = [
               for c, t in (("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"), ("n_chars", "bigint")))),
     Query("remediation_standardised", lambda s, d: remediation.standardise(trades(s, d)),
           with_tables([TRADE_TABLE], "SELECT * FROM cleaned", _CLEAN_STEP)),
-    Query("remediation_flags", lambda s, d: remediation.flag_issues(remediation.standardise(trades(s, d))).select(
+    Query("remediation_flags", lambda s, d: remediation.flag_issues(remediation.standardised_marks(trades(s, d))).select(
               "trade_id", "batch_no", "counterparty_entity_id", "issuer_id", "remediation_flags", "issue_count"),
           _on_reviewed("SELECT trade_id, batch_no, counterparty_entity_id, issuer_id, remediation_flags, issue_count FROM reviewed")),
     Query("remediation_curated", lambda s, d: remediation.split(reviewed(s, d))[0].drop("curated_at"),
           _on_reviewed("SELECT * FROM reviewed WHERE curation_status = 'accepted'")),
     Query("remediation_quarantined", lambda s, d: remediation.split(reviewed(s, d))[1].drop("curated_at"),
           _on_reviewed("SELECT * FROM reviewed WHERE curation_status <> 'accepted'")),
-    Query("agg17_top_remediation_flags", lambda s, d: remediation.top_flags(reviewed(s, d)),
+    Query("agg17_top_remediation_flags", lambda s, d: remediation.flag_counts(trades(s, d)),
           _on_reviewed("SELECT flag, count(*) AS records FROM (SELECT unnest(string_split(remediation_flags, ';')) AS flag FROM reviewed "
                        "WHERE issue_count > 0) GROUP BY 1 ORDER BY records DESC, flag LIMIT 15")),
-    Query("agg20_curation_summary", lambda s, d: reports.curation_summary(reviewed(s, d)), _CURATION_SQL),
+    Query("agg20_curation_summary", lambda s, d: remediation.curation_counts(trades(s, d)), _CURATION_SQL),
     Query("top6_preview_quarantine",
-          lambda s, d: remediation.split(reviewed(s, d))[1].select("trade_id", "batch_no", "issuer_id", "remediation_flags")
-          .orderBy("trade_id", "batch_no", "issuer_id", "remediation_flags").limit(100),
+          lambda s, d: reports.preview(remediation.split(reviewed(s, d))[1].select(
+              "trade_id", "batch_no", "issuer_id", "remediation_flags"), "trade_id"),
           _on_reviewed("SELECT trade_id, batch_no, issuer_id, remediation_flags FROM reviewed WHERE curation_status <> 'accepted' "
                        "ORDER BY trade_id, batch_no, issuer_id, remediation_flags LIMIT 100")),
     *[Query(f"src5_staged_{t}", _staged(t), _staged_sql(t)) for t in CORE_TABLES],

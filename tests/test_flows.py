@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from plumbline.functions.text import normalise_name
 from plumbline.operators import anomaly, profiling
 from plumbline.plans import jobs
-from plumbline.plans.domain import domain_tables
+from registry.domain import domain_tables
 from plumbline.schemas import EVENT, PROVIDER_FEED, TABLES
 from plumbline.session import fresh_path, shared_folder
 from plumbline.sources.tables import dataset_spec, read_csv, read_dataset, read_folder, read_tolerant, stage
@@ -237,3 +237,17 @@ def test_all_anomalies_are_reported(spark):
     rows = [(i, "s", "Anomaly" if i % 2 else "Normal", -0.1) for i in range(1000)]
     df = spark.createDataFrame(rows, "entity_id int, source_system string, anomaly_label string, anomaly_score double")
     assert anomaly.anomalies(df).count() == 500
+
+
+def test_samples_of_sparse_columns_and_tied_keys(spark):
+    rows = [(None if i % 11 == 0 else f"k{i // 40:03d}", "x" if i % 97 == 0 else None, float(i) if i % 3 else float("nan"), None)
+            for i in range(2000)]
+    df = spark.createDataFrame(rows, "k STRING, sparse STRING, num DOUBLE, empty STRING").repartition(6)
+    texts = [tuple(None if v is None or v != v else str(v) for v in r) for r in rows]
+    ordered = sorted(texts, key=lambda r: (r[0] is None, *[(v is not None, v or "") for v in r]))
+    for n in (1, 5, 12):
+        got = {r.column_name: r.sample_values for r in profiling.sample_values(df, "k", n).collect()}
+        for i, c in enumerate(df.columns):
+            want = [r[i] for r in ordered if r[i] is not None][:n]
+            assert got.get(c, "") == " | ".join(want), c
+    assert profiling.sample_values(df.limit(0), "k").count() == 0

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.operators import keys
 from plumbline.operators.keys import ForeignKey, NoTwoCycle, UniqueKey, fan_out_left_join
@@ -63,8 +64,8 @@ def test_shuffled_join_gives_the_same_marks(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert len(marked) == len(rows)
-    # The salt has to take part in the shuffle, or heavy keys would meet in one task after all.
-    assert re.search(r"hashpartitioning\(.*__salt", plan)
+    # What the Bloom filter or the list of heavy keys decides does not reach the join of the failing groups.
+    assert "__bits" in plan and len(re.findall(r"(?:Broadcast|SortMerge|ShuffledHash)\w*Join", plan)) >= 5
     assert all(r["bad"] == (r["a"] != "single") for r in marked)
 
 
@@ -87,3 +88,27 @@ def test_empty_table_has_no_failures(spark):
         refs = {"master": spark.createDataFrame([], "k STRING")}
         assert keys.failing_row_count(check, df, refs).first()[0] == 0
         assert keys.mark_rows(df, check, refs, "bad").count() == 0
+
+
+def test_bloom_filter_holds_every_key_and_few_others(spark):
+    held = spark.range(20_000).selectExpr("concat('k', id) AS a", "IF(id % 7 = 0, NULL, id) AS b")
+    asked = spark.range(60_000).selectExpr("concat('k', id) AS a", "IF(id % 7 = 0, NULL, id) AS b", "id < 20000 AS inside")
+    table = keys.bloom_filter(held, ["a", "b"])
+    word, bits = keys._bloom_place(keys._digests(["a", "b"]))
+    hits = asked.join(table, F.expr(f"{word} = __word"), "left").withColumn("hit", F.expr(f"coalesce(__bits & {bits} = {bits}, false)"))
+    counts = {r.inside: (r.n, r.hits) for r in hits.groupBy("inside").agg(F.expr("count(*) AS n"), F.expr("count_if(hit) AS hits")).collect()}
+    assert counts[True] == (20_000, 20_000) and counts[False][0] == 40_000 and counts[False][1] < 400
+    assert table.count() <= keys.BLOOM_WORDS
+    # A missing part is not taken for an absent one.
+    assert keys.bloom_filter(spark.sql("SELECT 'x' AS a, CAST(NULL AS STRING) AS b"), ["a", "b"]).collect() != keys.bloom_filter(
+        spark.sql("SELECT CAST(NULL AS STRING) AS a, 'x' AS b"), ["a", "b"]).collect()
+
+
+def test_marks_beyond_the_list_of_heavy_keys(spark, monkeypatch):
+    monkeypatch.setattr(keys, "HOT_KEYS", 2)
+    rows = [("hot", i) for i in range(500)] + [("warm", i) for i in range(90)] + [(f"t{i // 2}", i) for i in range(40)]
+    rows += [(f"s{i}", i) for i in range(300)] + [(None, 1), (None, 2), ("", 3), ("", 4)]
+    df = spark.createDataFrame(rows, "a STRING, i INT").repartition(5)
+    marked = keys.mark_rows(df, UniqueKey(("a",), ignore_blank=True), {}, "bad").collect()
+    assert len(marked) == len(rows)
+    assert all(r.bad == ((r.a or "")[:1] in ("h", "w", "t")) for r in marked)

@@ -1,6 +1,7 @@
 """Rule packs, exceptions, SQL rules and remediation on hand-made trades, with their invariants."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.operators import remediation
 from plumbline.operators.evaluate import (
@@ -219,3 +220,22 @@ def test_core_pack_null_semantics(spark):
     # Two entity rows share E1, so its issuer counts twice.
     linked = issuer_linkage(tables["issuers"], tables["entities"]).first()
     assert (linked.total_issuer_records, linked.orphan_issuer_count) == (3, 1)
+
+
+def test_curation_is_counted_as_the_rows_say(trades, with_duplicates):
+    for df in (trades, with_duplicates, with_duplicates.limit(0)):
+        reviewed = remediation.remediate(df)
+        assert remediation.curation_counts(df).collect() == curation_summary(reviewed).collect()
+        assert remediation.flag_counts(df).collect() == remediation.top_flags(reviewed).collect()
+
+
+def test_examples_are_the_first_rows_whatever_ties_and_missing_ids(spark, trades):
+    more = trades.unionByName(trades.withColumn("trade_id", F.lit("SAME"))).unionByName(trades.withColumn("trade_id", F.lit(None).cast("string")))
+    for count in (1, 3, 5):
+        want = {}
+        for r in exceptions(more, trade_rules(), "trade_id", as_of=AS_OF).collect():
+            want.setdefault(r.rule_id, []).append((r.record_id is not None, r.record_id or "", r.evidence))
+        got = {}
+        for r in failed_examples(more, trade_rules(), "trade_id", as_of=AS_OF, count=count).orderBy("rule_id", "example_no").collect():
+            got.setdefault(r.rule_id, []).append((r.record_id is not None, r.record_id or "", r.evidence))
+        assert got == {k: sorted(v)[:count] for k, v in want.items()}
