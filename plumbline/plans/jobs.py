@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame
 
 from plumbline.model import DatasetSpec
 from plumbline.operators import anomaly, marts, profiling, remediation, reports
-from plumbline.operators.evaluate import AsOf, core_shape, evaluate_pack, exceptions, onboarding_shape, sql_shape, union_all, validate_dataset
+from plumbline.operators.evaluate import (
+    AsOf, core_shape, evaluate_pack, exceptions, failed_examples, onboarding_shape, sql_shape, union_all, validate_dataset, with_examples,
+)
 from plumbline.operators.scoring import scorecard, table_summary
 from plumbline.operators.sqlrules import run_sql_rules, sql_failed_rows
 from plumbline.functions.dates import as_of_sql
-from plumbline.rules.core import CORE_PACK
+from plumbline.rules.core import CORE_KEYS, CORE_PACK
 from plumbline.rules.trades import TRADES, trade_rules
 from plumbline.rules.trades_sql import trade_sql_rules
 from plumbline.sources.sinks import write_curated, write_report
@@ -32,7 +34,8 @@ def core_job(tables: dict[str, DataFrame], folder: str, as_of: AsOf = None) -> d
     profiles = union_all([profiling.profile(tables[t], t) for t in CORE_PACK])
     out["profile_summary"] = _kept(profiles, folder, "profile_summary")
     results = evaluate_pack(tables, CORE_PACK, as_of)
-    out["rule_results"] = _kept(core_shape(results), folder, "rule_results")
+    examples = union_all([failed_examples(tables[t], CORE_PACK[t], key, tables, as_of) for t, key in CORE_KEYS.items()])
+    out["rule_results"] = _kept(with_examples(core_shape(results), examples), folder, "rule_results")
     out["quality_scorecard"] = _kept(scorecard(out["rule_results"]), folder, "quality_scorecard")
     out["table_quality_summary"] = _kept(table_summary(out["quality_scorecard"]), folder, "table_quality_summary")
     ranked = anomaly.anomalies(anomaly.score_entities(tables["entities"], as_of))
@@ -54,7 +57,9 @@ def onboarding_job(df: DataFrame, folder: str, spec: DatasetSpec = TRADES, as_of
     out = {"column_profile": _kept(
         profiling.onboarding_profile(df, spec.name, spec.primary_key), folder, f"{spec.name}_column_profile")}
     results = validate_dataset(df, spec, rules, as_of=as_of)
-    out["rule_results"] = _kept(onboarding_shape(results), folder, f"{spec.name}_rule_results")
+    out["rule_results"] = _kept(results, folder, f"{spec.name}_rule_results_full")
+    out["run_summary"] = _kept(reports.run_summary(out["rule_results"], len(df.columns)), folder, f"{spec.name}_run_summary")
+    out["rule_results"] = _kept(onboarding_shape(out["rule_results"]), folder, f"{spec.name}_rule_results")
     if not spec.missing_columns(df.columns):
         failed = exceptions(df, rules, spec.primary_key, as_of=as_of)
         out["failed_records"] = _kept(failed, folder, f"{spec.name}_failed_records")

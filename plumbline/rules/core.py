@@ -116,3 +116,12 @@ CORE_PACK = {
     "kyc_attributes": KYC,
     "provider_feed": PROVIDER,
 }
+
+# The column that names a record of each table.
+CORE_KEYS = {
+    "entities": "entity_id",
+    "issuers": "issuer_id",
+    "entity_hierarchy": "child_entity_id",
+    "kyc_attributes": "entity_id",
+    "provider_feed": "provider_record_id",
+}

@@ -12,7 +12,7 @@ from plumbline.operators.evaluate import (
 from plumbline.operators.scoring import scorecard, table_summary
 from plumbline.operators.sqlrules import annotated_text, read_annotated_rules, run_sql_rules, sql_failed_rows
 from registry.domain import AS_OF
-from plumbline.rules.core import CORE_PACK
+from plumbline.rules.core import CORE_KEYS, CORE_PACK
 from plumbline.rules.trades import TRADES, trade_rules
 from plumbline.rules.trades_sql import trade_sql_rules
 from registry import conditions as c
@@ -134,10 +134,6 @@ def _core_exceptions(name, key):
     return run
 
 
-_CORE_KEYS = {"entities": "entity_id", "issuers": "issuer_id", "entity_hierarchy": "child_entity_id",
-              "kyc_attributes": "entity_id", "provider_feed": "provider_record_id"}
-
-
 def _examples(spark, folder):
     df = trades(spark, folder)
     return failed_examples(df, ALL_TRADE, "trade_id", as_of=AS_OF).select("rule_id", "example_no", "record_id", "evidence")
@@ -146,7 +142,7 @@ def _examples(spark, folder):
 def _results_with_examples(spark, folder):
     tables = core(spark, folder)
     shown = []
-    for t, key in _CORE_KEYS.items():
+    for t, key in CORE_KEYS.items():
         results = rule_results(tables[t], CORE_PACK[t], t, tables, AS_OF)
         shown.append(with_examples(results, failed_examples(tables[t], CORE_PACK[t], key, tables, AS_OF)))
     return union_all(shown).select("table_name", "rule_id", "failed_count", "pass_rate", "failed_examples")
@@ -298,11 +294,11 @@ QUERIES = [
           c.exceptions_sql(ALL_TRADE, "trade_id")),
     Query("set2_trade_exceptions_wide", _wide, _WIDE_SQL),
     *[Query(f"exceptions_{name}", _core_exceptions(name, key), c.exceptions_sql(list(CORE_PACK[name]), key))
-      for name, key in _CORE_KEYS.items()],
+      for name, key in CORE_KEYS.items()],
     Query("win1_failed_examples", _examples,
           f"SELECT rule_id, example_no, record_id, evidence FROM (SELECT *, row_number() OVER (PARTITION BY rule_id "
           f"ORDER BY record_id NULLS FIRST, evidence)::INTEGER AS example_no FROM ({c.exceptions_sql(ALL_TRADE, 'trade_id')})) "
           "WHERE example_no <= 5"),
     Query("agg1_results_with_examples", _results_with_examples,
-          "\nUNION ALL\n".join(_examples_sql(t, key) for t, key in _CORE_KEYS.items())),
+          "\nUNION ALL\n".join(_examples_sql(t, key) for t, key in CORE_KEYS.items())),
 ]

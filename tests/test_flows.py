@@ -184,6 +184,12 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 def test_full_run(spark):
     out = jobs.full_job(domain_tables(spark, SF), fresh_path(spark, "job"), AS_OF)
     assert list(out) == list(jobs.STAGES) == ["core", "onboarding", "sql", "remediation"]
+    results = out["core"]["rule_results"].collect()
+    assert len(results) == 27 and all((r.failed_examples == "[]") == (r.failed_count == 0) for r in results)
+    (summary,) = out["onboarding"]["run_summary"].collect()
+    assert summary.rules_executed == out["onboarding"]["rule_results"].count()
+    assert summary.exceptions_generated == out["onboarding"]["failed_records"].count()
+    assert summary.total_columns == len(domain_tables(spark, SF)["counterparty_trade_links"].columns)
     core = out["core"]
     assert core["rule_results"].count() == 27 and core["kpi_snapshot"].first().tables_checked == 5
     assert {"Critical"} == {r.severity for r in core["critical_failures"].collect()}
