@@ -87,19 +87,29 @@ def run_sql_rules(df: DataFrame, rules: Sequence[SqlRule], view: str) -> DataFra
 
     Conditions on single rows are counted together in one scan, every other SELECT by an aggregate
     of its own, and all of it is one job. A rule that does not compile is reported as an error with all
-    rows failing, as is one that breaks while running; the other rules still run. Only the counts,
-    one line per rule, pass through the driver.
+    rows failing, as is one that breaks while running, in its condition or in its SELECT list; the other rules
+    still run. Only the counts, one line per rule, pass through the driver.
     """
     df.createOrReplaceTempView(view)
-    spark = df.sparkSession
-    frames, errors = _compile(spark, df, rules, view)
-    try:
-        counts = {r["rule_id"]: r["n"] for r in union_all([_total(df), *frames.values()]).collect()}
-    except PySparkException:
-        counts = {r["rule_id"]: r["n"] for r in _total(df).collect()}
-        for rule in rules:
-            if rule.rule_id not in errors:
-                _count_alone(spark, rule, view, counts, errors)
+    compiled, errors = _compile(df.sparkSession, rules, view)
+    counts = _run_isolated(df, compiled, view, errors)
+    return _results(df, rules, view, counts, errors)
+
+
+def run_sql_pack(df: DataFrame, rules: Sequence[SqlRule], view: str) -> tuple[DataFrame, DataFrame]:
+    """The results of a pack and the failing rows of the rules that ran.
+
+    The counts are taken first. So it is known which rules break while running, and the failing rows are those of
+    the other rules; rules that no row breaks are not run again.
+    """
+    df.createOrReplaceTempView(view)
+    compiled, errors = _compile(df.sparkSession, rules, view)
+    counts = _run_isolated(df, compiled, view, errors)
+    failing = [r for r in compiled if counts.get(r.rule_id)]
+    return _results(df, rules, view, counts, errors), _failed_rows(df, failing, view)
+
+
+def _results(df, rules, view, counts, errors) -> DataFrame:
     total = counts[None]
     schema = T.StructType(
         [T.StructField(n, T.StringType()) for n in ("table_name", "rule_id", "dimension", "severity",
@@ -113,34 +123,65 @@ def run_sql_rules(df: DataFrame, rules: Sequence[SqlRule], view: str) -> DataFra
         status = "error" if r.rule_id in errors else ("failed" if failed else "passed")
         rows.append((view, r.rule_id, r.dimension, r.severity, r.description, r.recommendation, total,
                      failed, status, errors.get(r.rule_id, "")))
-    return finish_results(spark.createDataFrame(rows, schema))
-
-
-def _total(df: DataFrame) -> DataFrame:
-    return df.agg(F.expr("count(*) AS n")).selectExpr("CAST(NULL AS STRING) AS rule_id", "n")
+    return finish_results(df.sparkSession.createDataFrame(rows, schema))
 
 
-def _compile(spark: SparkSession, df: DataFrame, rules: Sequence[SqlRule], view: str):
-    """Count queries by shared scan or single rule, and the messages of rules that do not compile."""
-    frames: dict[str, DataFrame] = {}
+def _compile(spark: SparkSession, rules: Sequence[SqlRule], view: str) -> tuple[list[SqlRule], dict[str, str]]:
+    """The rules that compile, as conditions on single rows where they are such, and the messages of the others."""
+    compiled: list[SqlRule] = []
     errors: dict[str, str] = {}
-    shared: list[SqlRule] = []
     for rule in rules:
         try:
-            selected = spark.sql(rule.sql(view))
-            rule = lifted(spark, rule, view)
-            if rule.where:
-                shared.append(rule)
-            else:
-                counted = selected.agg(F.expr("count(*) AS n"))
-                frames[rule.rule_id] = counted.selectExpr(f"{literal(rule.rule_id)} AS rule_id", "n")
+            spark.sql(rule.sql(view))
+            compiled.append(lifted(spark, rule, view))
         except PySparkException as problem:
             errors[rule.rule_id] = str(problem)
+    return compiled, errors
+
+
+def _run_isolated(df: DataFrame, rules: Sequence[SqlRule], view: str, errors: dict[str, str]) -> dict[str | None, int]:
+    """Failing rows by rule, all rows under None; rules that break are added to ``errors``.
+
+    One job counts everything. If it breaks, the rules are halved until those that break stand alone: about
+    2 log2(n) jobs for each of them, not one for every rule.
+    """
+    def run(part: Sequence[SqlRule]) -> dict[str | None, int]:
+        return {r["rule_id"]: r["n"] for r in union_all([_total(df), *_counted(df, part, view)]).collect()}
+
+    def isolate(part: Sequence[SqlRule]) -> dict[str | None, int]:
+        try:
+            return run(part)
+        except PySparkException as problem:
+            if not part:
+                raise
+            if len(part) == 1:
+                errors[part[0].rule_id] = str(problem)
+                return run([])
+            middle = len(part) // 2
+            return isolate(part[:middle]) | isolate(part[middle:])
+
+    return isolate(list(rules))
+
+
+def _total(df: DataFrame) -> DataFrame:
+    return df.agg(F.expr("count(*) AS n")).selectExpr("CAST(NULL AS STRING) AS rule_id", "n")
+
+
+def _counted(df: DataFrame, rules: Sequence[SqlRule], view: str) -> list[DataFrame]:
+    """Count queries of compiled rules: one for all conditions on single rows, one for every other SELECT."""
+    spark = df.sparkSession
+    shared = [r for r in rules if r.where]
+    frames = []
+    for rule in rules:
+        if not rule.where:
+            # The digest has Spark evaluate the SELECT list, which a count alone would leave out.
+            counted = spark.sql(rule.sql(view)).agg(F.expr("count(*) AS n"), F.expr("bit_xor(xxhash64(to_json(struct(*)))) AS __read"))
+            frames.append(counted.selectExpr(f"{literal(rule.rule_id)} AS rule_id", "if(__read IS NULL, 0L, n) AS n"))
     if shared:
         counted = df.agg(*[F.expr(f"count_if({r.where}) AS f{i}") for i, r in enumerate(shared)])
         lines = ", ".join(f"named_struct('rule_id', {literal(r.rule_id)}, 'n', f{i})" for i, r in enumerate(shared))
-        frames["shared scan"] = counted.selectExpr(f"inline(array({lines}))")
-    return frames, errors
+        frames.append(counted.selectExpr(f"inline(array({lines}))"))
+    return frames
 
 
 def lifted(spark: SparkSession, rule: SqlRule, view: str) -> SqlRule:
@@ -163,24 +204,20 @@ def lifted(spark: SparkSession, rule: SqlRule, view: str) -> SqlRule:
     return replace(rule, columns=tuple(columns), where=found["where"], query="") if same else rule
 
 
-def _count_alone(spark, rule, view, counts, errors):
-    try:
-        counts[rule.rule_id] = spark.sql(rule.sql(view)).count()
-    except PySparkException as problem:
-        errors[rule.rule_id] = str(problem)
-
-
 def sql_failed_rows(df: DataFrame, rules: Sequence[SqlRule], view: str) -> DataFrame:
     """The failing rows of all rules with the rule's facts in front; absent columns are null.
 
     Conditions on single rows share one scan: each row is exploded once per rule that it breaks. A rule that does
-    not compile has no failing rows here; ``run_sql_rules`` reports it as an error, and the others go on.
+    not compile has no failing rows here. Nothing is run, so a rule that breaks while running ends the query;
+    ``run_sql_pack`` leaves such rules out.
     """
     df.createOrReplaceTempView(view)
+    return _failed_rows(df, _compile(df.sparkSession, rules, view)[0], view)
+
+
+def _failed_rows(df: DataFrame, rules: Sequence[SqlRule], view: str) -> DataFrame:
     spark = df.sparkSession
-    _, errors = _compile(spark, df, rules, view)
-    rules = [lifted(spark, r, view) for r in rules if r.rule_id not in errors]
-    shared =[r for r in rules if r.where]
+    shared = [r for r in rules if r.where]
     frames = []
     if shared:
         wanted = list(dict.fromkeys(c for r in shared for c in r.columns))
@@ -195,7 +232,7 @@ def sql_failed_rows(df: DataFrame, rules: Sequence[SqlRule], view: str) -> DataF
         if not r.where:
             frames.append(spark.sql(r.sql(view)).selectExpr(f"inline(array({_facts(r)}))", "*"))
     if not frames:
-        return df.where("false").selectExpr("CAST(NULL AS STRING) AS rule_id", "*")
+        return df.where("false").selectExpr(*[f"CAST(NULL AS STRING) AS {n}" for n in ("rule_id", "severity", "dimension", "issue_type")], "*")
     return union_all(frames, ragged=True)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -12,11 +12,11 @@ from plumbline.operators.evaluate import (
     AsOf, core_shape, evaluate_pack, exceptions, failed_examples, onboarding_shape, sql_shape, union_all, validate_dataset, with_examples,
 )
 from plumbline.operators.scoring import scorecard, table_summary
-from plumbline.operators.sqlrules import run_sql_rules, sql_failed_rows
+from plumbline.operators.sqlrules import run_sql_pack
 from plumbline.functions.dates import as_of_sql
 from plumbline.rules.core import CORE_KEYS, CORE_PACK
 from plumbline.rules.trades import TRADES, trade_rules
-from plumbline.rules.trades_sql import trade_sql_rules
+from plumbline.rules.trades_sql import SqlRule, trade_sql_rules
 from plumbline.sources.sinks import write_curated, write_report
 
 
@@ -66,12 +66,14 @@ def onboarding_job(df: DataFrame, folder: str, spec: DatasetSpec = TRADES, as_of
     return out
 
 
-def sql_job(df: DataFrame, folder: str, view: str = TRADES.name, as_of: AsOf = None) -> dict[str, DataFrame]:
-    """Run the SQL pack and keep its results and failing rows."""
-    rules = trade_sql_rules(view, as_of_sql(as_of))
+def sql_job(
+    df: DataFrame, folder: str, view: str = TRADES.name, as_of: AsOf = None, rules: Sequence[SqlRule] = ()
+) -> dict[str, DataFrame]:
+    """Run rules written as SQL, by default the trades pack, and keep their results and failing rows."""
+    results, failed = run_sql_pack(df, rules or trade_sql_rules(view, as_of_sql(as_of)), view)
     return {
-        "rule_results": _kept(sql_shape(run_sql_rules(df, rules, view)), folder, f"sql_{view}_rule_results"),
-        "failed_records": _kept(sql_failed_rows(df, rules, view), folder, f"sql_{view}_failed_records"),
+        "rule_results": _kept(sql_shape(results), folder, f"sql_{view}_rule_results"),
+        "failed_records": _kept(failed, folder, f"sql_{view}_failed_records"),
     }
 
 

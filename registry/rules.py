@@ -10,11 +10,11 @@ from plumbline.operators.evaluate import (
     with_examples, onboarding_shape, sql_shape, reconcile, core_shape,
 )
 from plumbline.operators.scoring import scorecard, table_summary
-from plumbline.operators.sqlrules import annotated_text, read_annotated_rules, run_sql_rules, sql_failed_rows
+from plumbline.operators.sqlrules import annotated_text, read_annotated_rules, run_sql_pack, run_sql_rules, sql_failed_rows
 from registry.domain import AS_OF
 from plumbline.rules.core import CORE_KEYS, CORE_PACK
 from plumbline.rules.trades import TRADES, trade_rules
-from plumbline.rules.trades_sql import trade_sql_rules
+from plumbline.rules.trades_sql import SqlRule, trade_sql_rules
 from registry import conditions as c
 from registry.base import TRADE_TABLE, Query, core, trades, with_tables
 
@@ -186,6 +186,31 @@ _SQL_FAILED_SQL = with_tables([TRADE_TABLE], "\nUNION ALL BY NAME\n".join(
 ))
 
 
+_SQL_ISOLATED_SQL = with_tables([TRADE_TABLE], "\nUNION ALL\n".join([
+    *[f"SELECT '{r.rule_id}' AS rule_id, '{r.severity}' AS severity, t.trade_id, 'failed' AS status "
+      f"FROM {TRADE_TABLE} t WHERE {c.TRADES_SQL[r.rule_id]}" for r in ALL_SQL],
+    *[f"SELECT 'SQL_BREAKS_00{i}', 'Low', NULL, 'error'" for i in (1, 2, 3)],
+]))
+
+# Three rules that compile and break while running: in the condition, in the SELECT list, in a grouped SELECT.
+_BREAKING = [
+    SqlRule("SQL_BREAKS_001", "Low", "Schema", "Breaks in its condition.", "Repair the rule.",
+            query=f"SELECT trade_id FROM {TRADE_TABLE} WHERE 1 / (length(source_system) - length(source_system)) > 0"),
+    SqlRule("SQL_BREAKS_002", "Low", "Schema", "Breaks in its SELECT list.", "Repair the rule.",
+            query=f"SELECT CAST(concat('x', trade_id) AS INT) AS broken FROM {TRADE_TABLE}"),
+    SqlRule("SQL_BREAKS_003", "Low", "Schema", "Breaks in a group.", "Repair the rule.",
+            query=f"SELECT source_system, CAST(max(concat('x', trade_id)) AS INT) AS broken FROM {TRADE_TABLE} GROUP BY source_system"),
+]
+
+
+def _sql_isolated(spark, folder):
+    """Failing rows of the whole pack although three of its rules break while running, and a line for each of these."""
+    rules = [_BREAKING[0], *ALL_SQL[:9], _BREAKING[1], *ALL_SQL[9:], _BREAKING[2]]
+    results, failed = run_sql_pack(trades(spark, folder), rules, TRADE_TABLE)
+    lines = results.where("status = 'error'").selectExpr("rule_id", "severity", "CAST(NULL AS STRING) AS trade_id", "status")
+    return failed.selectExpr("rule_id", "severity", "trade_id", "'failed' AS status").unionByName(lines)
+
+
 def _annotated(spark, folder):
     """The pack written to its annotated text form, read back and run, plus one rule that cannot run."""
     text = annotated_text(ALL_SQL, TRADE_TABLE)
@@ -252,6 +277,7 @@ QUERIES = [
     Query("sql_rule_results", lambda s, d: sql_results(s, d).select(*c.RESULT_NAMES), SQL_RESULT_SQL),
     Query("sql_rules_annotated_file", _annotated, _ANNOTATED_SQL),
     Query("set2_sql_failed_rows", _sql_failed, _SQL_FAILED_SQL),
+    Query("set2_failed_rows_isolated", _sql_isolated, _SQL_ISOLATED_SQL),
     Query("agg3_scorecard", _card,
           _on_core(f"SELECT *, {BAND.format('quality_score')} FROM scored")),
     Query("agg4_table_summary", _summary, _on_core("SELECT * FROM summary")),

@@ -10,7 +10,7 @@ from plumbline.operators.evaluate import (
 )
 from plumbline.operators.marts import issuer_linkage
 from plumbline.operators.reports import curation_summary, failed_rules, run_summary
-from plumbline.operators.sqlrules import annotated_text, lifted, read_annotated_rules, run_sql_rules, sql_failed_rows
+from plumbline.operators.sqlrules import annotated_text, lifted, read_annotated_rules, run_sql_pack, run_sql_rules, sql_failed_rows
 from plumbline.rules.core import CORE_PACK
 from plumbline.rules.trades import TRADE_COLUMNS, TRADES, trade_rules
 from plumbline.rules.trades_sql import SqlRule, trade_sql_rules
@@ -239,3 +239,27 @@ def test_examples_are_the_first_rows_whatever_ties_and_missing_ids(spark, trades
         for r in failed_examples(more, trade_rules(), "trade_id", as_of=AS_OF, count=count).orderBy("rule_id", "example_no").collect():
             got.setdefault(r.rule_id, []).append((r.record_id is not None, r.record_id or "", r.evidence))
         assert got == {k: sorted(v)[:count] for k, v in want.items()}
+
+
+def test_failing_rows_of_rules_that_break_while_running(with_duplicates):
+    from plumbline.rules.trades_sql import SqlRule
+
+    def rule(rule_id, query):
+        return SqlRule(rule_id, "Low", "Schema", "d", "r", query=query)
+
+    view = TRADES.name
+    good = list(trade_sql_rules(as_of=f"DATE'{AS_OF}'"))
+    bad = [
+        rule("CONDITION", f"SELECT trade_id FROM {view} WHERE CAST(currency AS INT) = 1"),
+        rule("ONE_ROW", f"SELECT trade_id FROM {view} WHERE 1 / if(trade_id = 'T10', 0, 1) > 5"),
+        rule("LIST", f"SELECT CAST(concat('x', trade_id) AS INT) AS n FROM {view}"),
+        rule("COMPILES_NOT", f"SELECT nothing FROM {view}"),
+    ]
+    results, failed = run_sql_pack(with_duplicates, [bad[0], *good[:7], bad[1], *good[7:], *bad[2:]], view)
+    status = {r.rule_id: (r.status, r.failed_count, bool(r.error_message)) for r in results.collect()}
+    assert all(status[r.rule_id] == ("error", len(VARIANTS) + 2, True) for r in bad)
+    want = sql_failed_rows(with_duplicates, good, view)
+    assert sorted(map(str, failed.select("rule_id", "trade_id").collect())) == sorted(map(str, want.select("rule_id", "trade_id").collect()))
+    # Rules that find nothing leave an empty result with its facts.
+    nothing = run_sql_pack(with_duplicates, [rule("NONE", f"SELECT trade_id FROM {view} WHERE false")], view)[1]
+    assert nothing.columns[:4] == ["rule_id", "severity", "dimension", "issue_type"] and nothing.count() == 0
