@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.numbers import nan_to_null
@@ -12,6 +13,7 @@ from plumbline.model import DatasetSpec
 from plumbline.rules.trades import TRADES
 from plumbline.rules.vocabulary import NA_TOKENS
 from plumbline.schemas import TABLES
+from plumbline.sources.records import csv_records
 
 REGISTRY: dict[str, DatasetSpec] = {TRADES.name: TRADES}
 
@@ -22,18 +24,22 @@ def read_csv(
     schema: T.StructType | None = None,
     na_tokens: tuple[str, ...] = NA_TOKENS,
     mode: str = "PERMISSIVE",
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """A CSV file with header, every column as text and the NA tokens as null.
 
     Text first: a value of the wrong type is something to report. With a schema the file is not
-    scanned for column types; without one the header gives the column names. ``multi_line`` reads quoted line
-    breaks as part of a value; a file is then read by one task, as records can't be found from its middle.
+    scanned for column types; without one the header gives the column names. Quoted line breaks are part of a value,
+    and a file is still read by as many tasks as it has splits; ``multi_line`` off takes every line as a record.
     """
     reader = spark.read.option("header", True).option("mode", mode).option("escape", '"').option("multiLine", multi_line)
-    if schema is not None:
-        reader = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
-    return null_tokens(reader.csv(path), na_tokens)
+    names = reader.csv(path).columns if schema is None else schema.fieldNames()
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    if multi_line and names:
+        ddl = ", ".join(f"{name(n)} STRING" for n in names)
+        parsed = F.from_csv("record", ddl, {"escape": '"', "mode": mode}).alias("__row")
+        return null_tokens(csv_records(spark, path).select(parsed).select("__row.*"), na_tokens)
+    return null_tokens(reader.schema(text).csv(path), na_tokens)
 
 
 def null_tokens(df: DataFrame, tokens: tuple[str, ...]) -> DataFrame:

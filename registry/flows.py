@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from plumbline.operators import anomaly, marts, profiling, remediation, reports
 from plumbline.plans import jobs
-from registry.domain import AS_OF, domain_table, domain_tables
+from registry.domain import AS_OF, base_table, domain_table, domain_tables
 from plumbline.schemas import EVENT, PROVIDER_FEED, TABLES
 from plumbline.session import fresh_path
 from plumbline.sources.sinks import read_mart, write_curated, write_mart, write_report
@@ -36,6 +36,19 @@ _CSV_SQL = with_tables(["entities"], """
            entity_type, status, CAST(last_verified_date AS VARCHAR) AS last_verified_date FROM entities""")
 
 
+def _csv_line_breaks(spark, folder):
+    """Whole texts, with the line breaks and quotes put into them, through CSV files and back."""
+    path = fresh_path(spark, "csv-documents")
+    base_table(spark, folder, "documents").selectExpr("doc_id", "lang", f"{_BROKEN_TEXT} AS text").write.option("header", True).option(
+        "escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_csv(spark, path).selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "lang", "sha2(text, 256) AS text_sha256")
+
+
+# A line break for every blank, with quotes and separators at the breaks.
+_BROKEN_TEXT = "concat('\"', replace(text, ' ', '\",\"\n'), '\n,x')"
+_LINE_BREAKS_SQL = """SELECT doc_id, lang, sha256('"' || replace(text, ' ', '","' || chr(10)) || chr(10) || ',x') AS text_sha256 FROM documents"""
+
+
 def _folder_scan(spark, folder):
     """A folder of CSV tables profiled table by table."""
     root = fresh_path(spark, "raw")
@@ -217,6 +230,7 @@ _FULL_JOB_SQL = _on_reviewed(f"""
 
 QUERIES = [
     Query("src1_csv_scan", _csv_scan, _CSV_SQL),
+    Query("src1_csv_line_breaks", _csv_line_breaks, _LINE_BREAKS_SQL),
     Query("src2_folder_scan", _folder_scan, _FOLDER_SQL),
     Query("src4_tolerant_scan", _tolerant_scan, _TOLERANT_SQL),
     Query("src10_mart_table", _mart_table, with_tables(["entities"], VIEW_SQL["mart_entity_quality_summary"])),
