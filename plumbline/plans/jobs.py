@@ -15,6 +15,7 @@ from plumbline.operators.scoring import scorecard, table_summary
 from plumbline.operators.sqlrules import run_sql_pack
 from plumbline.functions.dates import as_of_sql
 from plumbline.rules.core import CORE_KEYS, CORE_PACK
+from plumbline.rules.registered import spec_rules
 from plumbline.rules.trades import TRADES, trade_rules
 from plumbline.rules.trades_sql import SqlRule, trade_sql_rules
 from plumbline.sources.sinks import write_curated, write_report
@@ -52,8 +53,11 @@ def core_job(tables: dict[str, DataFrame], folder: str, as_of: AsOf = None) -> d
 
 
 def onboarding_job(df: DataFrame, folder: str, spec: DatasetSpec = TRADES, as_of: AsOf = None) -> dict[str, DataFrame]:
-    """Profile and validate an incoming dataset and list its exceptions."""
-    rules = trade_rules(spec)
+    """Profile and validate an incoming dataset and list its exceptions.
+
+    Trades have their pack; any other registered dataset is checked by the rules that its specification implies.
+    """
+    rules = trade_rules(spec) if spec.name == TRADES.name else spec_rules(spec, df.columns)
     out = {"column_profile": _kept(
         profiling.onboarding_profile(df, spec.name, spec.primary_key), folder, f"{spec.name}_column_profile")}
     results = validate_dataset(df, spec, rules, as_of=as_of)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,6 +93,52 @@ def read_folder(spark: SparkSession, folder: str, suffix: str = ".csv") -> dict[
     return {n.removesuffix(suffix): read(f"{folder}/{n}") for n in names}
 
 
+def load_registry(spark: SparkSession, path: str) -> dict[str, DatasetSpec]:
+    """The datasets of a registry file, JSON or, where PyYAML is installed, YAML, on any file system that Spark reads.
+
+    The file holds ``datasets``, a mapping from name to ``file_path``, ``primary_key`` and optionally ``description``,
+    ``required_columns``, ``date_columns``, ``numeric_columns`` and ``allowed_values``. Anything else is an error: a
+    misspelt field would silently check less.
+    """
+    try:
+        text = spark.read.text(path, wholetext=True).first()
+    except AnalysisException as problem:
+        raise FileNotFoundError(f"no registry at {path}") from problem
+    try:
+        content = json.loads(text.value if text else "")
+    except json.JSONDecodeError:
+        try:
+            import yaml
+        except ImportError as problem:
+            raise ValueError(f"{path} is no JSON, and YAML needs PyYAML") from problem
+        content = yaml.safe_load(text.value if text else "")
+    if not isinstance(content, dict) or not isinstance(content.get("datasets"), dict):
+        raise ValueError(f"{path} has no datasets")
+    return {n: _spec(n, facts) for n, facts in content["datasets"].items()}
+
+
+def _spec(dataset: str, facts: dict) -> DatasetSpec:
+    lists = ("required_columns", "date_columns", "numeric_columns")
+    if not isinstance(facts, dict):
+        raise ValueError(f"dataset {dataset!r} is no mapping")
+    unknown = sorted(set(facts) - {"description", "file_path", "primary_key", "allowed_values", *lists})
+    missing = [k for k in ("file_path", "primary_key") if not facts.get(k)]
+    if unknown or missing:
+        raise ValueError(f"dataset {dataset!r} lacks {missing} and has unknown {unknown}")
+
+    def texts(field: str, values) -> tuple[str, ...]:
+        # YAML reads some bare words, such as NO, as truth values.
+        if not isinstance(values or [], list) or any(not isinstance(v, str) for v in values or []):
+            raise ValueError(f"{field} of dataset {dataset!r} is no list of texts: {values}")
+        return tuple(values or [])
+
+    return DatasetSpec(
+        name=dataset, path=facts["file_path"], primary_key=facts["primary_key"], description=facts.get("description") or "",
+        allowed_values={c: texts(c, v) for c, v in (facts.get("allowed_values") or {}).items()},
+        **{k: texts(k, facts.get(k)) for k in lists},
+    )
+
+
 def dataset_spec(dataset: str, registry: dict[str, DatasetSpec] | None = None) -> DatasetSpec:
     known = REGISTRY if registry is None else registry
     if dataset not in known:
