@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -150,28 +151,62 @@ def validate_events(events: DataFrame, run_id: str | None = None) -> DataFrame:
 
 
 def run_validation(
-    events: DataFrame, run_id: str, output: str, archive: str | None = None
-) -> list[StreamingQuery]:
+    events: DataFrame, run_id: str, output: str, archive: str | None = None, require: bool = False
+) -> StreamingQuery:
     """Validate everything that has arrived so far and stop.
 
-    Validated events land in one folder per status, so the failed ones are read without touching the
-    rest. The archive keeps the raw events of the run as JSON lines. Each output has its own
-    checkpoint beside it, which gives every event exactly once across restarts.
+    One stream reads the source once and writes both outputs of a batch: validated events in one folder per status, so
+    that the failed ones are read without touching the rest, and the raw events of the run as JSON lines. Each
+    batch has a folder of its own, named by its id and written anew when a batch is repeated after a restart, so
+    every event is kept exactly once. With ``require`` a run without any event so far is an error.
     """
-    validated = validate_events(events, run_id)
-    queries = [
-        validated.writeStream.format("parquet").partitionBy("status").option("path", output)
-        .option("checkpointLocation", f"{output}-checkpoint").trigger(availableNow=True).start()
-    ]
-    if archive is not None:
-        kept = events.where(F.col("run_id") == run_id)
-        queries.append(
-            kept.writeStream.format("json").option("path", archive)
-            .option("checkpointLocation", f"{archive}-checkpoint").trigger(availableNow=True).start()
-        )
-    for q in queries:
-        q.awaitTermination()
-    return queries
+    schema = validate_events(events, run_id).schema
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        chosen = batch.where(F.col("run_id") == run_id).persist()
+        try:
+            _write_batch(validate_events(chosen, run_id), output, batch_id)
+            if archive is not None:
+                _archive_batch(chosen, archive, batch_id)
+        finally:
+            chosen.unpersist()
+
+    query = events.writeStream.foreachBatch(keep).option("checkpointLocation", f"{output}-checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    if require:
+        try:
+            require_events(events.sparkSession.read.schema(schema).parquet(output))
+        except AnalysisException:  # no batch at all, so no folder
+            raise RuntimeError("no event of the run was consumed") from None
+    return query
+
+
+def _write_batch(validated: DataFrame, output: str, batch_id: int) -> None:
+    validated.write.mode("overwrite").partitionBy("status").parquet(f"{output}/batch_id={batch_id}")
+
+
+def _archive_batch(events: DataFrame, archive: str, batch_id: int) -> None:
+    events.write.mode("overwrite").json(f"{archive}/batch_id={batch_id}")
+
+
+def run_summary_stream(events: DataFrame, run_id: str, output: str) -> DataFrame:
+    """The feed summary kept up to date by a stream, read back as of everything that has arrived so far.
+
+    The state is one row per provider and status. Every batch writes the whole summary to the folder of its id; the
+    latest one counts. ``feed_summary`` gives the same from the written events.
+    """
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+
+    summary = feed_summary(validate_events(events, run_id))
+    query = (
+        summary.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{output}-checkpoint")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    written = events.sparkSession.read.schema(summary.schema).parquet(output)
+    latest = written.agg(F.expr("max(batch_id) AS batch_id"))
+    return written.join(F.broadcast(latest), "batch_id").drop("batch_id")
 
 
 def feed_summary(validated: DataFrame) -> DataFrame:

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import json
+
 from plumbline.operators import anomaly, marts, profiling, remediation, reports
+from plumbline.operators.evaluate import union_all, validate_dataset
 from plumbline.plans import jobs
+from plumbline.rules.registered import spec_rules
+from plumbline.rules.trades import TRADES
 from registry.domain import AS_OF, base_table, domain_table, domain_tables
 from plumbline.schemas import EVENT, PROVIDER_FEED, TABLES
 from plumbline.session import fresh_path
 from plumbline.sources.sinks import read_mart, write_curated, write_mart, write_report
-from plumbline.sources.tables import read_csv, read_folder, read_tolerant, stage_views
+from plumbline.sources.tables import load_registry, read_csv, read_dataset, read_folder, read_tolerant, stage_views
 from plumbline.streaming import feed
 from registry.base import AS_OF_SQL, TRADE_TABLE, Query, core, trades, with_tables
 from registry.rules import ALL_CORE, ALL_SQL, ALL_TRADE, SUMMARY_COLUMNS_SQL, SUMMARY_SQL, core_results
-from registry.conditions import COUNTRY_LIST, counts_sql
+from registry.conditions import COUNTRY_LIST, TRADES as TRADE_CONDITIONS, counts_sql
 from registry.tables import MART_EXCEPTIONS_STEP, VIEW_SQL, _on_reviewed
 
 RUN = "run-0001"
@@ -118,7 +123,7 @@ def _stakeholder_views(spark, folder):
 def _validated_stream(spark, folder, limit):
     messages, manifest = feed.feed_run(domain_table(spark, folder, "provider_feed"), RUN, limit)
     output = fresh_path(spark, "validated")
-    feed.run_validation(feed.stream_files(spark, messages), RUN, output)
+    feed.run_validation(feed.stream_files(spark, messages), RUN, output, require=True)
     return spark.read.parquet(output), manifest
 
 
@@ -129,6 +134,16 @@ def _validated_archive(spark, folder):
     return archive
 
 
+def _summary_stream(spark, folder):
+    """The summary by a stateful stream of several triggers, stopped and continued in the middle."""
+    messages, _ = feed.feed_run(domain_table(spark, folder, "provider_feed"), RUN, None)
+    output = fresh_path(spark, "summary")
+    feed.run_summary_stream(feed.stream_files(spark, messages, 2), RUN, output)
+    more, _ = feed.feed_run(domain_table(spark, folder, "provider_feed"), RUN, 100)
+    feed.publish_files(spark.read.text(more), messages)
+    return feed.run_summary_stream(feed.stream_files(spark, messages, 2), RUN, output)
+
+
 _EVENT_STEP = ("checked", f"""
     SELECT *, list_filter([CASE WHEN coalesce(trim(legal_name), '') = '' THEN 'Missing legal name' END,
         CASE WHEN coalesce(country_code, '?') NOT IN {COUNTRY_LIST} THEN 'Invalid country code' END,
@@ -196,6 +211,52 @@ def scored(spark, folder):
     return anomaly.score_entities(domain_table(spark, folder, "entities"), AS_OF)
 
 
+# A registry file
+
+def _registry_rules(spark, folder):
+    """Two data sets registered in a JSON file, read as CSV files and checked by the rules that the file implies."""
+    root = fresh_path(spark, "registered")
+    for t in (TRADE_TABLE, "entities"):
+        domain_table(spark, folder, t).write.option("header", True).option("escape", '"').csv(f"{root}/incoming/{t}.csv")
+    spark.createDataFrame([(json.dumps(_REGISTRY),)], "value string").coalesce(1).write.text(f"{root}/registry.json")
+    frames = []
+    for dataset, spec in load_registry(spark, f"{root}/registry.json").items():
+        df = read_dataset(spark, spec, root)
+        frames.append(validate_dataset(df, spec, spec_rules(spec, df.columns)))
+    return union_all(frames).select("table_name", "rule_id", "dimension", "severity", "total_count", "failed_count", "status")
+
+
+_ENTITY_TYPES = ("Public Company", "Private Company", "Fund", "SPV", "Government Entity", "Financial Institution")
+_REGISTRY = {"datasets": {
+    TRADE_TABLE: {
+        "description": "Trades.", "file_path": f"incoming/{TRADE_TABLE}.csv", "primary_key": "trade_id",
+        "required_columns": ["trade_id", "trade_date", "currency", "instrument_type"], "date_columns": ["trade_date"],
+        "allowed_values": {"currency": list(TRADES.allowed_values["currency"]), "instrument_type": list(TRADES.allowed_values["instrument_type"]),
+                           "country_code": ["US", "GB"]}},
+    "entities": {"file_path": "incoming/entities.csv", "primary_key": "entity_id", "required_columns": ["entity_id", "entity_type"],
+                 "allowed_values": {"entity_type": list(_ENTITY_TYPES)}},
+}}
+
+
+def _registered_sql(table, required, checks):
+    lines = [f"SELECT '{table}' AS table_name, 'SCHEMA_001' AS rule_id, 'Schema' AS dimension, 'Critical' AS severity, "
+             f"{required}::BIGINT AS total_count, 0::BIGINT AS failed_count"]
+    lines += [f"SELECT '{table}', '{i}', '{d}', '{s}', count(*), count(*) FILTER ({w}) FROM {table} t" for i, d, s, w in checks]
+    return "\nUNION ALL\n".join(lines)
+
+
+_REGISTRY_SQL = with_tables([TRADE_TABLE, "entities"], "SELECT *, CASE WHEN failed_count > 0 THEN 'Fail' ELSE 'Pass' END AS status FROM (" + "\nUNION ALL\n".join([
+    _registered_sql(TRADE_TABLE, 4, [
+        ("KEY_001", "Completeness", "Critical", TRADE_CONDITIONS["TRADE_001"]), ("KEY_002", "Uniqueness", "Critical", TRADE_CONDITIONS["TRADE_002"]),
+        ("DATE_trade_date", "Validity", "High", TRADE_CONDITIONS["DATE_001"]), ("SET_currency", "Validity", "High", TRADE_CONDITIONS["REF_001"]),
+        ("SET_instrument_type", "Validity", "High", TRADE_CONDITIONS["REF_003"])]),
+    _registered_sql("entities", 2, [
+        ("KEY_001", "Completeness", "Critical", "coalesce(trim(entity_id), '') = ''"),
+        ("KEY_002", "Uniqueness", "Critical", "entity_id IN (SELECT entity_id FROM entities GROUP BY 1 HAVING count(*) > 1)"),
+        ("SET_entity_type", "Validity", "High", f"coalesce(entity_type, '?') NOT IN {_ENTITY_TYPES}")]),
+]) + ")")
+
+
 # The batch jobs
 
 def _core_job(spark, folder):
@@ -232,6 +293,7 @@ QUERIES = [
     Query("src1_csv_scan", _csv_scan, _CSV_SQL),
     Query("src1_csv_line_breaks", _csv_line_breaks, _LINE_BREAKS_SQL),
     Query("src2_folder_scan", _folder_scan, _FOLDER_SQL),
+    Query("src3_registry_rules", _registry_rules, _REGISTRY_SQL),
     Query("src4_tolerant_scan", _tolerant_scan, _TOLERANT_SQL),
     Query("src10_mart_table", _mart_table, with_tables(["entities"], VIEW_SQL["mart_entity_quality_summary"])),
     Query("snk1_report_files", _report_files, SUMMARY_COLUMNS_SQL),
@@ -263,6 +325,13 @@ QUERIES = [
     Query("agg16_feed_summary", lambda s, d: feed.feed_summary(_validated_stream(s, d, None)[0]),
           _on_events("SELECT provider_name, status, count(*) AS event_count, CAST(sum(issue_count) AS BIGINT) AS total_issues "
                      "FROM validated GROUP BY ALL")),
+    Query("agg16_feed_summary_stream", _summary_stream,
+          with_tables(["provider_feed"], f"""
+              SELECT provider_name, status, count(*) AS event_count, CAST(sum(issue_count) AS BIGINT) AS total_issues FROM (
+                  SELECT provider_name, status, issue_count FROM validated
+                  UNION ALL SELECT provider_name, status, issue_count FROM (
+                      SELECT {_EVENT_FIELDS}, row_number() OVER (ORDER BY {_ORDERED}) AS n FROM checked) WHERE n <= 100) GROUP BY ALL""",
+              _EVENT_STEP, ("validated", f"SELECT {_EVENT_FIELDS} FROM checked"))),
     Query("snk3_feed_archive", lambda s, d: s.read.schema(EVENT).json(_validated_archive(s, d)).selectExpr(
               "run_id", "key", "payload.legal_name AS legal_name", "payload.provider_name AS provider_name"),
           with_tables(["provider_feed"], f"SELECT '{RUN}' AS run_id, provider_record_id AS key, legal_name, provider_name FROM provider_feed")),

@@ -257,3 +257,74 @@ def test_samples_of_sparse_columns_and_tied_keys(spark):
             want = [r[i] for r in ordered if r[i] is not None][:n]
             assert got.get(c, "") == " | ".join(want), c
     assert profiling.sample_values(df.limit(0), "k").count() == 0
+
+
+REGISTRY_YAML = """
+datasets:
+  people:
+    file_path: incoming/people.csv
+    primary_key: id
+    required_columns: [id, role]
+    date_columns: [since]
+    allowed_values:
+      role: [Lead, Member]
+      elsewhere: ["NO"]
+  other: {file_path: o.csv, primary_key: k}
+"""
+
+
+def test_registry_file(spark, tmp_path):
+    from plumbline.sources.tables import load_registry
+
+    (tmp_path / "r.yml").write_text(REGISTRY_YAML)
+    known = load_registry(spark, str(tmp_path / "r.yml"))
+    assert list(known) == ["people", "other"] and known["people"].allowed_values["elsewhere"] == ("NO",)
+    assert dataset_spec("other", known).required_columns == ()
+    (tmp_path / "incoming").mkdir()
+    (tmp_path / "incoming" / "people.csv").write_text('id,role,since\n1,Lead,2024-01-01\n1,"Mem\nber",soon\n,Member,2024-02-30\n')
+    out = jobs.onboarding_job(read_dataset(spark, known["people"], str(tmp_path)), fresh_path(spark, "people"), known["people"])
+    failed = {r.rule_id: r.failed_count for r in out["rule_results"].collect()}
+    assert failed == {"SCHEMA_001": 0, "KEY_001": 1, "KEY_002": 2, "DATE_since": 2, "SET_role": 1}
+    assert out["failed_records"].count() == 6
+    with pytest.raises(FileNotFoundError):
+        load_registry(spark, str(tmp_path / "none.json"))
+    for wrong in ('{"x": 1}', '{"datasets": {"a": {"file_path": "p"}}}', '{"datasets": {"a": {"file_path": "p", "primary_key": "k", "colums": []}}}',
+                  "datasets: {a: {file_path: p, primary_key: k, allowed_values: {c: [NO]}}}"):
+        (tmp_path / "wrong.json").write_text(wrong)
+        with pytest.raises(ValueError):
+            load_registry(spark, str(tmp_path / "wrong.json"))
+
+
+def test_restart_in_the_middle_of_a_batch(spark, monkeypatch):
+    from pyspark.errors import StreamingQueryException
+
+    messages, _ = feed.feed_run(provider_rows(spark), "r1")
+    out, archive = fresh_path(spark, "out"), fresh_path(spark, "archive")
+    whole, calls = feed._archive_batch, []
+
+    def breaks_once(events, path, batch_id):
+        calls.append(batch_id)
+        if len(calls) == 2:
+            raise OSError("disk gone")  # the validated events of this batch are written by now
+        whole(events, path, batch_id)
+
+    monkeypatch.setattr(feed, "_archive_batch", breaks_once)
+    with pytest.raises(StreamingQueryException):
+        feed.run_validation(feed.stream_files(spark, messages, 1), "r1", out, archive)
+    feed.run_validation(feed.stream_files(spark, messages, 1), "r1", out, archive, require=True)
+    assert calls.count(calls[1]) == 2
+    for kept in (spark.read.parquet(out), spark.read.schema(EVENT).json(archive)):
+        assert sorted(r.sequence_number for r in kept.collect()) == [1, 2, 3, 4, 5]
+    with pytest.raises(RuntimeError):
+        feed.run_validation(feed.stream_files(spark, messages), "other", fresh_path(spark, "none"), require=True)
+
+
+def test_summary_stream_goes_on_after_a_restart(spark):
+    messages, _ = feed.feed_run(provider_rows(spark), "r1")
+    output = fresh_path(spark, "summary")
+    for times in (1, 2):
+        got = feed.run_summary_stream(feed.stream_files(spark, messages, 1), "r1", output).collect()
+        assert {(r.provider_name, r.status): (r.event_count, r.total_issues) for r in got} == {
+            (None, "failed"): (times, times), ("ProviderA", "failed"): (3 * times, 5 * times), ("ProviderA", "passed"): (times, 0)}
+        more, _ = feed.feed_run(provider_rows(spark), "r1")
+        feed.publish_files(spark.read.text(more), messages)
