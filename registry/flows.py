@@ -245,7 +245,7 @@ def _registered_sql(table, required, checks):
     return "\nUNION ALL\n".join(lines)
 
 
-_REGISTRY_SQL = with_tables([TRADE_TABLE, "entities"], "SELECT *, CASE WHEN failed_count > 0 THEN 'Fail' ELSE 'Pass' END AS status FROM (" + "\nUNION ALL\n".join([
+_REGISTRY_SQL = with_tables([TRADE_TABLE, "entities"], "SELECT *, CASE WHEN failed_count > 0 THEN 'failed' ELSE 'passed' END AS status FROM (" + "\nUNION ALL\n".join([
     _registered_sql(TRADE_TABLE, 4, [
         ("KEY_001", "Completeness", "Critical", TRADE_CONDITIONS["TRADE_001"]), ("KEY_002", "Uniqueness", "Critical", TRADE_CONDITIONS["TRADE_002"]),
         ("DATE_trade_date", "Validity", "High", TRADE_CONDITIONS["DATE_001"]), ("SET_currency", "Validity", "High", TRADE_CONDITIONS["REF_001"]),

@@ -140,7 +140,7 @@ def _profile(spark, folder):
     t = core(spark, folder)
     return union_all([
         profiling.top_values_text(profiling.profile(t[n], n)) for n in CORE_TABLES
-    ]).selectExpr("* EXCEPT (top_values)", "CASE WHEN dtype <> 'double' THEN top_values END AS top_values")
+    ])
 
 
 def _profile_column_sql(table: str, column: str, dtype: str) -> str:
@@ -149,8 +149,6 @@ def _profile_column_sql(table: str, column: str, dtype: str) -> str:
     missing, unique = f"(count(*) - count({column}))", f"count(DISTINCT {column})"
     top = (f"(SELECT string_agg(v || ': ' || n, ', ' ORDER BY n DESC, v) FROM (SELECT {shown} AS v, count(*) AS n "
            f"FROM {table} GROUP BY 1 ORDER BY n DESC, v LIMIT 5))")
-    if dtype == "double":  # the engines print some numbers differently
-        top = "CAST(NULL AS VARCHAR)"
     return (f"SELECT '{table}' AS table_name, '{column}' AS column_name, count(*) AS row_count, {missing} AS missing_count, "
             f"{pct.format(missing)} AS missing_pct, {unique} AS unique_count, {pct.format(unique)} AS unique_pct, "
             f"'{dtype}' AS dtype, {top} AS top_values FROM {table}")
