@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.session import fresh_path
+
 # A quoted value without its closing quote, and fields from the start of a record or after a separator up to such a value.
 _QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
 _OPENS = rf'(?:(?:{_QUOTED}"[^,]*+|[^,"][^,]*+)?+,)*+{_QUOTED}\z'
@@ -36,13 +38,17 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"), "value")
     quoted = F.instr("value", '"') > 0
-    placed = lines.select(
+    turns = lines.select(
         "*", (quoted & F.col("value").rlike(_OPEN_FROM_OUTSIDE)).alias("open0"),
-        (~quoted | F.col("value").rlike(_OPEN_FROM_INSIDE)).alias("open1"),
-    ).mapInArrow(_follow, _PLACED)
-
-    # The file is scanned once for the splits and once for the records. A split known to one scan alone would lose rows.
-    known = placed.join(_beginnings(placed), ["file", "block"], "left")
+        (~quoted | F.col("value").rlike(_OPEN_FROM_INSIDE)).alias("open1"))
+    placed = turns.mapInArrow(_follow, _PLACED)
+    # The splits are settled without their texts and kept as a small table, so that both readers below share them.
+    folder = fresh_path(spark, "csv-splits")
+    _beginnings(turns.withColumn("value", F.lit("")).mapInArrow(_follow, _PLACED)).write.parquet(folder)
+    begun = spark.read.parquet(folder)
+
+    # A split that the earlier scan did not see would lose its rows.
+    known = placed.join(begun, ["file", "block"], "left")
     lines = known.selectExpr(
         "*", "coalesce(inside, CAST(raise_error('the splits of a file changed between two scans') AS BOOLEAN)) AS __inside",
     ).selectExpr(
@@ -105,7 +111,9 @@ def _beginnings(placed: DataFrame) -> DataFrame:
     The windows see one row per split of a file.
     """
     splits = placed.groupBy("file", "block").agg(
-        F.expr("max_by(struct(open0, open1), line) AS e"), F.max("start0").alias("last0"), F.max("start1").alias("last1"))
+        F.expr("max(line * 4 + if(open0, 1, 0) + if(open1, 2, 0)) AS last"), F.max("start0").alias("last0"), F.max("start1").alias("last1"))
+    # The ends of the last line, in the bits below its number; numbers, unlike structs, are aggregated by hash.
+    splits = splits.selectExpr("*", "struct(last & 1 = 1 AS open0, last & 2 = 2 AS open1) AS e")
     order = "OVER (PARTITION BY file ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND"
     turned = splits.selectExpr("*", f"count_if(e.open0 AND NOT e.open1) {order} CURRENT ROW) AS turned")
     settled = turned.selectExpr(
