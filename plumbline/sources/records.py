@@ -90,9 +90,17 @@ def _follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = np.maximum.accumulate(np.concatenate(([starts[h]], np.where(before, -1, lines[a:b]))))[1:]
                 inside[h, a:b], ends[h, a:b], begins[h, a:b] = before, after, own
                 states[h], starts[h] = bool(after[-1]), int(own[-1])
-        columns = [batch["file"], batch["block"], batch["line"], batch["value"], pa.array(first)]
+        # Lines that go on for both beginnings are put to the line before them; the whole then counts as one line.
+        heads = ~inside.all(axis=0)
+        heads[cuts[:-1]] = True
+        at = np.flatnonzero(heads)
+        ends_at = np.append(at[1:], n) - 1
+        offsets = pa.array(np.append(at, n), pa.int32())
+        texts = pc.binary_join(pa.ListArray.from_arrays(offsets, batch["value"]), "\n")
+        columns = [files.take(at), pa.array(blocks[at]), pa.array(lines[at]), texts, pa.array(first[at])]
         for h in (0, 1):
-            columns += [pa.array(inside[h]), pa.array(ends[h]), pa.array(begins[h], mask=begins[h] < 0)]
+            begun = begins[h, at]
+            columns += [pa.array(inside[h, at]), pa.array(ends[h, ends_at]), pa.array(begun, mask=begun < 0)]
         yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _PLACED.split(", ")])
 
 
