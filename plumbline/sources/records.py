@@ -25,9 +25,12 @@ _OPEN_FROM_INSIDE = rf'^[^"]*+(?:""[^"]*+)*+(?:\z|"[^,]*+,{_OPENS})'
 
 _PLACED = ("file string, block bigint, line bigint, value string, first boolean, inside0 boolean, open0 boolean, start0 bigint, "
            "inside1 boolean, open1 boolean, start1 bigint")
+_ENDS = "file string, block bigint, open0 boolean, open1 boolean, last0 bigint, last1 bigint"
+#: Splits up to which one row for each is sent to all tasks, some 50 MB; more of them are joined by the optimizer's choice.
+BROADCAST_SPLITS = 200_000
 
 
-def csv_records(spark: SparkSession, path: str) -> DataFrame:
+def csv_records(spark: SparkSession, path: str, broadcast_splits: int = BROADCAST_SPLITS) -> DataFrame:
     """The records of all files of ``path``, without the header record of each file and without blank ones.
 
     Columns: ``file``, ``block`` and ``line``, which order the records, and the text ``record``. A quote opens a value only
@@ -41,19 +44,25 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     turns = lines.select(
         "*", (quoted & F.col("value").rlike(_OPEN_FROM_OUTSIDE)).alias("open0"),
         (~quoted | F.col("value").rlike(_OPEN_FROM_INSIDE)).alias("open1"))
-    placed = turns.mapInArrow(_follow, _PLACED)
     # The splits are settled without their texts and kept as a small table, so that both readers below share them.
     folder = fresh_path(spark, "csv-splits")
-    _beginnings(turns.withColumn("value", F.lit("")).mapInArrow(_follow, _PLACED)).write.parquet(folder)
+    _beginnings(turns.drop("value").mapInArrow(_ends, _ENDS)).write.parquet(folder)
     begun = spark.read.parquet(folder)
 
     # A split that the earlier scan did not see would lose its rows.
-    known = placed.join(begun, ["file", "block"], "left")
-    lines = known.selectExpr(
-        "*", "coalesce(inside, CAST(raise_error('the splits of a file changed between two scans') AS BOOLEAN)) AS __inside",
-    ).selectExpr(
-        "file", "block", "line", "value", "first", "carried", "if(__inside, inside1, inside0) AS continues",
-        "if(__inside, open1, open0) AS open", "if(__inside, start1, start0) AS start")
+    seen = "coalesce(inside, CAST(raise_error('the splits of a file changed between two scans') AS BOOLEAN))"
+    if begun.count() <= broadcast_splits:
+        # One row per split, few enough for every task: lines know where they begin before they are followed.
+        known = turns.join(F.broadcast(begun), ["file", "block"], "left").withColumn("inside", F.expr(seen))
+        carried = begun.select("file", "block", "carried")
+        placed = known.select(*turns.columns, "inside").mapInArrow(_follow, _PLACED).join(F.broadcast(carried), ["file", "block"])
+        lines = placed.selectExpr(
+            "file", "block", "line", "value", "first", "carried", "inside0 AS continues", "open0 AS open", "start0 AS start")
+    else:
+        known = turns.mapInArrow(_follow, _PLACED).join(begun, ["file", "block"], "left").withColumn("__inside", F.expr(seen))
+        lines = known.selectExpr(
+            "file", "block", "line", "value", "first", "carried", "if(__inside, inside1, inside0) AS continues",
+            "if(__inside, open1, open0) AS open", "if(__inside, start1, start0) AS start")
     whole = lines.where("NOT continues AND NOT open").selectExpr("file", "block", "line", "value AS record", "first AS header")
     parts = lines.where("continues OR open").selectExpr(
         "file", "if(start IS NULL, carried, named_struct('block', block, 'line', start)) AS begin",
@@ -65,42 +74,84 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
         "file", "block", "line", F.regexp_replace("record", r"\r\z", "").alias("record")).where("trim(record) <> ''")
 
 
-def _follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For both beginnings of a split: whether a line begins and ends inside a value, and where its record begins."""
-    split, states, starts = None, [], []
-    for batch in batches:
+class _Splits:
+    """The state of the split that a task reads, for both of its beginnings; the first split of a file has but one."""
+
+    def __init__(self) -> None:
+        self.split, self.states, self.starts = None, [], []
+
+    def followed(self, batch: pa.RecordBatch) -> Iterator[tuple]:
+        """Each run of lines of one split: its bounds, whether the split begins there, and by beginning the state before and
+        after every line and the line where its record begins."""
         n = batch.num_rows
         if not n:
-            continue
-        blocks, lines = batch["block"].to_numpy(), batch["line"].to_numpy()
-        files = batch["file"]
+            return
+        blocks, lines, files = batch["block"].to_numpy(), batch["line"].to_numpy(), batch["file"]
         turns = (blocks[1:] != blocks[:-1]) | pc.not_equal(files[1:], files[:-1]).to_numpy(zero_copy_only=False)
         cuts = [0, *(np.flatnonzero(turns) + 1).tolist(), n]
         open0, open1 = (batch[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("open0", "open1"))
-        first = np.zeros(n, bool)
-        inside, ends, begins = (np.zeros((2, n), t) for t in (bool, bool, np.int64))
         for a, b in zip(cuts, cuts[1:]):
             here = (files[a].as_py(), int(blocks[a]))
-            if here != split:
-                split, states, starts = here, [False, True], [-1, -1]
-                first[a] = here[1] == 0
+            if new := here != self.split:
+                inside = batch["inside"][a].as_py() if "inside" in batch.schema.names else None
+                self.split, self.starts = here, [-1, -1]
+                self.states = [False, here[1] > 0] if inside is None else [inside, inside]
+            found = []
+            for h in (0, 1):
+                after = _composed(open0[a:b], open1[a:b], self.states[h])
+                before = np.concatenate(([self.states[h]], after[:-1]))
+                own = np.maximum.accumulate(np.concatenate(([self.starts[h]], np.where(before, -1, lines[a:b]))))[1:]
+                found.append((before, after, own))
+                self.states[h], self.starts[h] = bool(after[-1]), int(own[-1])
+            yield a, b, new, found
+
+    def end(self) -> dict:
+        start0, start1 = (None if s < 0 else s for s in self.starts)
+        return {"file": self.split[0], "block": self.split[1], "open0": self.states[0], "open1": self.states[1], "last0": start0, "last1": start1}
+
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per split: for both beginnings whether it ends inside a value, and where the last record of it begins."""
+    at = _Splits()
+    schema = pa.schema({"file": pa.string(), "block": pa.int64(), "open0": pa.bool_(), "open1": pa.bool_(), "last0": pa.int64(), "last1": pa.int64()})
+    for batch in batches:
+        done, before = [], at.split and at.end()
+        for _, _, new, _ in at.followed(batch):
+            if new and before:
+                done.append(before)
+            before = at.end()
+        yield pa.RecordBatch.from_pylist(done, schema)
+    if at.split:
+        yield pa.RecordBatch.from_pylist([at.end()], schema)
+
+
+def _follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For both beginnings of a split: whether a line begins and ends inside a value, and where its record begins.
+
+    Where the column ``inside`` says how the split begins, both are that one.
+    """
+    at = _Splits()
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        blocks, lines, files = batch["block"].to_numpy(), batch["line"].to_numpy(), batch["file"]
+        first, heads = np.zeros(n, bool), np.zeros(n, bool)
+        inside, ends, begins = (np.zeros((2, n), t) for t in (bool, bool, np.int64))
+        for a, b, new, found in at.followed(batch):
+            heads[a], first[a] = True, new and blocks[a] == 0
             for h in (0, 1):
-                after = _composed(open0[a:b], open1[a:b], states[h])
-                before = np.concatenate(([states[h]], after[:-1]))
-                own = np.maximum.accumulate(np.concatenate(([starts[h]], np.where(before, -1, lines[a:b]))))[1:]
-                inside[h, a:b], ends[h, a:b], begins[h, a:b] = before, after, own
-                states[h], starts[h] = bool(after[-1]), int(own[-1])
+                inside[h, a:b], ends[h, a:b], begins[h, a:b] = found[h]
         # Lines that go on for both beginnings are put to the line before them; the whole then counts as one line.
-        heads = ~inside.all(axis=0)
-        heads[cuts[:-1]] = True
-        at = np.flatnonzero(heads)
-        ends_at = np.append(at[1:], n) - 1
-        offsets = pa.array(np.append(at, n), pa.int32())
+        heads |= ~inside.all(axis=0)
+        where = np.flatnonzero(heads)
+        ends_at = np.append(where[1:], n) - 1
+        offsets = pa.array(np.append(where, n), pa.int32())
         texts = pc.binary_join(pa.ListArray.from_arrays(offsets, batch["value"]), "\n")
-        columns = [files.take(at), pa.array(blocks[at]), pa.array(lines[at]), texts, pa.array(first[at])]
+        columns = [files.take(pa.array(where)), pa.array(blocks[where]), pa.array(lines[where]), texts, pa.array(first[where])]
         for h in (0, 1):
-            begun = begins[h, at]
-            columns += [pa.array(inside[h, at]), pa.array(ends[h, ends_at]), pa.array(begun, mask=begun < 0)]
+            begun = begins[h, where]
+            columns += [pa.array(inside[h, where]), pa.array(ends[h, ends_at]), pa.array(begun, mask=begun < 0)]
         yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _PLACED.split(", ")])
 
 
@@ -113,15 +164,12 @@ def _composed(open0: np.ndarray, open1: np.ndarray, begin: bool) -> np.ndarray:
     return base ^ (since % 2 == 1)
 
 
-def _beginnings(placed: DataFrame) -> DataFrame:
+def _beginnings(ends: DataFrame) -> DataFrame:
     """For each split whether it begins inside a value, and the place where the record begins that runs into it.
 
     The windows see one row per split of a file.
     """
-    splits = placed.groupBy("file", "block").agg(
-        F.expr("max(line * 4 + if(open0, 1, 0) + if(open1, 2, 0)) AS last"), F.max("start0").alias("last0"), F.max("start1").alias("last1"))
-    # The ends of the last line, in the bits below its number; numbers, unlike structs, are aggregated by hash.
-    splits = splits.selectExpr("*", "struct(last & 1 = 1 AS open0, last & 2 = 2 AS open1) AS e")
+    splits = ends.selectExpr("*", "struct(open0, open1) AS e")
     order = "OVER (PARTITION BY file ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND"
     turned = splits.selectExpr("*", f"count_if(e.open0 AND NOT e.open1) {order} CURRENT ROW) AS turned")
     settled = turned.selectExpr(
