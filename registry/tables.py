@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from plumbline.functions.text import normalise_name
-from plumbline.operators import listings, marts, profiling, remediation, reports
+from plumbline.operators import listings, marts, profiling, remediation, reports, sketches
 from plumbline.operators.evaluate import union_all
 from registry.domain import AS_OF, CORE_TABLES, base_table, domain_table
 from plumbline.schemas import TABLES
+from plumbline.session import fresh_path
 from plumbline.sources.tables import stage
 from registry.base import AS_OF_SQL, TRADE_TABLE, Query, core, trades, with_tables
 from registry.conditions import COUNTRY_LIST
@@ -160,6 +161,22 @@ _PROFILE_SQL = with_tables(CORE_TABLES, "\nUNION ALL\n".join(
 ))
 
 
+def _sketched_profile(spark, folder):
+    """Events sketched by day; the last day is added from its own rows. The merged profile is held against a scan of all."""
+    events, path = base_table(spark, folder, "events"), fresh_path(spark, "sketches")
+    day = "date_format(ts, 'yyyy-MM-dd')"
+    last = events.selectExpr(f"max({day}) AS last").first()["last"]
+    sketches.keep(sketches.sketch(events.where(f"NOT {day} <=> '{last}'"), day), path)
+    sketches.keep(sketches.sketch(events.where(f"{day} = '{last}'"), day), path)
+    return sketches.audited(sketches.merged_profile(sketches.kept(spark, path), "events"), events)
+
+
+_SKETCHED_SQL = "\nUNION ALL\n".join(
+    f"SELECT 'events' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS missing_count, "
+    f"count(DISTINCT {c}) AS unique_count, true AS counts_equal, true AS unique_in_bound, true AS top_in_bound FROM events"
+    for c in ("event_id", "ts", "user_id", "event_type", "value", "props"))
+
+
 def _onboarding_profile(spark, folder):
     return profiling.onboarding_profile(trades(spark, folder), TRADE_TABLE, "trade_id")
 
@@ -329,6 +346,7 @@ QUERIES = [
     Query("set1_mart_quality_exceptions", lambda s, d: marts.quality_exceptions(core(s, d), AS_OF),
           with_tables(CORE_TABLES, MART_EXCEPTIONS_STEP)),
     Query("agg14_column_profile", _profile, _PROFILE_SQL),
+    Query("agg14_sketched_profile", _sketched_profile, _SKETCHED_SQL),
     Query("agg15_onboarding_profile", _onboarding_profile, _ONBOARDING_SQL),
     Query("win3_top_values", _win3, _WIN3_SQL),
     Query("profile_documents",
