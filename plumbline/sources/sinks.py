@@ -17,12 +17,17 @@ def flat(df: DataFrame) -> DataFrame:
     ])
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Overwrite a report. Reports are aggregated and small, so CSV files are written as one."""
+def write_report(df: DataFrame, path: str, fmt: str = "parquet", one_file: bool = False) -> str:
+    """Overwrite a report, by default with as many files as it has tasks.
+
+    ``one_file`` gathers it in one task after the report is computed; meant for aggregates, not for failing rows.
+    """
+    shown = flat(df) if fmt == "csv" else df
+    writer = (shown.repartition(1) if one_file else shown).write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        flat(df).coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
-    else:
-        df.write.mode("overwrite").format(fmt).save(path)
+        # Failing values are shown as they are, blanks included; readers take an empty one for a missing one.
+        writer = writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.save(path)
     return path
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import functions as F
+
 from plumbline.operators import anomaly, marts, profiling, remediation, reports
-from plumbline.operators.evaluate import union_all, validate_dataset
+from plumbline.operators.evaluate import exceptions, union_all, validate_dataset
 from plumbline.plans import jobs
 from plumbline.rules.registered import spec_rules
 from plumbline.rules.trades import TRADES
@@ -16,8 +18,9 @@ from plumbline.sources.sinks import read_mart, write_curated, write_mart, write_
 from plumbline.sources.tables import load_registry, read_csv, read_dataset, read_folder, read_tolerant, stage_views
 from plumbline.streaming import feed
 from registry.base import AS_OF_SQL, TRADE_TABLE, Query, core, trades, with_tables
+from registry import rules, tables
 from registry.rules import ALL_CORE, ALL_SQL, ALL_TRADE, SUMMARY_COLUMNS_SQL, SUMMARY_SQL, core_results
-from registry.conditions import COUNTRY_LIST, TRADES as TRADE_CONDITIONS, counts_sql
+from registry.conditions import COUNTRY_LIST, TRADES as TRADE_CONDITIONS, counts_sql, exceptions_sql
 from registry.tables import MART_EXCEPTIONS_STEP, VIEW_SQL, _on_reviewed
 
 RUN = "run-0001"
@@ -88,11 +91,19 @@ _TOLERANT_SQL = with_tables([TRADE_TABLE], f"""
 
 
 def _report_files(spark, folder):
-    path = write_report(reports.most_failed(core_results(spark, folder), 27), fresh_path(spark, "report"), "csv")
+    path = write_report(reports.most_failed(core_results(spark, folder), 27), fresh_path(spark, "report"), "csv", one_file=True)
     return spark.read.option("header", True).csv(path).selectExpr(
         "table_name", "rule_id", "CAST(failed_count AS BIGINT) AS failed_count", "CAST(pass_rate AS DOUBLE) AS pass_rate")
 
 
+def _failing_rows_files(spark, folder):
+    """The failing rows of the trade pack as CSV files, one per task, and back; CSV readers take an empty value for a missing one."""
+    failed = exceptions(trades(spark, folder), ALL_TRADE, "trade_id", as_of=AS_OF)
+    path = write_report(failed, fresh_path(spark, "failing-rows"), "csv")
+    return read_csv(spark, path, na_tokens=()).groupBy("rule_id", "record_id").count().groupBy("rule_id").agg(
+        F.expr("sum(count) AS failing_rows"), F.expr("count(record_id) AS records"))
+
+
 def _curated_folders(spark, folder):
     path = write_curated(remediation.remediate(trades(spark, folder)), fresh_path(spark, "curated"))
     return reports.curation_summary(spark.read.parquet(path))
@@ -264,6 +275,45 @@ def _core_job(spark, folder):
     return out["table_quality_summary"]
 
 
+# Every report of the core run: the query whose SQL gives it, and the columns that are compared.
+_RULE = "table_name rule_id dimension severity failed_count pass_rate"
+_CORE_REPORTS = {
+    "profile_summary": ("agg14_column_profile", "table_name column_name row_count missing_count missing_pct unique_count unique_pct dtype"),
+    "rule_results": ("agg1_results_with_examples", "table_name rule_id failed_count pass_rate failed_examples"),
+    "quality_scorecard": ("agg3_scorecard", "table_name dimension rule_count total_records_checked total_failed_records quality_score status"),
+    "table_quality_summary": ("agg4_table_summary", "table_name dimensions_checked total_rules total_failed_records overall_quality_score status"),
+    "kpi_snapshot": ("agg18_kpi_snapshot", "tables_checked rules_executed average_quality_score failed_record_checks"),
+    "lowest_tables": ("top1_lowest_tables", "table_name total_rules overall_quality_score status"),
+    "most_failed_rules": ("top2_most_failed_core", _RULE),
+    "critical_failures": ("top5_critical_failures", _RULE),
+    "mart_entity_quality_summary": ("mart_entity_quality_summary", "source_system total_records missing_legal_name_count "
+                                    "missing_registration_number_count invalid_country_count stale_active_record_count"),
+    "mart_quality_exceptions": ("set1_mart_quality_exceptions", "table_name record_id issue_type severity source_system"),
+}
+_DECIMAL = ("missing_pct", "unique_pct", "pass_rate", "quality_score", "overall_quality_score", "average_quality_score")
+
+
+def _line(columns):
+    texts = (f"CAST(CAST({x} AS DECIMAL(18, 4)) AS STRING)" if x in _DECIMAL else f"CAST({x} AS STRING)" for x in columns.split())
+    return f"concat_ws('|', {', '.join(f'coalesce({x}, {chr(39)}~{chr(39)})' for x in texts)})"
+
+
+def _core_reports(spark, folder):
+    """All eleven reports of the core run, line by line; of the anomalies, which SQL can't give, whether they are few enough."""
+    out = jobs.core_job(core(spark, folder), fresh_path(spark, "core-job"), AS_OF)
+    lines = [out[o].selectExpr(f"'{o}' AS report", f"{_line(columns)} AS line") for o, (_, columns) in _CORE_REPORTS.items()]
+    rows = core(spark, folder)["entities"].selectExpr("count(*) AS n")
+    few = out["entity_anomalies"].agg(F.expr("count(*) AS found")).join(rows).selectExpr(
+        "'entity_anomalies' AS report", "CAST(found BETWEEN 1 AND floor((n - 1) * 0.03) + 1 AS STRING) AS line")
+    return union_all([*lines, few])
+
+
+_SQL_OF = {q.name: q.sql for q in (*rules.QUERIES, *tables.QUERIES)}
+_CORE_REPORTS_SQL = "\nUNION ALL\n".join([
+    *[f"SELECT '{o}' AS report, {_line(columns)} AS line FROM ({_SQL_OF[query]})" for o, (query, columns) in _CORE_REPORTS.items()],
+    "SELECT 'entity_anomalies', 'true'"])
+
+
 def _full_job(spark, folder):
     """The number of rows in the outputs of every stage."""
     out = jobs.full_job(domain_tables(spark, folder), fresh_path(spark, "full-job"), AS_OF)
@@ -297,6 +347,9 @@ QUERIES = [
     Query("src4_tolerant_scan", _tolerant_scan, _TOLERANT_SQL),
     Query("src10_mart_table", _mart_table, with_tables(["entities"], VIEW_SQL["mart_entity_quality_summary"])),
     Query("snk1_report_files", _report_files, SUMMARY_COLUMNS_SQL),
+    Query("snk1_failing_rows_files", _failing_rows_files, (
+        "SELECT rule_id, count(*) AS failing_rows, count(DISTINCT nullif(record_id, '')) AS records "
+        f"FROM ({exceptions_sql(ALL_TRADE, 'trade_id')}) GROUP BY 1")),
     Query("snk2_curated_folders", _curated_folders, _on_reviewed("""
         SELECT count(*) AS total_records, count(*) FILTER (issue_count > 0) AS records_with_issues,
                count(*) FILTER (curation_status = 'accepted') AS curated_records,
@@ -354,6 +407,7 @@ QUERIES = [
         "entity_id", "legal_name", "country_code", "entity_type", "status", "source_system", "anomaly_score")),
     Query("agg17_anomalies_by_source", lambda s, d: reports.anomalies_by_source(anomaly.anomalies(scored(s, d)))),
     Query("core_job", _core_job, SUMMARY_SQL),
+    Query("core_job_reports", _core_reports, _CORE_REPORTS_SQL),
     Query("full_job", _full_job, _FULL_JOB_SQL),
 ]
 

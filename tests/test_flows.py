@@ -6,11 +6,12 @@ import pytest
 from pyspark.sql import types as T
 
 from plumbline.functions.text import normalise_name
-from plumbline.operators import anomaly, profiling
+from plumbline.operators import anomaly, profiling, reports
 from plumbline.plans import jobs
 from registry.domain import domain_tables
 from plumbline.schemas import EVENT, PROVIDER_FEED, TABLES
 from plumbline.session import fresh_path, shared_folder
+from plumbline.sources.sinks import write_report
 from plumbline.sources.tables import dataset_spec, read_csv, read_dataset, read_folder, read_tolerant, stage
 from plumbline.streaming import feed
 
@@ -158,6 +159,45 @@ def test_anomalies_are_the_planted_ones_and_do_not_depend_on_partitioning(spark)
     assert all(r.anomaly_score <= 0 for r in ranked)
 
 
+def test_labels_and_scores_against_a_plain_forest(spark, monkeypatch):
+    """The same trees walked row by row in plain Python give the scores, the threshold, the labels and the totals."""
+    df, fitted = entities(spark), []
+    fit = anomaly.fit_forest
+    monkeypatch.setattr(anomaly, "fit_forest", lambda *a, **k: fitted.append(fit(*a, **k)) or fitted[-1])
+    scored = anomaly.score_entities(df, AS_OF, trees=25)
+    got = {r.entity_id: r for r in scored.collect()}
+    (forest,) = fitted
+
+    def depth(tree, row):
+        feature, threshold, code, left, right, path = (x.tolist() for x in tree)
+        at = 0
+        while feature[at] >= 0:
+            f = feature[at]
+            if f < len(anomaly.NUMERIC):
+                goes_right = row[f] > threshold[at]
+            else:
+                goes_right = forest.codes[f - len(anomaly.NUMERIC)].get(row[f]) == code[at]
+            at = right[at] if goes_right else left[at]
+        return path[at]
+
+    norm = anomaly.average_path(forest.sample_size)
+    features = {r.entity_id: [r[f] for f in anomaly.FEATURES] for r in anomaly.impute(anomaly.entity_features(df, AS_OF)).collect()}
+    scores = {i: -2.0 ** -(sum(depth(t, row) for t in forest.tables) / len(forest.tables) / norm) for i, row in features.items()}
+    ordered = sorted(scores.values())
+    place = (len(ordered) - 1) * anomaly.CONTAMINATION
+    low = ordered[math.floor(place)]
+    threshold = low + (ordered[math.floor(place) + 1] - low) * (place - math.floor(place))
+    assert set(got) == set(scores)
+    assert all(abs(got[i].anomaly_score - (s - threshold)) < 1e-5 for i, s in scores.items())
+    labelled = {i for i, s in scores.items() if s - threshold < -1e-12}
+    assert {i for i, r in got.items() if r.anomaly_label == "Anomaly"} == labelled and labelled
+    sources = {}
+    for i in labelled:
+        sources[got[i].source_system] = sources.get(got[i].source_system, 0) + 1
+    totals = reports.anomalies_by_source(anomaly.anomalies(scored)).collect()
+    assert {r.source_system: r.anomaly_count for r in totals} == sources
+
+
 def test_percentile_by_refinement_is_exact(spark):
     import numpy as np
 
@@ -328,3 +368,26 @@ def test_summary_stream_goes_on_after_a_restart(spark):
             (None, "failed"): (times, times), ("ProviderA", "failed"): (3 * times, 5 * times), ("ProviderA", "passed"): (times, 0)}
         more, _ = feed.feed_run(provider_rows(spark), "r1")
         feed.publish_files(spark.read.text(more), messages)
+
+
+def test_messages_are_counted_by_the_write(spark, monkeypatch):
+    """The manifest has the count of the write, without another read, for an empty feed as well."""
+    monkeypatch.setattr(spark.read.__class__, "text", lambda *a, **k: pytest.fail("messages were read back"))
+    for rows in (provider_rows(spark).repartition(3), provider_rows(spark).limit(0)):
+        _, manifest = feed.feed_run(rows, "r2")
+        assert feed.read_manifest(spark, manifest).first().published_count == rows.count()
+
+
+def test_reports_with_many_rows_have_a_file_per_task(spark, tmp_path):
+    df = spark.range(100).repartition(3).selectExpr("id", "array(id) AS list")
+    many, one = (write_report(df, str(tmp_path / n), "csv", one_file=n == "one") for n in ("many", "one"))
+    files = [len(spark.read.text(p).inputFiles()) for p in (many, one)]
+    assert files == [3, 1] and read_csv(spark, many).count() == read_csv(spark, one).count() == 100
+
+
+def test_blanks_survive_a_report_file(spark, tmp_path):
+    df = spark.createDataFrame([(1, " "), (2, ""), (3, None), (4, " a "), (5, 'x\n"y"')], "id int, v string")
+    path = write_report(df, str(tmp_path / "r"), "csv")
+    # An empty value is a missing one in CSV files.
+    want = [(i, v or None) for i, v in df.collect()]
+    assert sorted((int(r.id), r.v) for r in read_csv(spark, path, na_tokens=()).collect()) == want
