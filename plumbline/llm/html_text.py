@@ -1,17 +1,20 @@
-"""Main text of web pages: structure first, then differencing against the page with the nearest url of the host."""
+"""Main text of web pages: differencing against the page with the nearest url of the host, then structure."""
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import escape, unescape
+from itertools import groupby
 from math import ceil
 
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Query, body, col, table
+from plumbline.llm.common import Query, body, col, in_batches, table
 
 #: Bytes of html that a task sorts.
 TASK_BYTES = 64_000_000
@@ -64,38 +67,49 @@ def _unwanted(name: str, rest: str, within: int, forms: bool = False) -> bool:
 
 
 def lines(html: str) -> tuple[list[str], bool]:
-    """The text blocks of a page without what structure shows to be no part of the article, and whether it marks the article.
+    """The text blocks of a page without what structure shows to be no part of the article, and whether it marks the article."""
+    found, sure = blocks(html)
+    return [t for t, shown in found if shown], sure
 
-    If the page has ``article`` or ``main`` elements with text, only the blocks in them are returned. Articles that are left
+
+def blocks(html: str) -> tuple[list[tuple[str, bool]], bool]:
+    """All text blocks of a page, whether structure admits each as part of the article, and whether the page marks the article.
+
+    If the page has ``article`` or ``main`` elements with text, only the blocks in them are admitted. Articles that are left
     out themselves or lie in an element that is, like comments, count where the page has no others; where all text of a page
     lies in forms, they are not left out.
     """
     found, missed = _blocks(html)
-    sure = [t for t, inside in found if inside]
-    if not sure and missed:
-        sure = [t for t, inside in _blocks(html, reveal=True)[0] if inside]
-    if not sure and not found and "<form" in html.lower():
+    if not any(inside for _, inside, _ in found) and missed:
+        revealed = _blocks(html, reveal=True)[0]
+        if any(inside for _, inside, _ in revealed):
+            found = revealed
+    if any(inside for _, inside, _ in found):
+        return [(t, inside) for t, inside, _ in found], True
+    if not any(shown for _, _, shown in found) and "<form" in html.lower():
         found = _blocks(html, forms=True)[0]
-    return (sure, True) if sure else ([t for t, _ in found], False)
+    return [(t, shown) for t, _, shown in found], False
 
 
-def _blocks(html: str, reveal: bool = False, forms: bool = False) -> tuple[list[tuple[str, bool]], bool]:
-    """The text blocks of a page, whether each is in an article, and whether an article was left out.
+def _blocks(html: str, reveal: bool = False, forms: bool = False) -> tuple[list[tuple[str, bool, bool]], bool]:
+    """The text blocks of a page, whether each is shown in an article, whether it is shown at all, and whether an article was left out.
 
     An element that holds the ``main`` element is not left out, with ``reveal`` neither is one that is or holds an article.
     """
-    out: list[tuple[str, bool]] = []
+    out: list[tuple[str, bool, bool]] = []
     stack: list[tuple[str, bool, bool]] = []  # name, left out, article
     hidden = within = at = 0
     missed = False
     text: list[str] = []
+    left: list[str] = []  # of the block, what is left out
 
     def close() -> None:
-        if text:
-            block = " ".join(unescape("".join(text)).split())
-            if block:
-                out.append((block, within > 0))
-            text.clear()
+        for part, shown in ((text, True), (left, False)):
+            if part:
+                block = " ".join(unescape("".join(part)).split())
+                if block:
+                    out.append((block, shown and within > 0, shown))
+                part.clear()
 
     def pop() -> None:
         nonlocal hidden, within
@@ -104,8 +118,8 @@ def _blocks(html: str, reveal: bool = False, forms: bool = False) -> tuple[list[
         within -= b
 
     while m := _TOKEN.search(html, at):
-        if not hidden and m.start() > at:
-            text.append(html[at:m.start()])
+        if m.start() > at:
+            (left if hidden else text).append(html[at:m.start()])
         at = m.end()
         name = (m["name"] or "").lower()
         if not name:
@@ -117,15 +131,15 @@ def _blocks(html: str, reveal: bool = False, forms: bool = False) -> tuple[list[
         if name == "xmp" and not m["end"]:  # text without markup
             stop = regex.compile(r"</xmp(?=[\s/>])[^>]*(?:>|\Z)", regex.I).search(html, at)
             close()
-            if not hidden:
-                text.append(escape(html[at:stop.start() if stop else len(html)]))
-                close()
+            (left if hidden else text).append(escape(html[at:stop.start() if stop else len(html)]))
+            close()
             at = stop.end() if stop else len(html)
             continue
         if name in BLOCKS:
             close()
         elif name in ("br", "td", "th", "img"):
             text.append(" ")
+            left.append(" ")
         if m["end"]:
             if any(name == s[0] for s in stack):
                 while stack[-1][0] != name:
@@ -149,8 +163,7 @@ def _blocks(html: str, reveal: bool = False, forms: bool = False) -> tuple[list[
             stack.append((name, unwanted, article and not unwanted))
             hidden += unwanted
             within += article and not unwanted
-    if not hidden:
-        text.append(html[at:])
+    (left if hidden else text).append(html[at:])
     close()
     return out, missed
 
@@ -199,26 +212,52 @@ def _common(a: str, b: str) -> int:
     return n
 
 
-def _own(page: dict, before: dict | None, after: dict | None) -> str:
-    """The text of a page, given its neighbours in the order of urls."""
-    if page["sure"]:
-        return "\n".join(page["lines"])
-    near = [p for p in (before, after) if p is not None and p["host"] == page["host"] and p["path"] != page["path"]]
-    if not near:
-        return "\n".join(page["lines"])
-    nearest = max(near, key=lambda p: _common(p["path"], page["path"]))
-    gone = shared(page["lines"], nearest["lines"])
-    return "\n".join(t for i, t in enumerate(page["lines"]) if i not in gone)
+def _own(page: dict, near: list[dict | None]) -> tuple[str, int, int]:
+    """The text of a page, given the pages of the paths before and after it, and how many of its blocks it shares and gets back.
+
+    All blocks, menus and the like included, are compared with those of the nearest page of the host; what both share is
+    deleted. Then structure is heard: what it leaves out goes too, and what lies in a marked article comes back. A page
+    without such marks of which nothing would be left is a copy, which the other neighbour may tell from the template.
+    """
+    host = [p for p in near if p is not None and p["host"] == page["host"]]
+    host.sort(key=lambda p: -_common(p["path"], page["path"]))
+    texts, shown = page["texts"], page["shown"]
+    gone: set[int] = set()
+    for i, p in enumerate(host):
+        found = shared(texts, p["texts"])
+        gone = found if not i else gone
+        if page["sure"] or any(s and n not in found for n, s in enumerate(shown)):
+            gone = found
+            break
+    back = gone if page["sure"] or all(n in gone for n, s in enumerate(shown) if s) else set()
+    kept = [t for n, t in enumerate(texts) if shown[n] and (n not in gone or n in back)]
+    return "\n".join(kept), len(gone), sum(shown[n] for n in back)
+
+
+def _ranges(keys: DataFrame, n: int) -> tuple[list[tuple[str, str]], dict[int, int]]:
+    """Borders (host, path) of about ``n`` ranges of rows, and the parts into which a range of one frequent path is dealt.
+
+    They follow from a sample of rows of bounded size, those with the least hashes; it only decides which task has a row.
+    """
+    sample = sorted((r.host, r.path) for r in keys.orderBy("hash").limit(100 * n).select("host", "path").collect()) if n > 1 else []
+    cuts = [sample[len(sample) * i // n] for i in range(1, n)] if sample else []
+    # A path that is several cuts is a range of its own; no path but it lies before its successor.
+    borders = sorted({*cuts, *((h, p + "\0") for (h, p) in cuts if cuts.count((h, p)) > 1)})
+    return borders, {bisect_right(borders, c): cuts.count(c) for c in set(cuts) if cuts.count(c) > 1}
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", task_bytes: int = TASK_BYTES) -> DataFrame:
-    """The id, the url, ``text`` and ``n_chars`` of every row.
+    """The id, the url, ``text``, ``n_chars``, ``n_shared`` and ``n_restored`` of every row.
 
-    Blocks inside ``article`` or ``main`` elements, without menus, adverts and the like inside them, are the text: what an
-    article shares with another page, a common line or a whole copy, still belongs to it. Only where a page marks no
-    article, what else it holds is compared with the neighbour of the nearest path of the same host, and lines of
-    their longest common subsequence are deleted. Pages are sorted by ranges of host and path, so a host's pages may span
-    any number of tasks; the first and the last page of a task have one neighbour.
+    Every page is compared with the nearest page of another path of its host: of the paths before and after its own in
+    order the one with the longer common beginning, and of that path's rows the one with the least id, nulls last. Blocks of their longest common
+    subsequence, ``n_shared`` of them, are deleted. Structure has the last word: menus, adverts and the like go even if no
+    other page has them, and where a page marks its article by ``article`` or ``main`` elements, only blocks in them stay
+    and ``n_restored`` shared ones come back: what an article shares with another page, a common line or a whole copy,
+    still belongs to it. So do the blocks of an unmarked page whose neighbours are copies of it.
+
+    Pages are dealt to tasks by ranges of host and path, so a host's pages may span any number of tasks, and those of a
+    frequent path too; the pages that a range needs from those beside it are sent to both, so results do not depend on ranges.
 
     A null html is empty and gives the empty text, a null url belongs to an empty host; ids may be null or repeat, and
     every row gives one row. Rows of the same path are not compared with each other.
@@ -226,10 +265,41 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     rows = pages.select(col(id_col).alias("id"), col(url_col).alias("url"), body(html_col).alias("html"))
     address = F.regexp_replace(F.lower(F.coalesce("url", F.lit(""))), r"^[a-z][a-z0-9+.\-]*://", "")
     rows = rows.withColumns({"host": F.substring_index(F.substring_index(address, "/", 1), ":", 1),
-                             "path": F.regexp_replace(address, r"^[^/]*", "")})
+                             "path": F.regexp_replace(address, r"^[^/]*", ""), "hash": F.xxhash64("id", "url")})
     total = pages.select(F.sum(F.octet_length(body(html_col)))).first()[0] or 0
-    ranged = rows.repartitionByRange(max(1, ceil(total / task_bytes)), "host", "path", "id").sortWithinPartitions("host", "path", "id")
-    out = rows.select("id", "url").schema.add("text", "string")
+    n = max(1, ceil(total / task_bytes))
+    borders, parts = _ranges(rows, n)
+
+    @F.pandas_udf("int")
+    def number(host: pd.Series, path: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(borders, x) for x in zip(host, path)], dtype="int32")
+
+    place = number("host", "path") if borders else F.lit(0)
+    dealt = F.create_map(*[F.lit(x) for pair in parts.items() for x in pair])[F.col("range")] if parts else F.lit(None).cast("int")
+    rows = rows.withColumn("range", place).withColumn("part", F.coalesce(F.pmod("hash", dealt), F.lit(0)).cast("int"))
+    # The first page of a path, from which the paths beside it in other ranges are told, is sent to those.
+    path = F.struct("host", "path")
+    ends = sorted((r.range, tuple(r.lo), tuple(r.hi)) for r in rows.groupBy("range").agg(
+        F.min(path).alias("lo"), F.max(path).alias("hi")).collect()) if borders else []
+    guests = [(r, q, *key) for (r, lo, hi), before, after in zip(ends, [None, *ends], [*ends[1:], None])
+              for key in ([before[2]] if before else []) + ([after[1]] if after else [])
+              for q in range(parts.get(r, 1)) if key[0] in (lo[0], hi[0])]
+    guests += [(r, q, *lo) for r, lo, _ in ends if r in parts for q in range(parts[r])]
+    rank = F.struct(F.col("id").isNull(), "id", F.col("url").isNull(), "url", F.xxhash64("html"), "html")
+    if guests:
+        wanted = F.broadcast(pages.sparkSession.createDataFrame(guests, "to_range int, to_part int, host string, path string"))
+        first = rows.join(F.broadcast(wanted.select("host", "path").distinct()), ["host", "path"], "left_semi").groupBy("host", "path").agg(
+            F.min(rank).alias("least"))
+        sent = first.join(wanted, ["host", "path"]).select(
+            "least.id", "least.url", "least.html", "host", "path", F.lit(None).cast("long").alias("hash"), F.col("to_range").alias("range"),
+            F.col("to_part").alias("part"), F.lit(True).alias("guest"))
+        rows = rows.withColumn("guest", F.lit(False)).unionByName(sent)
+    else:
+        rows = rows.withColumn("guest", F.lit(False))
+    order = ["range", "part", "host", "path", F.desc("guest"), F.asc_nulls_last("id"), F.asc_nulls_last("url"), F.xxhash64("html")]
+    # Twice as many tasks as ranges: with as many, two ranges often fall to one.
+    ranged = rows.repartitionByRange(2 * (n + sum(parts.values())) if n > 1 else 1, "range", "part").sortWithinPartitions(*order)
+    out = rows.select("id", "url").schema.add("text", "string").add("n_shared", "long").add("n_restored", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -240,29 +310,32 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             for batch in batches:
                 for i in range(batch.num_rows):
                     page = batch.slice(i, 1).to_pylist()[0]
-                    page["lines"], page["sure"] = lines(page.pop("html"))
+                    found, page["sure"] = blocks(page.pop("html"))
+                    page["texts"], page["shown"] = [t for t, _ in found], [s for _, s in found]
                     yield page
 
         done, held = [], 0
-        before, page = None, None
-        for after in _and_end(read()):
-            if page is not None:
-                text = _own(page, before, after)
-                done.append({"id": page["id"], "url": page["url"], "text": text})
+        before, paths = None, (list(g) for _, g in groupby(read(), lambda p: (p["range"], p["part"], p["host"], p["path"])))
+        group = next(paths, None)
+        while group is not None:
+            after = next(paths, None)
+            first = group[0]
+            # Other ranges begin anew, with a guest of their own.
+            near = [p for p in (before, after and after[0]) if p is not None and (p["range"], p["part"]) == (first["range"], first["part"])]
+            for page in group:
+                if page["guest"]:
+                    continue
+                text, n_shared, n_restored = _own(page, near)
+                done.append({"id": page["id"], "url": page["url"], "text": text, "n_shared": n_shared, "n_restored": n_restored})
                 held += len(text)
                 if held > 4_000_000:
                     yield pa.RecordBatch.from_pylist(done, schema=shape)
                     done, held = [], 0
-            before, page = page, after
+            before, group = first, after
         yield pa.RecordBatch.from_pylist(done, schema=shape)
 
-    return ranged.mapInArrow(run, out).select(
-        F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"))
-
-
-def _and_end(pages: Iterator[dict]) -> Iterator[dict | None]:
-    yield from pages
-    yield None
+    return in_batches(ranged, run, out).select(
+        F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.length("text").cast("long").alias("n_chars"), "n_shared", "n_restored")
 
 
 def op8(spark: SparkSession, folder: str) -> DataFrame:

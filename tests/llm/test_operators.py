@@ -268,6 +268,52 @@ def test_main_text(spark):
     assert html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_every_page_is_compared_with_the_nearest_path(spark):
+    """Against a plain pairing and a plain table of the longest common subsequence, for any number of tasks."""
+    def length(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        return row[-1]
+
+    plain = "<body><div>Site</div><div>{}</div><div>Imprint</div>"
+    rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    rows += [(10_000 + i, f"http://hot/{p}", plain.format(f"text of {p}{i % 2}")) for i in range(90) for p in ("a", "b", "b", "b")[i % 4]]
+    rows += [(20_000 + i, f"http://copies/{i}", plain.format("the same")) for i in range(3)]
+    rows += [(30_000, "http://marked/1", "<nav>Menu</nav><article><h1>Head</h1><p>one</article>"), (30_001, "http://marked/2", "<nav>Menu</nav><article><h1>Head</h1><p>two</article>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = html_text.main_text(df).collect()
+    for size in (40_000, 5_000):
+        assert sorted(map(tuple, html_text.main_text(df.repartition(7), task_bytes=size).collect())) == sorted(map(tuple, got))
+    key = {i: re.match("(?:https?://)?([^/:]*)[^/]*(.*)", url.lower(), re.S).groups() for i, url, _ in rows}
+    first = {}
+    for i in sorted(key):
+        first.setdefault(key[i], i)
+    order, html = sorted(first), {i: h for i, _, h in rows}
+
+    def same(a, b):
+        return next((n for n, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+    compared = 0
+    for r in got:
+        at = order.index(key[r.page_id])
+        near = [k for k in order[max(0, at - 1):at] + order[at + 1:at + 2] if k[0] == key[r.page_id][0]]
+        if near and r.page_id not in (20_000, 20_001, 20_002):
+            near = max(near, key=lambda k: same(k[1], key[r.page_id][1]))
+            want = length(*([t for t, _ in html_text.blocks(html[i])[0]] for i in (r.page_id, first[near])))
+            assert r.n_shared == want
+            compared += want > 0
+    assert compared > 50
+    text = {r.page_id: (r.text, r.n_shared, r.n_restored) for r in got}
+    assert all(text[10_000 + i][0] == "text of " + "abbb"[i % 4] + str(i % 2) for i in range(90))
+    # A page whose neighbours are copies is no template, and what articles share belongs to them.
+    assert all("the same" in text[20_000 + i][0] for i in range(3))
+    assert text[30_000] == ("Head\none", 2, 1) and text[30_001] == ("Head\ntwo", 2, 1)
+
+
 @pytest.mark.parametrize("page, want", [
     ('<nav>n</nav><article class="post has-comments"><p>one<p>two</article><div>x</div>', "one\ntwo"),
     ('<nav>n</nav><article class="entry search-result"><p>one</article><article class="comment"><p>c</article><div>x</div>', "one"),
