@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,11 +13,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Query, body, col, remainder, stored, table
+from plumbline.llm.common import Query, body, col, in_batches, remainder, stored, table
 
-#: Production parameters: the strengths of the restaurants (word pair, ending, all), the sweeps of the sampler before
-#: the first sample that counts and the samples that are averaged.
-STRENGTHS = (5.0, 20.0, 50.0)
+#: Production parameters: the strengths of the restaurants (last two bytes of the word before, its last byte, all; below them
+#: those of the word before), the sweeps of the sampler before the first sample that counts and the samples that are averaged.
+STRENGTHS = (5.0, 20.0, 50.0, 2.0)
 BURN_IN, SAMPLES, SEED = 1, 2, 42
 #: Tokens of a block of texts, and bytes of text for each slice of the vocabulary.
 BLOCK_TOKENS, SLICE_BYTES = 1 << 21, 12_000_000
@@ -25,42 +26,65 @@ BLOCK_TOKENS, SLICE_BYTES = 1 << 21, 12_000_000
 END = b"\n"
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: Restaurants are numbered: 65,536 by the last two bytes of the word before, 256 by its last byte, one for all.
-#: Behind them come the counts that the model needs besides.
-COARSE, ROOT, SIZES, ONCE = 1 << 16, (1 << 16) + 256, (1 << 16) + 257, (1 << 16) + 258
+#: Behind them come the counts that the model needs besides and, from WORD, the restaurants of frequent words.
+COARSE, ROOT, SIZES, ONCE, TRAINED, WORD = 1 << 16, (1 << 16) + 256, (1 << 16) + 257, (1 << 16) + 258, (1 << 16) + 262, 1 << 17
+#: Every word has a restaurant for what follows it. The driver holds the totals of at most this many of them, words
+#: that are frequent in a sample of this many bytes of text; those of all others pass between tasks. 0 begins a text.
+FREQUENT, FREQUENT_BYTES, RARE = (1 << 16) - 2, 16_000_000, (1 << 16) - 1
 
 
 def context(word: bytes) -> int:
-    """The restaurant of the token behind ``word``; that of the first token of a text is 0."""
+    """The parent of the restaurant of the token behind ``word``, that of its ending; 0 for the first token of a text."""
     return word[-1] << 8 | (word[-2] if len(word) > 1 else 32)
 
 
 def _pack(a: np.ndarray) -> bytes:
-    """An array as bytes: the first bytes of all numbers, then the second ones and so on, compressed."""
+    """An array as bytes: the first bytes of all numbers, then the second ones and so on, compressed; of hashes, mostly sorted, the differences."""
+    if a.dtype == np.uint64:
+        a = np.diff(a, prepend=np.uint64(0))
     return a.dtype.char.encode() + zstandard.compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T).tobytes(), 1)
 
 
 def _unpack(b: bytes) -> np.ndarray:
     kind = np.dtype(b[:1].decode())
     raw = np.frombuffer(zstandard.decompress(b[1:]), np.uint8)
-    return np.ascontiguousarray(raw.reshape(kind.itemsize, -1).T).view(kind).ravel() if len(raw) else np.empty(0, kind)
+    a = np.ascontiguousarray(raw.reshape(kind.itemsize, -1).T).view(kind).ravel() if len(raw) else np.empty(0, kind)
+    return np.cumsum(a, dtype=kind) if kind == np.uint64 else a
 
 
 def _column(batch: pa.Table | pa.RecordBatch, name: str) -> list:
     return batch.column(name).to_pylist()
 
 
-_TOKENS = "kind int, block long, slice int, ids array<{id}>, held array<boolean>, a binary, b binary, c binary, d binary"
+def frequent_words(docs: DataFrame, share: float, most: int = FREQUENT) -> dict[bytes, int]:
+    """Numbers from 1 of the most frequent words in a share of the texts, told by hashes. They decide where totals are kept, no result."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count: Counter = Counter()
+        for batch in batches:
+            for text in batch["text"]:
+                count.update(w for w in text.as_py().translate(_LOWER).split() if len(w) <= 64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.binary()), pa.array(list(count.values()), pa.int64())], ["word", "n"])
+
+    some = docs.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(min(share, 1.0) * (1 << 20))).select("text")
+    top = in_batches(some, run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
+    return {bytes(r.word): i for i, r in enumerate(top.collect(), 1)}
 
 
-def tokens(docs: DataFrame, held_out: str, slices: int, block: int = BLOCK_TOKENS) -> DataFrame:
+_TOKENS = "kind int, block long, slice int, ids array<{id}>, held array<boolean>, a binary, b binary, c binary, d binary, e binary, f binary"
+
+
+def tokens(docs: DataFrame, held_out: str, slices: int, block: int = BLOCK_TOKENS, frequent: dict[bytes, int] | None = None) -> DataFrame:
     """Blocks of texts as numbers, from ``docs`` (id, text, held out).
 
     One row of kind 0 for each block: its ids, their token counts (a) and all tokens as numbers of the block's
     distinct pairs (b). One row of kind 1 for each block and slice of the vocabulary: hashes of its words (a), pairs of
-    each word (b), contexts of the pairs (c) and how often the training texts of the block have them (d). Words are known
-    by XXH64.
+    each word (b), contexts of the pairs (c) and how often the training texts of the block have them (d). A context is the
+    word before: its number in ``frequent`` or, of other words, 65,535, with their hashes (e) and endings (f) in the order of the pairs.
+    Words are known by XXH64.
     """
     kind = docs.schema["id"].dataType
+    known = frequent or {}
 
     def flush(number: int, ids: list, held: list, lengths: list, local: dict, stream: list) -> Iterator[pa.RecordBatch]:
         words = list(local)
@@ -69,28 +93,32 @@ def tokens(docs: DataFrame, held_out: str, slices: int, block: int = BLOCK_TOKEN
         order = np.lexsort((hashes, own))
         place = np.empty(len(words), np.int64)
         place[order] = np.arange(len(words))
-        classes = np.fromiter(map(context, words), np.int64, len(words))
+        numbers = np.array([*(known.get(w, RARE) for w in words), 0], np.int64)
+        endings = np.fromiter(map(context, words), np.uint16, len(words))
         a, n = np.concatenate(stream), np.array(lengths)
         before = np.empty(len(a), np.int64)
-        before[1:] = classes[a[:-1]]
-        before[np.cumsum(n) - n] = 0
-        pairs, at = np.unique(place[a] << 16 | before, return_inverse=True)
+        before[1:] = a[:-1]
+        before[np.cumsum(n) - n] = len(words)  # no word
+        pairs, at = np.unique(place[a] << 32 | before, return_inverse=True)
         trained = np.bincount(at, np.repeat(~np.array(held), n), len(pairs)).astype(np.int32)
-        rows = [{"kind": 0, "block": number, "slice": None, "ids": ids, "held": held, "a": _pack(n.astype(np.int32)), "b": _pack(at.astype(np.uint32)), "c": None, "d": None}]
-        word = pairs >> 16
+        rows = [{"kind": 0, "block": number, "slice": None, "ids": ids, "held": held, "a": _pack(n.astype(np.int32)),
+                 "b": _pack(at.astype(np.uint32)), **dict.fromkeys("cdef")}]
+        word, ahead = pairs >> 32, pairs & 0xFFFFFFFF
         cuts = np.flatnonzero(np.diff(own[order][word].astype(np.int64))) + 1
         for lo, hi in zip([0, *cuts], [*cuts, len(pairs)], strict=True):
             present, per = np.unique(word[lo:hi], return_counts=True)
+            code = numbers[ahead[lo:hi]]
+            rare = ahead[lo:hi][code == RARE]
             rows.append({"kind": 1, "block": number, "slice": int(own[order[present[0]]]), "ids": None, "held": None,
                          "a": _pack(hashes[order[present]]), "b": _pack(per.astype(np.int32)),
-                         "c": _pack((pairs[lo:hi] & 0xFFFF).astype(np.uint16)), "d": _pack(trained[lo:hi])})
+                         "c": _pack(code.astype(np.uint16)), "d": _pack(trained[lo:hi]), "e": _pack(hashes[rare]), "f": _pack(endings[rare])})
         yield pa.RecordBatch.from_pylist(rows, schema=shape)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     ddl = _TOKENS.format(id=docs.schema["id"].dataType.simpleString())
     shape = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("slice", pa.int32()), ("ids", pa.list_(to_arrow_type(kind))),
-                       ("held", pa.list_(pa.bool_())), *((c, pa.binary()) for c in "abcd")])
+                       ("held", pa.list_(pa.bool_())), *((c, pa.binary()) for c in "abcdef")])
 
     class Numbers(dict):
         def __missing__(self, w: bytes) -> int:
@@ -116,11 +144,11 @@ def tokens(docs: DataFrame, held_out: str, slices: int, block: int = BLOCK_TOKEN
         if ids:
             yield from flush(number, ids, held, lengths, local, stream)
 
-    return docs.mapInArrow(run, ddl)
+    return in_batches(docs, run, ddl)
 
 
 class _Slice:
-    """All trained pairs of the words of a slice, with the index structure of its three levels of restaurants."""
+    """All trained pairs of the words of a slice and endings, with the index structure of the upper three levels of restaurants."""
 
     def __init__(self, words: np.ndarray, per: np.ndarray, ctx: np.ndarray):
         self.words, self.per, self.ctx = words, per, ctx.astype(np.int64)
@@ -130,6 +158,28 @@ class _Slice:
         self.group_word, self.group_ctx = self.group >> 8, COARSE + (self.group & 0xFF)
 
 
+class _Pairs:
+    """All trained pairs of the words of a slice and words before them, the lowest level.
+
+    ``of`` is the place of a pair's ending in the slice, ``ctx`` the number of the word before: those of frequent words, and behind
+    them places in ``rare``, the sorted hashes of all others that come before words of the slice, trained or not.
+    """
+
+    def __init__(self, per: np.ndarray, ctx: np.ndarray, n: np.ndarray, rare: np.ndarray):
+        self.per, self.ctx, self.n, self.rare = per, ctx.astype(np.int64), n, rare
+        self.of = np.repeat(np.arange(len(per)), per)
+        self.key = self.of << 32 | self.ctx
+
+    def customers(self, s: _Slice, tables: np.ndarray) -> np.ndarray:
+        """The tables of pairs are the customers of the endings."""
+        return np.bincount(self.of, tables, len(s.pair)).astype(np.int64)
+
+    def totals(self, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Customers and tables of the restaurants of all words before."""
+        size = RARE + len(self.rare)
+        return tuple(np.bincount(self.ctx, x, size).astype(np.int64) for x in (self.n, tables))
+
+
 def _totals(s: _Slice, n: np.ndarray, tf: np.ndarray, tc: np.ndarray, tw: np.ndarray) -> dict[str, list]:
     """Customers and tables of each restaurant, and how many dishes have one and two customers by level."""
     cc, cw = np.bincount(s.group_of, tf, len(s.group)), np.bincount(s.group_word, tc, len(s.words))
@@ -143,19 +193,22 @@ def _totals(s: _Slice, n: np.ndarray, tf: np.ndarray, tc: np.ndarray, tw: np.nda
 
 
 class Totals:
-    """What all restaurants hold together: at most 65,793 of them and a few counts."""
+    """What all restaurants of endings and frequent words hold together: at most 131,328 of them, and a few counts."""
 
     def __init__(self, rows: list, discounts: tuple[float, ...] | None = None):
         self.c, self.t = np.zeros(ROOT + 1), np.zeros(ROOT + 1)
+        self.before = np.zeros((2, RARE))
         extra: dict[int, tuple[int, int]] = {}
         for code, c, t in rows:
             if code <= ROOT:
                 self.c[code], self.t[code] = c, t
+            elif code >= WORD:
+                self.before[:, code - WORD] = c, t
             else:
                 extra[code] = (c, t)
-        self.tokens, self.vocabulary = extra.get(SIZES, (0, 0))
+        self.tokens, self.vocabulary = extra.get(TRAINED, (0, 0))[0], extra.get(SIZES, (0, 0))[1]
         # The usual estimate from the dishes with one and two customers, kept within the range of a discount.
-        levels = [extra.get(ONCE + i, (0, 0)) for i in range(3)]
+        levels = [extra.get(ONCE + i, (0, 0)) for i in range(4)]
         self.discounts = discounts or tuple(min(0.95, max(0.1, (a + 0.5) / (a + 2 * b + 1))) for a, b in levels)
 
     def down(self, code: np.ndarray | int, level: int, c: np.ndarray, t: np.ndarray, above: np.ndarray | float) -> np.ndarray:
@@ -163,6 +216,11 @@ class Totals:
         d, strength = self.discounts[level], STRENGTHS[level]
         return (c - d * t + (strength + d * self.t[code]) * above) / (strength + self.c[code])
 
+    def behind(self, c: np.ndarray, t: np.ndarray, customers: np.ndarray, tables: np.ndarray, above: np.ndarray) -> np.ndarray:
+        """Predictive probability in restaurants of words, given all their customers and tables."""
+        d, strength = self.discounts[3], STRENGTHS[3]
+        return (c - d * t + (strength + d * tables) * above) / (strength + customers)
+
     def weight(self, code: np.ndarray | int, level: int) -> np.ndarray:
         """Weight of a new table."""
         return STRENGTHS[level] + self.discounts[level] * self.t[code]
@@ -206,19 +264,71 @@ def sweep(s: _Slice, n: np.ndarray, tf: np.ndarray, tc: np.ndarray, tw: np.ndarr
     return tf, tc, tw
 
 
-_STATE = ("slice int, words binary, per binary, ctx binary, n binary, seats array<binary>, "
-          "code array<int>, customers array<long>, tables array<long>")
-
+def sweep_pairs(s: _Slice, f: _Pairs, tables: np.ndarray, seats: tuple[np.ndarray, ...], held: np.ndarray, all_: Totals,
+                random: np.random.Generator) -> tuple[np.ndarray, ...]:
+    """One Gibbs sweep over all four levels: the pairs' customers are seated anew, their tables go up as in ``sweep``.
 
-def _state(number: int, s: _Slice, n: np.ndarray, samples: list[tuple[np.ndarray, ...]]) -> dict:
+    ``held`` are the tables of the restaurants of all words before.
+    """
+    tf, tc, tw = seats
+    n = f.customers(s, tables)
+    cc, cw = np.bincount(s.group_of, tf, len(s.group)), np.bincount(s.group_word, tc, len(s.words))
+    root = all_.down(ROOT, 2, cw, tw, 1.0 / (all_.vocabulary + 1))
+    middle = all_.down(s.group_ctx, 1, cc, tc, root[s.group_word])[s.group_of]
+    others = n[f.of] - tables
+    above = all_.down(s.ctx[f.of], 0, others, tf[f.of] * others / np.maximum(n[f.of], 1), middle[f.of])
+    tables = seat(f.n, (STRENGTHS[3] + all_.discounts[3] * held[f.ctx]) * above, all_.discounts[3], random)
+    return tables, *sweep(s, f.customers(s, tables), tf, tc, tw, all_, random)
+
+
+_STATE = ("slice int, words binary, per binary, ctx binary, pairs binary, before binary, n binary, seats array<binary>, "
+          "held array<binary>, code array<int>, customers array<long>, tables array<long>, bucket array<int>, up array<binary>")
+
+
+def _state(number: int, s: _Slice, f: _Pairs, samples: list[tuple[np.ndarray, ...]], held: list[np.ndarray], bits: int) -> dict:
+    """A slice with its seatings; ``held`` are the totals of rare words for all but the last. Those for the last are asked for by ranges of hashes."""
+    last, *seats = samples[-1]
+    totals = _totals(s, f.customers(s, last), *seats)
+    c, t = f.totals(last)
+    some = np.flatnonzero(c[:RARE])
+    extra = [(TRAINED, f.n.sum(), 0), (ONCE + 3, (f.n == 1).sum(), (f.n == 2).sum()), *zip(some + WORD, c[some], t[some])]
+    for name, x in zip(("code", "customers", "tables"), zip(*extra)):
+        totals[name] += map(int, x)
+    bucket = (f.rare >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(f.rare), np.int64)
+    lo = np.flatnonzero(np.concatenate((np.ones(min(1, len(bucket)), bool), bucket[1:] != bucket[:-1])))
+    up = [_pack(x[i:j].astype(k)) for i, j in zip(lo, [*lo[1:], len(bucket)]) for x, k in ((f.rare, np.uint64), (c[RARE:], np.int32), (t[RARE:], np.int32))]
     return {"slice": number, "words": _pack(s.words), "per": _pack(s.per.astype(np.int32)), "ctx": _pack(s.ctx.astype(np.uint16)),
-            "n": _pack(n), "seats": [_pack(t.astype(np.int32)) for sample in samples for t in sample], **_totals(s, n, *samples[-1])}
+            "pairs": _pack(f.per.astype(np.int32)), "before": _pack(f.ctx.astype(np.uint32)), "n": _pack(f.n),
+            "seats": [_pack(t.astype(np.int32)) for sample in samples for t in sample], "held": [_pack(x) for x in held],
+            **totals, "bucket": bucket[lo].tolist(), "up": up}
 
 
-def _read(row: dict) -> tuple[_Slice, np.ndarray, list[tuple[np.ndarray, ...]]]:
+def _read(row: dict) -> tuple[_Slice, _Pairs, list[tuple[np.ndarray, ...]], list[np.ndarray]]:
     seats = [_unpack(x).astype(np.int64) for x in row["seats"]]
-    return (_Slice(_unpack(row["words"]), _unpack(row["per"]), _unpack(row["ctx"])), _unpack(row["n"]),
-            [tuple(seats[i:i + 3]) for i in range(0, len(seats), 3)])
+    return (_Slice(_unpack(row["words"]), _unpack(row["per"]), _unpack(row["ctx"])),
+            _Pairs(_unpack(row["pairs"]), _unpack(row["before"]), _unpack(row["n"]),
+                   np.concatenate([np.empty(0, np.uint64), *map(_unpack, row["up"][::3])])),
+            [tuple(seats[i:i + 4]) for i in range(0, len(seats), 4)], [_unpack(x) for x in row["held"]])
+
+
+def _told(state: DataFrame) -> DataFrame:
+    """To every slice and range of hashes the customers (c) and tables (t) of its rare words before in all slices, in the slice's order."""
+    asked = state.select("slice", F.posexplode("bucket").alias("i", "bucket"), "up").select(
+        "slice", "bucket", *[F.col("up")[F.col("i") * 3 + k].alias(name) for k, name in enumerate("hct")])
+
+    def run(key: tuple, asked: pa.Table) -> pa.Table:
+        h, c, t = ([_unpack(x) for x in _column(asked, name)] for name in "hct")
+        _, at = np.unique(np.concatenate(h), return_inverse=True)
+        cuts = np.cumsum([len(x) for x in h])[:-1]
+        told = [[_pack(p.astype(np.int32)) for p in np.split(np.bincount(at, np.concatenate(x))[at], cuts)] for x in (c, t)]
+        return pa.Table.from_arrays([asked["slice"], asked["bucket"], pa.array(told[0], pa.binary()), pa.array(told[1], pa.binary())], ["slice", "bucket", "c", "t"])
+
+    return asked.groupBy("bucket").applyInArrow(run, "slice int, bucket int, c binary, t binary")
+
+
+def _joined(buckets: list[int], parts: list[bytes]) -> np.ndarray:
+    """The totals of a slice's rare words from the parts told to it."""
+    return np.concatenate([np.empty(0, np.int32), *(_unpack(x) for _, x in sorted(zip(buckets, parts)))])
 
 
 def _arrow(ddl: str) -> pa.Schema:
@@ -227,23 +337,40 @@ def _arrow(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (c.split(" ") for c in ddl.split(", "))])
 
 
-def _merge(key: tuple, pieces: pa.Table) -> pa.Table:
+def _contexts(code: np.ndarray, rare: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Numbers of contexts from their codes and the hashes of the rare ones, given all hashes in order."""
+    ctx = code.astype(np.int64)
+    ctx[code == RARE] = RARE + np.searchsorted(rare, hashes)
+    return ctx
+
+
+def _merger(endings: np.ndarray, bits: int):
     """The pairs of a slice from all blocks, each dish at first with one table in each restaurant."""
-    words, ctx, n = [], [], []
-    for a, b, c, d in zip(*(_column(pieces, x) for x in "abcd"), strict=True):
-        words.append(np.repeat(_unpack(a), _unpack(b)))
-        ctx.append(_unpack(c))
-        n.append(_unpack(d))
-    w, c, k = np.concatenate(words), np.concatenate(ctx), np.concatenate(n).astype(np.int64)
-    w, c, k = w[k > 0], c[k > 0], k[k > 0]
-    order = np.lexsort((c, w))
-    w, c, k = w[order], c[order], k[order]
-    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(w)), bool), (w[1:] != w[:-1]) | (c[1:] != c[:-1]))))
-    k = np.add.reduceat(k, first) if len(first) else k
-    own, per = np.unique(w[first], return_counts=True)
-    s = _Slice(own, per, c[first])
-    one = (np.ones(len(k), np.int64), np.ones(len(s.group), np.int64), np.ones(len(own), np.int64))
-    return pa.Table.from_pylist([_state(key[0].as_py(), s, k, [one])], schema=_arrow(_STATE))
+
+    def run(key: tuple, pieces: pa.Table) -> pa.Table:
+        words = [np.repeat(_unpack(a), _unpack(b)) for a, b in zip(_column(pieces, "a"), _column(pieces, "b"), strict=True)]
+        code, n, hashes, ends = (np.concatenate([_unpack(x) for x in _column(pieces, name)]) for name in "cdef")
+        rare, first = np.unique(hashes, return_index=True)
+        ctx, k, w = _contexts(code, rare, hashes), n.astype(np.int64), np.concatenate(words)
+        e = np.concatenate([endings, ends[first]])[ctx].astype(np.int64)
+        w, e, ctx, k = (x[k > 0] for x in (w, e, ctx, k))
+        order = np.lexsort((ctx, e, w))
+        w, e, ctx, k = (x[order] for x in (w, e, ctx, k))
+
+        def changes(*columns: np.ndarray) -> np.ndarray:
+            return np.flatnonzero(np.concatenate((np.ones(min(1, len(w)), bool), np.any([x[1:] != x[:-1] for x in columns], axis=0))))
+
+        first = changes(w, e, ctx)
+        k = np.add.reduceat(k, first) if len(first) else k
+        w, e, ctx = w[first], e[first], ctx[first]
+        pair = changes(w, e)
+        own, per = np.unique(w[pair], return_counts=True)
+        s = _Slice(own, per, e[pair])
+        f = _Pairs(np.diff(pair, append=len(w)), ctx, k, rare)
+        one = tuple(np.ones(m, np.int64) for m in (len(k), len(pair), len(s.group), len(own)))
+        return pa.Table.from_pylist([_state(key[0].as_py(), s, f, [one], [], bits)], schema=_arrow(_STATE))
+
+    return run
 
 
 def _gathered(state: DataFrame, discounts: tuple[float, ...] | None = None) -> Totals:
@@ -254,16 +381,15 @@ def _gathered(state: DataFrame, discounts: tuple[float, ...] | None = None) -> T
 _ANSWER = "block long, slice int, score binary, known binary, per binary"
 
 
-def _answers(totals: list[Totals]):
+def _answers(totals: list[Totals], endings: np.ndarray):
     """For each block's pairs of a slice: log10 of the averaged predictive probability, and counts of the words."""
 
     def run(key: tuple, states: pa.Table, asked: pa.Table) -> pa.Table:
-        if states.num_rows:
-            s, n, samples = _read(states.to_pylist()[0])
-        else:
-            s, n, samples = _Slice(np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.uint16)), np.empty(0, np.int64), []
-        samples = samples[-len(totals):] or [(n, n, n)] * len(totals)
-        word_count = np.bincount(s.word_of, n, len(s.words)).astype(np.int64)
+        s, f, samples, held = _read(states.to_pylist()[0])
+        told = [r for r in asked.select(["block", "a", "b"]).to_pylist() if r["block"] < 0]
+        customers, last = (_joined([-r["block"] for r in told], [r[x] for r in told]) for x in "ab")
+        samples, held = samples[-len(totals):], [*held, last][-len(totals):]
+        word_count = np.bincount(s.word_of, np.bincount(f.of, f.n, len(s.pair)), len(s.words)).astype(np.int64)
 
         def place(sorted_: np.ndarray, wanted: np.ndarray) -> np.ndarray:
             """Where the wanted values stand, -1 where they don't."""
@@ -274,19 +400,29 @@ def _answers(totals: list[Totals]):
         def of(values: np.ndarray, at: np.ndarray) -> np.ndarray:
             return np.where(at >= 0, values[at], 0) if len(values) else np.zeros(len(at))
 
+        levels = []
+        for all_, (t, tf, tc, tw), tables in zip(totals, samples, held, strict=True):
+            levels.append((all_, t, f.customers(s, t), tf, np.bincount(s.group_of, tf, len(s.group)), tc, np.bincount(s.group_word, tc, len(s.words)), tw,
+                           np.concatenate([all_.before[0], customers]), np.concatenate([all_.before[1], tables])))
         out = []
-        for number, a, b, c in zip(*(_column(asked, x) for x in ("block", "a", "b", "c")), strict=True):
-            per, ctx = _unpack(b), _unpack(c).astype(np.int64)
+        for number, a, b, *rest in zip(*(_column(asked, x) for x in ("block", "a", "b", "c", "e", "f")), strict=True):
+            if number < 0:
+                continue
+            per, (code, hashes, ends) = _unpack(b), map(_unpack, rest)
+            ctx = _contexts(code, f.rare, hashes)
+            ending = np.empty(len(code), np.int64)
+            ending[code == RARE], ending[code != RARE] = ends, endings[code[code != RARE]]
             found = place(s.words, _unpack(a))
             word = np.repeat(found, per)
-            pair = np.where(word >= 0, word << 16 | ctx, -1)
-            fine, coarse = place(s.pair, pair), place(s.group, np.where(word >= 0, pair >> 8, -1))
+            key_ = np.where(word >= 0, word << 16 | ending, -1)
+            fine, coarse = place(s.pair, key_), place(s.group, np.where(word >= 0, key_ >> 8, -1))
+            pair = place(f.key, np.where(fine >= 0, fine << 32 | ctx, -1))
             p = np.zeros(len(ctx))
-            for all_, (tf, tc, tw) in zip(totals, samples, strict=True):
-                cc, cw = np.bincount(s.group_of, tf, len(s.group)), np.bincount(s.group_word, tc, len(s.words))
+            for all_, t, n, tf, cc, tc, cw, tw, c, held_ in levels:
                 root = all_.down(ROOT, 2, of(cw, word), of(tw, word), 1.0 / (all_.vocabulary + 1))
-                middle = all_.down(COARSE + (ctx >> 8), 1, of(cc, coarse), of(tc, coarse), root)
-                p += all_.down(ctx, 0, of(n, fine), of(tf, fine), middle)
+                middle = all_.down(COARSE + (ending >> 8), 1, of(cc, coarse), of(tc, coarse), root)
+                above = all_.down(ending, 0, of(n, fine), of(tf, fine), middle)
+                p += all_.behind(of(f.n, pair), of(t, pair), c[ctx], held_[ctx], above)
             out.append({"block": number, "slice": key[0].as_py(), "score": _pack(np.log10(p / len(totals)).astype(np.float32)),
                         "known": _pack(of(word_count, found).astype(np.int64)), "per": b})
         return pa.Table.from_pylist(out, schema=_arrow(_ANSWER))
@@ -320,28 +456,37 @@ def scored(docs: DataFrame, id_col: str, text_col: str, held_out: Column, burn_i
            block: int = BLOCK_TOKENS, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """Per row the id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
-    A token's restaurant is that of the last two bytes of the word before; its parent is the restaurant of the last byte,
-    whose parent is the restaurant of all tokens, and above that every word is equally likely. All training tokens are
-    customers. Texts become numbers block by block; a slice of the vocabulary holds the few contexts of each of its
-    words, so no task ever needs all occurrences of a frequent word, which blocks have summed before. Slices are seated on
-    their own and exchange only the totals of the restaurants, after every sweep; the driver holds these, at most 65,793
-    pairs of numbers. Probabilities are averaged over ``samples`` seatings after ``burn_in`` sweeps.
+    A token's restaurant is that of the whole word before; its parent is that of this word's last two bytes, whose parent is that
+    of its last byte, whose parent is that of all tokens, and above that every word is equally likely. All training tokens are
+    customers. Texts become numbers block by block; a slice of the vocabulary holds all pairs that end in its words, so a frequent
+    word costs as much as it has different words before it. Slices are seated on their own and exchange only the totals of the
+    restaurants, after every sweep: those of endings and of at most 65,534 frequent words by the driver, those of all other words by
+    tasks for ranges of their hashes. Probabilities are averaged over ``samples`` seatings after ``burn_in`` sweeps.
 
     Null texts count as empty and consist of their end. Ids may be null or repeat. Without training texts all tokens are
     equally likely; an empty table gives an empty result. A seed and the same files give the same result.
     """
     rows = docs.select(col(id_col).alias("id"), held_out.alias("held"), body(text_col).cast("binary").alias("text"))
     total = docs.select(F.sum(F.octet_length(body(text_col)))).first()[0] or 0
-    numbers = stored(tokens(rows, "held", 1 + total // slice_bytes, block), "tokens")
-    asked = numbers.filter("kind = 1").select("block", "slice", "a", "b", "c", "d")
-    state = stored(asked.groupBy("slice").applyInArrow(_merge, _STATE), "seating")
+    slices = 1 + total // slice_bytes
+    frequent = frequent_words(rows, FREQUENT_BYTES / max(total, 1))
+    endings = np.zeros(RARE, np.uint16)
+    endings[1:len(frequent) + 1] = [context(w) for w in frequent]
+    numbers = stored(tokens(rows, "held", slices, block, frequent), "tokens")
+    asked = numbers.filter("kind = 1").select("block", "slice", *"abcdef")
+    # A task for rare words serves about as many numbers as one for a slice.
+    bits = max(0, (slices // 8).bit_length() - 1)
+    state = stored(asked.groupBy("slice").applyInArrow(_merger(endings, bits), _STATE), "seating")
     totals = [_gathered(state)]
     discounts = totals[0].discounts
     for i in range(burn_in + samples):
-        state = stored(state.mapInArrow(_sweeper(totals[-1], (seed, i), keep=i > burn_in), _STATE), "seating")
+        state = stored(state.drop("code", "customers", "tables", "bucket").groupBy("slice").cogroup(_told(state).groupBy("slice")).applyInArrow(
+            _sweeper(totals[-1], (seed, i), i > burn_in, bits), _STATE), "seating")
         totals.append(_gathered(state, discounts))
-    answers = state.select("slice", "words", "per", "ctx", "n", "seats").groupBy("slice").cogroup(
-        asked.select("block", "slice", "a", "b", "c").groupBy("slice")).applyInArrow(_answers(totals[-samples:]), _ANSWER)
+    told = _told(state).select((-1 - F.col("bucket")).cast("long").alias("block"), "slice", F.col("c").alias("a"), F.col("t").alias("b"),
+                               *[F.lit(None).cast("binary").alias(x) for x in "cef"])
+    answers = state.drop("code", "customers", "tables", "bucket").groupBy("slice").cogroup(
+        asked.select("block", "slice", *"abcef").unionAll(told).groupBy("slice")).applyInArrow(_answers(totals[-samples:], endings), _ANSWER)
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = rows.schema["id"].dataType
@@ -351,14 +496,14 @@ def scored(docs: DataFrame, id_col: str, text_col: str, held_out: Column, burn_i
         answers.groupBy("block")).applyInArrow(_summed(totals[-1], to_arrow_type(id_type)), out).withColumnRenamed("id", id_col)
 
 
-def _sweeper(all_: Totals, seed: tuple[int, ...], keep: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                s, n, before = _read(row)
-                new = sweep(s, n, *before[-1], all_, np.random.default_rng([*seed, row["slice"]]))
-                yield pa.RecordBatch.from_pylist([_state(row["slice"], s, n, [*(before if keep else []), new])], schema=_arrow(_STATE))
+def _sweeper(all_: Totals, seed: tuple[int, ...], keep: bool, bits: int):
+    def run(key: tuple, states: pa.Table, told: pa.Table) -> pa.Table:
+        s, f, before, held = _read(states.to_pylist()[0])
+        last = _joined(_column(told, "bucket"), _column(told, "t"))
+        tables, *seats = before[-1]
+        new = sweep_pairs(s, f, tables, seats, np.concatenate([all_.before[1], last]), all_, np.random.default_rng([*seed, key[0].as_py()]))
+        kept = (before, [*held, last]) if keep else ([], [])
+        return pa.Table.from_pylist([_state(key[0].as_py(), s, f, [*kept[0], new], kept[1], bits)], schema=_arrow(_STATE))
 
     return run
 

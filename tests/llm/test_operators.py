@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -396,6 +397,68 @@ def test_predictive_probabilities_sum_to_one():
     assert math.isclose(fine.sum(), 1)
 
 
+def test_whole_words_before_are_restaurants_across_slices(spark):
+    """Of every word, frequent or rare, the totals are those of all slices, and what may follow it sums to one."""
+    rng = np.random.default_rng(3)
+    vocabulary = [f"{x}{i}ed" for i in range(40) for x in ("ab", "cd")]  # one ending, so that only whole words tell contexts apart
+    texts = [" ".join(vocabulary[j] for j in np.minimum(rng.geometric(0.05, 60) - 1, 79)) for _ in range(30)]
+    docs = spark.createDataFrame([(i, t.encode(), i == 7) for i, t in enumerate(texts)], "id long, text binary, held boolean")
+    frequent = {w.encode(): i for i, w in enumerate(vocabulary[:3], 1)}
+    asked = pitman_yor.tokens(docs.coalesce(2), "held", 3, 500, frequent).filter("kind = 1").select("block", "slice", *"abcdef")
+    endings = np.zeros(pitman_yor.RARE, np.uint16)
+    endings[1:4] = [pitman_yor.context(w) for w in frequent]
+    state = asked.groupBy("slice").applyInArrow(pitman_yor._merger(endings, 2), pitman_yor._STATE).cache()
+    totals = [pitman_yor._gathered(state)]
+    swept = state.groupBy("slice").cogroup(pitman_yor._told(state).groupBy("slice")).applyInArrow(
+        pitman_yor._sweeper(totals[0], (1, 2), False, 2), pitman_yor._STATE).cache()
+    totals = [pitman_yor._gathered(swept, totals[0].discounts)]
+    count = Counter()
+    for i, t in enumerate(texts):
+        words = t.encode().split()
+        count.update(x for x in zip([b"", *words], [*words, pitman_yor.END]) if i != 7)
+    follow = Counter(u for u, _ in count.elements())
+    states = {r["slice"]: r.asDict() for r in swept.collect()}
+    told = {n: sorted((r.bucket, r.c, r.t) for r in pitman_yor._told(swept).collect() if r.slice == n) for n in states}
+    assert len(states) == 3 and totals[0].tokens == sum(count.values()) and list(totals[0].before[0][:4]) == [follow[u] for u in (b"", *frequent)]
+    number = {xxhash.xxh64_intdigest(w, 0): w for w in [*(v.encode() for v in vocabulary), pitman_yor.END]}
+    tables = Counter()
+    for n, row in states.items():
+        s, f, samples, _ = pitman_yor._read(row)
+        c = pitman_yor._joined([b for b, _, _ in told[n]], [c for _, c, _ in told[n]])
+        assert [follow[number[h]] for h in f.rare.tolist()] == c.tolist()
+        before = [b"", *frequent, *[None] * (pitman_yor.RARE - 4), *(number[h] for h in f.rare.tolist())]
+        for of, ctx, k, t in zip(f.of, f.ctx, f.n, samples[-1][0], strict=True):
+            assert count[before[ctx], number[int(s.words[s.word_of[of]])]] == k and 1 <= t <= k
+            tables[before[ctx]] += int(t)
+    for n, row in states.items():
+        f = pitman_yor._read(row)[1]
+        t = pitman_yor._joined([b for b, _, _ in told[n]], [t for _, _, t in told[n]])
+        assert [tables[number[h]] for h in f.rare.tolist()] == t.tolist()
+    pack, answer = pitman_yor._pack, pitman_yor._answers(totals, endings)
+    trained = {w for _, w in count}
+    for u in (vocabulary[0].encode(), vocabulary[20].encode(), vocabulary[41].encode(), b""):
+        total = 0.0
+        for n, row in states.items():
+            words = np.array(sorted([h for h, w in number.items() if h % 3 == n and w in trained] + [6] * (n == 0)), np.uint64)  # one word is unknown
+            k, rare = len(words), u not in frequent and u != b""
+            hashes = np.full(k if rare else 0, xxhash.xxh64_intdigest(u, 0), np.uint64)
+            piece = {"block": 0, "slice": n, "a": pack(words), "b": pack(np.ones(k, np.int32)), "e": pack(hashes),
+                     "c": pack(np.full(k, pitman_yor.RARE if rare else frequent.get(u, 0), np.uint16)), "f": pack(np.full(len(hashes), pitman_yor.context(u) if u else 0, np.uint16))}
+            replies = [{**dict.fromkeys(piece), "block": -1 - b, "slice": n, "a": c, "b": t} for b, c, t in told[n]]
+            out = answer((pa.scalar(n, pa.int32()),), pa.Table.from_pylist([row], schema=pitman_yor._arrow(pitman_yor._STATE)), pa.Table.from_pylist([piece, *replies]))
+            total += (10.0 ** pitman_yor._unpack(out["score"][0].as_py()).astype(float)).sum()
+        assert math.isclose(total, 1, rel_tol=1e-5), u
+
+
+def test_words_with_the_same_ending_predict_differently(spark):
+    """Held-out texts of pairs that only whole words tell apart."""
+    pairs = [(f"{x}{i}ing", f"then{i}") for i in range(50) for x in ("red", "far")]
+    rows = [(i, " ".join(f"{a} {b}" for a, b in pairs[i % 7:] + pairs[:i % 7])) for i in range(40)]
+    got = pitman_yor.scored(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", F.col("doc_id") % 5 == 0, slice_bytes=10_000).filter("held_out").collect()
+    # Of 200 tokens half follow from the word before, the others from the order.
+    assert len(got) == 8 and all(r.score > -0.2 * r.n_tokens for r in got)
+
+
 def test_lattice_against_all_readings():
     rng = np.random.default_rng(5)
     model = toxicity.CharacterModel(rng.integers(0, 50, toxicity.LETTERS ** 3))
