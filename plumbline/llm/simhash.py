@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 from math import ceil, log2
 
@@ -48,6 +49,27 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0])
 
 
+def long_fingerprint(h: np.ndarray, words: int) -> np.ndarray:
+    """The SimHash of a set of shingles, given their hashes, in ``words`` signed numbers of 64 bits each.
+
+    As in ``fingerprint``, a bit is 1 if it is set in over half the hashes; each word has hashes of its own, mixed from the given ones.
+    """
+    salts = (np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
+    counts = np.zeros(64 * words, np.int64)
+    for at in range(0, len(h), 4096):
+        x = h[at:at + 4096, None] + salts
+        x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        counts += np.unpackbits(x.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > len(h), bitorder="little").view("<i8")
+
+
+def distance(a: list[Column], b: list[Column]) -> Column:
+    """Number of bits in which two long fingerprints differ, given their words."""
+    return reduce(Column.__add__, [F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b, strict=True)])
+
+
 def fingerprints(docs: DataFrame, text_col: str, *keep: str) -> DataFrame:
     """The columns ``keep`` and ``fp``, the fingerprint of the text (null: empty), in one pass."""
     rows = docs.select(*[col(c) for c in keep], body(text_col).cast("binary").alias("text"))

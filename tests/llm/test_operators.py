@@ -123,6 +123,37 @@ def test_near_copies_go_and_others_stay(spark):
     assert None in kept
 
 
+def test_texts_alike_but_not_near_make_few_pairs(spark, monkeypatch):
+    """A large group that shares blocks: only pairs within the radius of the SimHash become rows, and none that is near is lost."""
+    rng = np.random.default_rng(5)
+    base, rows = [f"w{x}" for x in rng.integers(0, 5000, 200)], []
+    for i in range(240):
+        words = list(base)
+        for at in rng.choice(200, (2, 10, 11, 12, 13, 14)[i % 6], replace=False):
+            words[at] = f"x{rng.integers(1 << 40)}"
+        rows.append((i, " ".join(words)))
+    rows += [(240 + i, " ".join(f"s{j}" for j in range(i % 3, 6 + i % 4))) for i in range(24)]
+    sets = {i: near_dedup.shingles(t.encode()) for i, t in rows}
+    near = {(i, j) for i in sets for j in sets if i < j and near_dedup.similar(sets[i], sets[j])}
+    bits = {i: simhash.long_fingerprint(near_dedup.hashes(x), near_dedup.WORDS).view(np.uint8) for i, x in sets.items()}
+    for i, j in near:
+        most = near_dedup.RADIUS if min(len(sets[i]), len(sets[j])) >= near_dedup.FEW else near_dedup.WIDE
+        assert np.unpackbits(bits[i] ^ bits[j]).sum() <= most
+    seen, plain = [], near_dedup._near
+
+    def counted(pairs, texts):
+        seen.append(pairs.count())
+        return plain(pairs, texts)
+
+    monkeypatch.setattr(near_dedup, "_near", counted)
+    kept = {r.doc_id for r in near_dedup.without_near(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = {j for _, j in near}
+    assert set(sets) - kept <= hit and len(hit & kept) <= 0.02 * len(hit)
+    assert not any(i in kept and j in kept for i, j in near)
+    group = [i for i in kept if i < 240]
+    assert len(group) > 100 and sum(seen) < 0.2 * len(group) ** 2 / 2
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 50)] + [(5, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
