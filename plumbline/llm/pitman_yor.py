@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import Query, body, col, in_batches, remainder, stored, table
+from plumbline.llm.common import Query, body, bucketed, col, in_batches, remainder, table
 
 #: Production parameters: the strengths of the restaurants (last two bytes of the word before, its last byte, all; below them
 #: those of the word before), the sweeps of the sampler before the first sample that counts and the samples that are averaged.
@@ -21,6 +21,8 @@ STRENGTHS = (5.0, 20.0, 50.0, 2.0)
 BURN_IN, SAMPLES, SEED = 1, 2, 42
 #: Tokens of a block of texts, and bytes of text for each slice of the vocabulary.
 BLOCK_TOKENS, SLICE_BYTES = 1 << 21, 12_000_000
+#: Buckets of the tables kept between the steps, of which Spark allows 100,000; more slices share them.
+MOST_BUCKETS = 50_000
 
 #: The end of a text, a token that no word can be.
 END = b"\n"
@@ -326,6 +328,16 @@ def _told(state: DataFrame) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(run, "slice int, bucket int, c binary, t binary")
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    return df.withColumn("key", F.col("slice").cast("long"))
+
+
+def _renewed(first: DataFrame, swept: DataFrame) -> DataFrame:
+    """The state after a sweep, of which only seatings and totals are new: of rare words, the tables. Both are in buckets by slice."""
+    fixed = first.select("key", "slice", "words", "per", "ctx", "pairs", "before", "n", "bucket", "up")
+    return fixed.join(swept, "key").withColumn("up", F.expr("transform(up, (x, i) -> if(i % 3 = 2, new[int(i / 3)], x))")).drop("new")
+
+
 def _joined(buckets: list[int], parts: list[bytes]) -> np.ndarray:
     """The totals of a slice's rare words from the parts told to it."""
     return np.concatenate([np.empty(0, np.int32), *(_unpack(x) for _, x in sorted(zip(buckets, parts)))])
@@ -430,6 +442,17 @@ def _answers(totals: list[Totals], endings: np.ndarray):
     return run
 
 
+def _hearing(answer):
+    """``answer`` for states that bring what ranges of hashes told them: these are rows of negative numbers among the blocks."""
+
+    def run(key: tuple, states: pa.Table, asked: pa.Table) -> pa.Table:
+        told = states["told"][0].as_py() or []
+        rows = [{"block": -1 - r["bucket"], "a": r["c"], "b": r["t"]} for r in told]
+        return answer(key, states.drop_columns("told"), pa.concat_tables([asked, pa.Table.from_pylist(rows, schema=asked.schema)]))
+
+    return run
+
+
 def _summed(all_: Totals, id_type: pa.DataType):
     """The scores of the texts of a block from the answers of all slices."""
     shape = pa.schema([("id", id_type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
@@ -472,27 +495,31 @@ def scored(docs: DataFrame, id_col: str, text_col: str, held_out: Column, burn_i
     frequent = frequent_words(rows, FREQUENT_BYTES / max(total, 1))
     endings = np.zeros(RARE, np.uint16)
     endings[1:len(frequent) + 1] = [context(w) for w in frequent]
-    numbers = stored(tokens(rows, "held", slices, block, frequent), "tokens")
-    asked = numbers.filter("kind = 1").select("block", "slice", *"abcdef")
+    # One shuffle brings the pieces of a slice together, and each block to a bucket; from here on only totals and answers are shuffled.
+    buckets = min(slices, MOST_BUCKETS)
+    numbers = bucketed(tokens(rows, "held", slices, block, frequent).withColumn("key", F.coalesce(F.col("slice").cast("long"), "block")),
+                       "tokens", "key", buckets)
+    asked = numbers.filter("kind = 1").select("key", "block", *"abcdef")
     # A task for rare words serves about as many numbers as one for a slice.
     bits = max(0, (slices // 8).bit_length() - 1)
-    state = stored(asked.groupBy("slice").applyInArrow(_merger(endings, bits), _STATE), "seating")
+    first = state = bucketed(_keyed(asked.groupBy("key").applyInArrow(_merger(endings, bits), _STATE)), "slices", "key", buckets, True)
     totals = [_gathered(state)]
     discounts = totals[0].discounts
     for i in range(burn_in + samples):
-        state = stored(state.drop("code", "customers", "tables", "bucket").groupBy("slice").cogroup(_told(state).groupBy("slice")).applyInArrow(
-            _sweeper(totals[-1], (seed, i), i > burn_in, bits), _STATE), "seating")
-        totals.append(_gathered(state, discounts))
-    told = _told(state).select((-1 - F.col("bucket")).cast("long").alias("block"), "slice", F.col("c").alias("a"), F.col("t").alias("b"),
-                               *[F.lit(None).cast("binary").alias(x) for x in "cef"])
-    answers = state.drop("code", "customers", "tables", "bucket").groupBy("slice").cogroup(
-        asked.select("block", "slice", *"abcef").unionAll(told).groupBy("slice")).applyInArrow(_answers(totals[-samples:], endings), _ANSWER)
+        swept = bucketed(_keyed(state.drop("code", "customers", "tables", "bucket").groupBy("key").cogroup(_keyed(_told(state)).groupBy("key")).applyInArrow(
+            _sweeper(totals[-1], (seed, i), i > burn_in, bits), _STATE)).select(
+            "key", "seats", "held", "code", "customers", "tables", F.expr("filter(up, (x, i) -> i % 3 = 2)").alias("new")), "seating", "key", buckets, True)
+        totals.append(_gathered(swept, discounts))
+        state = _renewed(first, swept)
+    told = _keyed(_told(state)).groupBy("key").agg(F.collect_list(F.struct("bucket", "c", "t")).alias("told"))
+    answers = state.drop("code", "customers", "tables", "bucket").join(told, "key", "left").groupBy("key").cogroup(
+        asked.select("key", "block", *"abcef").groupBy("key")).applyInArrow(_hearing(_answers(totals[-samples:], endings)), _ANSWER)
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_type = rows.schema["id"].dataType
     out = (f"id {id_type.simpleString()}, held_out boolean, n_tokens long, n_known long, train_tokens long, "
            "base_score double, score double")
-    return numbers.filter("kind = 0").select("block", "ids", "held", "a", "b").groupBy("block").cogroup(
+    return numbers.filter("kind = 0").select("key", "ids", "held", "a", "b").groupBy("key").cogroup(
         answers.groupBy("block")).applyInArrow(_summed(totals[-1], to_arrow_type(id_type)), out).withColumnRenamed("id", id_col)
 
 

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from plumbline.llm import bpe, exact_dedup, html_text, mixing, near_dedup, pitman_yor, simhash, token_counts, topk_search, toxicity, warc
-from plumbline.llm.common import remainder
+from plumbline.llm.common import bucketed, remainder
 from plumbline.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -481,6 +481,26 @@ def test_whole_words_before_are_restaurants_across_slices(spark):
         assert math.isclose(total, 1, rel_tol=1e-5), u
 
 
+def test_slices_are_written_once(spark, corpus, monkeypatch):
+    """After a sweep only seatings and totals are new, and the number of buckets changes no score."""
+    kept: dict[str, list] = {}
+
+    def noted(df, purpose, *rest):
+        kept.setdefault(purpose, []).append(out := bucketed(df, purpose, *rest))
+        return out
+
+    monkeypatch.setattr(pitman_yor, "bucketed", noted)
+    made = {}
+    for most in (50_000, 2):
+        kept.clear()
+        monkeypatch.setattr(pitman_yor, "MOST_BUCKETS", most)
+        made[most] = sorted(pitman_yor.scored(corpus, "doc_id", "text", remainder("doc_id", 7) == 2, slice_bytes=100_000).collect())
+        assert len(kept["slices"]) == 1 and kept["slices"][0].count() > 2
+        assert len(kept["seating"]) == 3 and not {"words", "before", "pairs", "n"} & {c for t in kept["seating"] for c in t.columns}
+    assert made[50_000] == made[2]
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("slices_", "seating_", "tokens_"))]
+
+
 def test_words_with_the_same_ending_predict_differently(spark):
     """Held-out texts of pairs that only whole words tell apart."""
     pairs = [(f"{x}{i}ing", f"then{i}") for i in range(50) for x in ("red", "far")]
