@@ -48,7 +48,9 @@ _EDGES = ".,;:?\"'()[]{}<>*#%&~^=/\\-_`…»«"
 #: Signs at the ends that stand for no letter.
 _PLAIN = "".join(c for c in _EDGES if c not in LEET and c != "*")
 _RUN = re.compile(r"(.)\1+").sub
-_TRIPLE = re.compile(r"(.)\1\1").search
+_DOUBLE, _TRIPLE = re.compile(r"(.)\1").search, re.compile(r"(.)\1\1").search
+#: Signs that may stand for letters.
+_SIGN = re.compile("[" + re.escape("".join(LEET) + "*") + "]").search
 
 
 @lru_cache(maxsize=4096)
@@ -60,6 +62,10 @@ def letter(c: str) -> int:
     return ord(base) - 96 if "a" <= base <= "z" else 27
 
 
+#: The last model that this process got, and its readings of ends of pieces.
+_LAST: dict = {}
+
+
 class CharacterModel:
     """Trigrams of letters, mixed with bigrams and single letters."""
 
@@ -72,7 +78,13 @@ class CharacterModel:
         self.known: dict[tuple[bool, str, int, int], list[tuple[float, str]]] = {}
 
     def __getstate__(self) -> dict:
-        return {"cost": self.cost, "known": {}}
+        return {"cost": self.cost}
+
+    def __setstate__(self, state: dict) -> None:
+        # A Python worker runs many tasks with the same model; what one has read serves the others.
+        if _LAST.get("cost") != state["cost"]:
+            _LAST.update(cost=state["cost"], known={})
+        self.__dict__.update(_LAST)
 
     def joins(self, before: str, after: str) -> bool:
         """Whether two pieces of letters are likelier one word than two; only the two letters on either side matter."""
@@ -192,12 +204,26 @@ def _leaders(paths: list[tuple[float, str]], best: int) -> list[tuple[float, str
     return sorted(((p, t) for t, p in top.items()), key=lambda x: (-x[0], x[1]))[:best]
 
 
+class Joins(dict):
+    """Whether two pieces are likelier one word, by the last two letters of the first and the first two of the second."""
+
+    def __init__(self, model: CharacterModel):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, ends: tuple[str, str]) -> bool:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[ends] = self.model.joins(*ends)
+        return found
+
+
 class Reader:
     """The words of a text, by the pieces between white space, after undoing disguises."""
 
     def __init__(self, model: CharacterModel):
         self.model = model
-        self.known: dict[tuple[str, str], bool] = {}
+        self.known = Joins(model)
 
     def readings(self, piece: str) -> list[str]:
         """The words that a piece stands for. Letters alone are not in disguise unless one stands three times."""
@@ -214,7 +240,10 @@ class Reader:
         return found
 
     def words(self, piece: str) -> set[str]:
-        """The readings with repeated letters written once."""
+        """The readings with repeated letters written once. Most pieces are letters without any repeated."""
+        core = piece.strip(_PLAIN)
+        if core.isalpha() and not _DOUBLE(core):
+            return {core}
         return {_RUN(r"\1", w) for w in self.readings(piece)}
 
     @staticmethod
@@ -234,7 +263,7 @@ class Reader:
         letters go through the lattice.
         """
         short = np.fromiter(map(len, words), np.int64, len(words)) <= SHORT
-        out, known = set(), self.known
+        out, joins = set(), self.known.__getitem__
         if not (short[1:] & short[:-1]).any():
             return out
         edges = np.flatnonzero(np.diff(np.concatenate(([0], short.view(np.int8), [0]))))
@@ -242,16 +271,14 @@ class Reader:
             if b - a < 2:
                 continue
             run = words[a:b]
-            if all(map(str.isalpha, run)):
+            letters = "".join(run)
+            if letters.isalpha():
+                # Where no two neighbours join, none of them goes on.
+                if not any(map(joins, zip([w[-2:] for w in run], [w[:2] for w in run[1:]]))):
+                    continue
                 made = run[0]
                 for before, after in zip(run, run[1:]):
-                    key = made, after
-                    joins = known.get(key)
-                    if joins is None:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        joins = known[key] = self.model.joins(made, after)
-                    if joins:
+                    if joins((made[-2:], after[:2])):
                         made += after
                     else:
                         if made is not before:
@@ -259,7 +286,7 @@ class Reader:
                         made = after
                 if made is not run[-1]:
                     out.add(made)
-            elif any(c in LEET or c == "*" for w in run for c in w.strip(_PLAIN)):
+            elif _SIGN(letters) and any(_SIGN(w.strip(_PLAIN)) for w in run):
                 out.update(self.readings(" ".join(run)))
         return {_RUN(r"\1", w) for w in out}
 
@@ -272,13 +299,18 @@ def character_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         sums = np.zeros(LETTERS ** 3, np.int64)
 
         def add(words: Counter) -> None:
-            stream, weights = [], []
-            for w, n in words.items():
-                w = w.strip(_EDGES)
-                if w.isalpha():
-                    stream += [0, 0, *((b - 96 for b in w.encode()) if w.isascii() else map(letter, w)), 0]
-                    weights += [n] * (len(w) + 3)
-            a, n = np.array(stream, np.int64), np.array(weights, np.int64)
+            plain = [(w, n) for w, n in zip((w.strip(_EDGES) for w in words), words.values()) if w.isalpha()]
+            ascii_ = [(w, n) for w, n in plain if w.isascii()]
+            stream, weights, lengths = [], [], []
+            for w, n in plain:
+                if not w.isascii():
+                    stream += [0, 0, *map(letter, w), 0]
+                    weights.append(n)
+                    lengths.append(len(w) + 3)
+            # Words are parted by the sign before "a".
+            a = np.frombuffer("".join(["``" + w + "`" for w, _ in ascii_]).encode(), np.uint8).astype(np.int64) - 96
+            a = np.concatenate((a, np.array(stream, np.int64)))
+            n = np.repeat(np.array([n for _, n in ascii_] + weights, np.int64), np.array([len(w) + 3 for w, _ in ascii_] + lengths, np.int64))
             if len(a):
                 codes = (a[:-2] * LETTERS + a[1:-1]) * LETTERS + a[2:]
                 inside = a[1:-1] + a[2:] > 0  # not across two words
@@ -312,7 +344,7 @@ class Features(dict):
         words = self.reader.words(piece)
         if len(self) >= REMEMBERED // 2:
             self.clear()
-        found = self[piece] = [*words, *(w[:n] + "-" for n in BEGINNINGS for w in words if len(w) > n)]
+        found = self[piece] = [*words, *[w[:n] + "-" for n in BEGINNINGS for w in words if len(w) > n]]
         return found
 
 
@@ -377,12 +409,15 @@ class Scorer(dict):
         self.begins = frozenset(w[:-1] for w in weights if w[-1] == "-")
 
     def __missing__(self, piece: str) -> float:
-        get, found = self.weights.get, 0.0
+        weights, begins, found = self.weights, self.begins, 0.0
         for w in self.reader.words(piece):
-            found = max(found, get(w, 0.0))
+            if w in weights:
+                found = max(found, weights[w])
             for n in BEGINNINGS:
-                if w[:n] in self.begins and len(w) > n:
-                    found = max(found, get(w[:n] + "-", 0.0))
+                if len(w) <= n:
+                    break
+                if w[:n] in begins:
+                    found = max(found, weights[w[:n] + "-"])
         if len(self) >= REMEMBERED:
             self.clear()
         self[piece] = found

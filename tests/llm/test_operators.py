@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -391,6 +392,38 @@ def test_disguises_at_ends_without_letters_in_long_pieces_and_over_blanks(spark)
     assert len(scorer.reader.readings("ab1c." * 20_000)) > 0
 
 
+def test_what_was_read_is_remembered_by_letters_and_for_all_tasks(spark):
+    """Joins are remembered by the letters that matter, not by words; tasks of a process share the readings; counts are those of plain Python."""
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abcdeé"), n)) for n in rng.integers(1, 8, 4000)]
+    docs = spark.createDataFrame([(" ".join(words[i:i + 100]),) for i in range(0, 4000, 100)], "text string").repartition(3)
+    counts = Counter()
+    for w in words:
+        a = [0, 0, *map(toxicity.letter, w), 0]
+        counts.update(zip(a, a[1:], a[2:]))
+    found = toxicity.character_counts(docs).reshape((toxicity.LETTERS,) * 3)
+    assert {tuple(map(int, k)): int(found[tuple(k)]) for k in np.argwhere(found)} == counts
+    model = toxicity.CharacterModel(found)
+    reader = toxicity.Reader(model)
+    expected, made = set(), words[0]
+    for before, after in zip(words, words[1:]):
+        if max(len(before), len(after)) <= toxicity.SHORT and model.joins(made, after):
+            made += after
+            continue
+        if made is not before:
+            expected.add(re.sub(r"(.)\1+", r"\1", made))
+        made = after
+    if made is not words[-1]:
+        expected.add(re.sub(r"(.)\1+", r"\1", made))
+    assert reader.joined(words) == expected and len(expected) > 10
+    short = {w for w in words if len(w) <= toxicity.SHORT}
+    assert len(reader.known) <= len({w[-2:] for w in short}) * len({w[:2] for w in short}) and all(len(x) <= 2 for k in reader.known for x in k)
+    one, two = (pickle.loads(pickle.dumps(model)) for _ in range(2))
+    assert one.decode("m0r*n") == model.decode("m0r*n") and two.known is one.known and two.known
+    other = pickle.loads(pickle.dumps(toxicity.CharacterModel(found[::-1].copy())))
+    assert other.known == {}
+
+
 def test_model_probabilities(spark, docs, none, corpus):
     rows = pitman_yor.scored(corpus, "doc_id", "text", remainder("doc_id", 7) == 2).collect()
     tokens = {r.doc_id: [*(r.text or "").encode().translate(pitman_yor._LOWER).split(), b"\n"] for r in corpus.collect()}
