@@ -21,7 +21,7 @@ from plumbline.llm.common import Query, body, col, in_batches, table
 
 #: The code points with the Unicode property White_Space.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-#: At most so many words are remembered in a task, and none longer than this.
+#: At most so many words are remembered, until the end of a task, and none longer than this.
 REMEMBERED, LONGEST = 800_000, 48
 #: Characters that are encoded before a batch of results is handed on.
 HANDED_ON = 4_000_000
@@ -173,6 +173,8 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
                         [batch["row"].slice(done, len(ids)), lists,
                          pa.array(map(v.decode, ids), pa.string())], ["row", "ids", "decoded"])
                     done, ids, held = i + 1, [], 0
+        # The Python worker keeps the vocabulary for its next task, which may be of another stage; words are up to 200 MB.
+        v.known.clear()
 
     return in_batches(keep, run, out).select("row.*", "ids", "decoded")
 

@@ -424,6 +424,18 @@ def test_what_was_read_is_remembered_by_letters_and_for_all_tasks(spark):
     assert other.known == {}
 
 
+def test_workers_forget_words_after_a_task(spark, corpus):
+    """What a Python worker has read as tokens is not held while it runs tasks of later stages."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert bpe.encoded(corpus.repartition(8), path).filter("size(ids) > 0").count() > 0
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(bpe.vocabulary(path).known)], pa.int64())], ["n"])
+
+    assert {r.n for r in spark.range(0, 8, 1, 8).mapInArrow(run, "n long").collect()} == {0}
+
+
 def test_model_probabilities(spark, docs, none, corpus):
     rows = pitman_yor.scored(corpus, "doc_id", "text", remainder("doc_id", 7) == 2).collect()
     tokens = {r.doc_id: [*(r.text or "").encode().translate(pitman_yor._LOWER).split(), b"\n"] for r in corpus.collect()}
