@@ -55,7 +55,7 @@ def strip(c: str) -> str:
 
     Trimming a set of characters is costly, so values that plainly need none are passed through.
     """
-    clean = f"{starts_plain(c)} AND NOT {c} RLIKE '[^!-~]$'"
+    clean = f"{starts_plain(c)} AND {starts_plain(f'substr({c}, -1)')}"
     return f"(CASE WHEN {clean} THEN {c} ELSE btrim({c}, {literal(WHITESPACE)}) END)"
 
 

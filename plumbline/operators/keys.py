@@ -20,10 +20,10 @@ from plumbline.functions.text import is_blank, name, stripped_text
 # HOT_KEYS largest groups holds at most 1/HOT_KEYS of the rows.
 HOT_KEYS = 1000
 
-# 64-bit words of the Bloom filter of failing keys and bits that each key sets in its word: half a million rows
-# of two numbers at most, under 16 MB. Four million failing keys leave about 2 % false hits; more of them cost
+# 64-bit words of the Bloom filter of failing keys and bits that each key sets in its word: two million rows
+# of two numbers at most, under 64 MB. Ten million failing keys leave about 2 % false hits; more of them cost
 # time, not correctness.
-BLOOM_WORDS = 1 << 19
+BLOOM_WORDS = 1 << 21
 BLOOM_BITS = 3
 
 

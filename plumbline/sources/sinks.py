@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from plumbline.functions.text import name
+from plumbline.session import shuffles_dropped
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -24,16 +25,29 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", one_file: bool
     """
     shown = flat(df) if fmt == "csv" else df
     writer = (shown.repartition(1) if one_file else shown).write.mode("overwrite").format(fmt)
+    if fmt == "parquet":
+        writer = writer.option("compression", "zstd")
     if fmt == "csv":
         # Failing values are shown as they are, blanks included; readers take an empty one for a missing one.
         writer = writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    writer.save(path)
+    with shuffles_dropped(df.sparkSession):
+        writer.save(path)
     return path
 
 
 def write_curated(reviewed: DataFrame, path: str) -> str:
-    """Accepted and quarantined records in one pass, one folder per status."""
-    reviewed.write.mode("overwrite").partitionBy("curation_status").parquet(path)
+    """Accepted and quarantined records in one pass, one folder per status.
+
+    Tasks keep a file of each status open, so that records need not be sorted by it, which would spill them to disk.
+    """
+    spark, own = reviewed.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(own)
+    spark.conf.set(own, "2")
+    try:
+        with shuffles_dropped(spark):
+            reviewed.write.mode("overwrite").option("compression", "zstd").partitionBy("curation_status").parquet(path)
+    finally:
+        spark.conf.set(own, before)
     return path
 
 

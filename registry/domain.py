@@ -198,10 +198,30 @@ def base_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def domain_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A domain table; the base rows are dealt to all cores first, as a test table is a single file of one row group."""
+    """A domain table. A base table with fewer row groups or splits than cores, such as a test table, is dealt to all cores first."""
     base, text = PROJECTIONS[name]
-    source = base_table(spark, folder, base)
-    return spark.sql(text, base=source.repartition(spark.sparkContext.defaultParallelism, *source.columns[:2]))
+    source, cores = base_table(spark, folder, base), spark.sparkContext.defaultParallelism
+    if not has_parts(source, cores):
+        source = source.repartition(cores, *source.columns[:2])
+    return spark.sql(text, base=source)
+
+
+def has_parts(source: DataFrame, n: int) -> bool:
+    """Whether Parquet files have n splits and n row groups, which tasks can read apart; footers are read until n are found."""
+    spark = source.sparkSession
+    if source._jdf.rdd().getNumPartitions() < n:
+        return False
+    jvm, conf, found = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    for file in source.inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, conf))
+        try:
+            found += reader.getRowGroups().size()
+        finally:
+            reader.close()
+        if found >= n:
+            return True
+    return False
 
 
 class _Tables(dict):
