@@ -74,6 +74,16 @@ def csv_records(spark: SparkSession, path: str, broadcast_splits: int = BROADCAS
         "file", "block", "line", F.regexp_replace("record", r"\r\z", "").alias("record")).where("trim(record) <> ''")
 
 
+def one_line_each(spark: SparkSession, path: str) -> bool:
+    """Whether every line of every file is a whole record: none ends inside a quoted value, is blank or holds a carriage return.
+
+    If no line opens a value that it does not close, every line begins outside of values. Reading ends soon where a line does.
+    """
+    lines = spark.read.text(path, lineSep="\n")
+    opens = (F.instr("value", '"') > 0) & F.col("value").rlike(_OPEN_FROM_OUTSIDE)
+    return lines.where((F.trim("value") == "") | F.contains("value", F.lit("\r")) | opens).isEmpty()
+
+
 class _Splits:
     """The state of the split that a task reads, for both of its beginnings; the first split of a file has but one."""
 

@@ -15,7 +15,7 @@ from plumbline.model import DatasetSpec
 from plumbline.rules.trades import TRADES
 from plumbline.rules.vocabulary import NA_TOKENS
 from plumbline.schemas import TABLES
-from plumbline.sources.records import csv_records
+from plumbline.sources.records import csv_records, one_line_each
 
 REGISTRY: dict[str, DatasetSpec] = {TRADES.name: TRADES}
 
@@ -32,11 +32,14 @@ def read_csv(
 
     Text first: a value of the wrong type is something to report. With a schema the file is not
     scanned for column types; without one the header gives the column names. Quoted line breaks are part of a value,
-    and a file is still read by as many tasks as it has splits; ``multi_line`` off takes every line as a record.
+    and a file is still read by as many tasks as it has splits; ``multi_line`` off takes every line as a record. Files without
+    such breaks, which one scan of their lines shows, are left to Spark's reader, which parses only columns that are used.
     """
     reader = spark.read.option("header", True).option("mode", mode).option("escape", '"').option("multiLine", multi_line)
     names = reader.csv(path).columns if schema is None else schema.fieldNames()
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    if multi_line and names and mode == "PERMISSIVE" and one_line_each(spark, path):
+        return null_tokens(reader.option("multiLine", False).option("lineSep", "\n").schema(text).csv(path), na_tokens)
     if multi_line and names:
         ddl = ", ".join(f"{name(n)} STRING" for n in names)
         parsed = F.from_csv("record", ddl, {"escape": '"', "mode": mode}).alias("__row")

@@ -228,7 +228,7 @@ def _registry_rules(spark, folder):
     """Two data sets registered in a JSON file, read as CSV files and checked by the rules that the file implies."""
     root = fresh_path(spark, "registered")
     for t in (TRADE_TABLE, "entities"):
-        domain_table(spark, folder, t).write.option("header", True).option("escape", '"').csv(f"{root}/incoming/{t}.csv")
+        domain_table(spark, folder, t).write.option("header", True).option("escape", '"').option("compression", "gzip").csv(f"{root}/incoming/{t}.csv")
     spark.createDataFrame([(json.dumps(_REGISTRY),)], "value string").coalesce(1).write.text(f"{root}/registry.json")
     frames = []
     for dataset, spec in load_registry(spark, f"{root}/registry.json").items():
