@@ -21,7 +21,8 @@ def flat(df: DataFrame) -> DataFrame:
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", one_file: bool = False) -> str:
     """Overwrite a report, by default with as many files as it has tasks.
 
-    ``one_file`` gathers it in one task after the report is computed; meant for aggregates, not for failing rows.
+    ``one_file`` gathers it in one task after the report is computed; meant for aggregates, not for failing rows. Other CSV
+    reports are written with gzip, as failing rows take several times the space of their table as plain text.
     """
     shown = flat(df) if fmt == "csv" else df
     writer = (shown.repartition(1) if one_file else shown).write.mode("overwrite").format(fmt)
@@ -30,6 +31,7 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", one_file: bool
     if fmt == "csv":
         # Failing values are shown as they are, blanks included; readers take an empty one for a missing one.
         writer = writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        writer = writer.option("compression", "none" if one_file else "gzip")
     with shuffles_dropped(df.sparkSession):
         writer.save(path)
     return path

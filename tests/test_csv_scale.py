@@ -32,3 +32,14 @@ def test_files_of_whole_lines_are_left_to_the_reader(spark, tmp_path, text, plai
     parsed = F.from_csv("record", "id STRING, t STRING", {"escape": '"', "mode": "PERMISSIVE"}).alias("row")
     slow = csv_records(spark, path).select(parsed).select("row.*")
     assert sorted(map(str, df.collect())) == sorted(str(r).replace("t=''", "t=None") for r in slow.collect())
+
+
+def test_csv_reports_are_compressed_and_read_back(spark, tmp_path):
+    rows = [(i, text) for i, text in enumerate(['plain', ' blanks ', 'a "quote"', 'two\nlines', '{"a":"b,c"}', "x,y"] * 20)]
+    df = spark.createDataFrame(rows, "id INT, text STRING")
+    path = write_report(df.repartition(4), str(tmp_path / "rows"), "csv")
+    assert {"".join(p.suffixes) for p in (tmp_path / "rows").glob("part-*")} == {".csv.gz"}
+    assert sorted((int(r.id), r.text) for r in read_csv(spark, path, na_tokens=()).collect()) == sorted(rows)
+    one = write_report(df, str(tmp_path / "one"), "csv", one_file=True)
+    assert [p.suffix for p in (tmp_path / "one").glob("part-*")] == [".csv"]
+    assert sorted((int(r.id), r.text) for r in read_csv(spark, one, na_tokens=()).collect()) == sorted(rows)
