@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -182,10 +182,9 @@ def _hits(df, rules, record_key, refs, as_of, evidence):
     row_rules = [r for r in rules if isinstance(r.check, RowCheck)]
     frames = []
     if row_rules:
-        fired = ", ".join(
-            f"CASE WHEN {r.check.failed(when)} THEN {_hit(r, df, evidence)} END" for r in row_rules
-        )
-        frames.append(_spread(df, f"explode(array({fired}))", row_rules, record_key, evidence))
+        kept = dict.fromkeys([record_key, *_evidence(df, row_rules)])
+        failing = spread_rules(df, kept, [r.check.failed(when) for r in row_rules])
+        frames.append(_spread(failing, _hit_of_rule(row_rules, df, evidence), row_rules, record_key, evidence))
     for r in rules:
         if isinstance(r.check, RowCheck):
             continue
@@ -195,13 +194,24 @@ def _hits(df, rules, record_key, refs, as_of, evidence):
     return union_all(frames, ragged=not evidence)
 
 
+def spread_rules(df: DataFrame, columns: Iterable[str], conditions: Sequence[str]) -> DataFrame:
+    """Some columns of each row, once for every condition that it meets, with the condition's number as ``__rule``.
+
+    The numbers are listed as one text, which skips conditions that are not met, so that only hits, or one line for a row
+    without any, are ever made.
+    """
+    met = ", ".join(f"CASE WHEN {c} THEN '{i}' END" for i, c in enumerate(conditions))
+    lines = df.selectExpr(*map(name, columns), f"explode(split(concat_ws(',', {met}), ',')) AS __met").where("__met <> ''")
+    return lines.selectExpr(*map(name, columns), "try_cast(__met AS INT) AS __rule")
+
+
 def _spread(df: DataFrame, hit: str, rules: Sequence[Rule], record_key: str, evidence: bool) -> DataFrame:
     """Hit structs as columns, next to the record id and, for wide output, the evidence columns."""
     kept = [] if evidence else _evidence(df, rules)
     rows = df.selectExpr(
         f"{name(record_key)} AS record_id", *[f"{name(c)} AS {name('__e_' + c)}" for c in kept], f"{hit} AS __hit"
     )
-    return rows.where("__hit IS NOT NULL").selectExpr("__hit.*", "record_id", *[name("__e_" + c) for c in kept])
+    return rows.selectExpr("__hit.*", "record_id", *[name("__e_" + c) for c in kept])
 
 
 def _hit(rule: Rule, df: DataFrame, evidence: bool) -> str:
@@ -218,6 +228,11 @@ def _hit(rule: Rule, df: DataFrame, evidence: bool) -> str:
     return f"named_struct({fields})"
 
 
+def _hit_of_rule(rules: Sequence[Rule], df: DataFrame, evidence: bool) -> str:
+    """The hit of the rule with the number ``__rule``."""
+    return f"CASE __rule {' '.join(f'WHEN {i} THEN {_hit(r, df, evidence)}' for i, r in enumerate(rules))} END"
+
+
 def _evidence(df: DataFrame, rules: Sequence[Rule]) -> list[str]:
     return list(dict.fromkeys(c for r in rules for c in r.evidence if c in df.columns))
 
@@ -255,13 +270,10 @@ def failed_examples(
 def _first_of_row_rules(df: DataFrame, rules: Sequence[Rule], record_key: str, as_of: AsOf, count: int) -> DataFrame:
     """Hits with evidence of the first failing rows of each rule by record id, and of all rows with the last of these ids."""
     when, kept = as_of_sql(as_of), _evidence(df, rules)
-    numbers = ", ".join(f"CASE WHEN {r.check.failed(when)} THEN {i} END" for i, r in enumerate(rules))
-    failing = df.selectExpr(
-        *map(name, dict.fromkeys([record_key, *kept])), f"explode(array({numbers})) AS __rule").where("__rule IS NOT NULL")
+    failing = spread_rules(df, dict.fromkeys([record_key, *kept]), [r.check.failed(when) for r in rules])
     first = failing.withColumn("__place", F.rank().over(Window.partitionBy("__rule").orderBy(name(record_key)))).where(
         F.col("__place") <= count)
-    hit = " ".join(f"WHEN {i} THEN {_hit(r, df, True)}" for i, r in enumerate(rules))
-    return _spread(first, f"CASE __rule {hit} END", rules, record_key, True)
+    return _spread(first, _hit_of_rule(rules, df, True), rules, record_key, True)
 
 
 def with_examples(results: DataFrame, examples: DataFrame) -> DataFrame:

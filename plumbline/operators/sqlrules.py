@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.text import literal, literals, name
-from plumbline.operators.evaluate import finish_results, union_all
+from plumbline.functions.text import literal, name
+from plumbline.operators.evaluate import finish_results, spread_rules, union_all
 from plumbline.rules.trades_sql import SqlRule
+from plumbline.session import shuffles_dropped
 
 # The annotation names in front of each rule of a SQL file, in their order.
 ANNOTATIONS = ("RULE_ID", "SEVERITY", "DIMENSION", "DESCRIPTION", "RECOMMENDATION")
@@ -142,11 +143,13 @@ def _compile(spark: SparkSession, rules: Sequence[SqlRule], view: str) -> tuple[
 def _run_isolated(df: DataFrame, rules: Sequence[SqlRule], view: str, errors: dict[str, str]) -> dict[str | None, int]:
     """Failing rows by rule, all rows under None; rules that break are added to ``errors``.
 
-    One job counts everything. If it breaks, the rules are halved until those that break stand alone: about
-    2 log2(n) jobs for each of them, not one for every rule.
+    One job counts everything. If it breaks, conditions on single rows part from other SELECTs, which may shuffle the table,
+    and either are halved until those that break stand alone: about 2 log2(n) jobs for each of them, not one for every rule.
+    Shuffle files go with each job, broken ones included.
     """
     def run(part: Sequence[SqlRule]) -> dict[str | None, int]:
-        return {r["rule_id"]: r["n"] for r in union_all([_total(df), *_counted(df, part, view)]).collect()}
+        with shuffles_dropped(df.sparkSession):
+            return {r["rule_id"]: r["n"] for r in union_all([_total(df), *_counted(df, part, view)]).collect()}
 
     def isolate(part: Sequence[SqlRule]) -> dict[str | None, int]:
         try:
@@ -158,7 +161,10 @@ def _run_isolated(df: DataFrame, rules: Sequence[SqlRule], view: str, errors: di
                 errors[part[0].rule_id] = str(problem)
                 return run([])
             middle = len(part) // 2
-            return isolate(part[:middle]) | isolate(part[middle:])
+            first, second = [r for r in part if r.where], [r for r in part if not r.where]
+            if not first or not second:
+                first, second = part[:middle], part[middle:]
+            return isolate(first) | isolate(second)
 
     return isolate(list(rules))
 
@@ -174,8 +180,10 @@ def _counted(df: DataFrame, rules: Sequence[SqlRule], view: str) -> list[DataFra
     frames = []
     for rule in rules:
         if not rule.where:
-            # The digest has Spark evaluate the SELECT list, which a count alone would leave out.
-            counted = spark.sql(rule.sql(view)).agg(F.expr("count(*) AS n"), F.expr("bit_xor(xxhash64(to_json(struct(*)))) AS __read"))
+            # The digest has Spark evaluate the SELECT list, which a count alone would leave out; types without a hash go as JSON.
+            found = spark.sql(rule.sql(view))
+            hashed = "to_json(struct(*))" if re.search(r"map<|variant", found.schema.simpleString()) else "*"
+            counted = found.agg(F.expr("count(*) AS n"), F.expr(f"bit_xor(xxhash64({hashed})) AS __read"))
             frames.append(counted.selectExpr(f"{literal(rule.rule_id)} AS rule_id", "if(__read IS NULL, 0L, n) AS n"))
     if shared:
         counted = df.agg(*[F.expr(f"count_if({r.where}) AS f{i}") for i, r in enumerate(shared)])
@@ -221,13 +229,13 @@ def _failed_rows(df: DataFrame, rules: Sequence[SqlRule], view: str) -> DataFram
     frames = []
     if shared:
         wanted = list(dict.fromkeys(c for r in shared for c in r.columns))
-        fired = ", ".join(f"CASE WHEN {r.where} THEN {_facts(r)} END" for r in shared)
-        hits = df.selectExpr(*map(name, wanted), f"explode(array({fired})) AS __hit").where("__hit IS NOT NULL")
+        hits = spread_rules(df, wanted, [r.where for r in shared])
         shown = []
         for c in wanted:
-            reporting = literals([r.rule_id for r in shared if c in r.columns])
-            shown.append(f"CASE WHEN __hit.rule_id IN ({reporting}) THEN {name(c)} END AS {name(c)}")
-        frames.append(hits.selectExpr("__hit.*", *shown))
+            reporting = ", ".join(str(i) for i, r in enumerate(shared) if c in r.columns)
+            shown.append(f"CASE WHEN __rule IN ({reporting}) THEN {name(c)} END AS {name(c)}")
+        facts = f"element_at(array({', '.join(map(_facts, shared))}), __rule + 1) AS __hit"
+        frames.append(hits.selectExpr(facts, *shown).selectExpr("__hit.*", *map(name, wanted)))
     for r in rules:
         if not r.where:
             frames.append(spark.sql(r.sql(view)).selectExpr(f"inline(array({_facts(r)}))", "*"))
